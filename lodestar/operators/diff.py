@@ -81,10 +81,10 @@ def classify_changes(
     return snapshot_diff(prestage, stage, key, scd1, scd2).filter(F.col("op") == UPDATE).select(*_keys(key), "ch_type")
 
 
-def fact_diff(
+def fact_changes(
     prestage: DataFrame, stage: DataFrame, key: str | Sequence[str], cols: Sequence[str] | None = None
 ) -> DataFrame:
-    """``op`` of every key of an increment: ``insert``, ``update`` or ``nochange``.
+    """Rows of an increment with their ``op``: ``insert``, ``update`` or ``nochange``.
 
     The increment drives a left join, so stage keys outside it cost a scan of the
     compared columns and nothing more. All columns but the key are compared unless
@@ -92,11 +92,18 @@ def fact_diff(
     """
     keys = _keys(key)
     cols = [c for c in prestage.columns if c not in keys] if cols is None else list(cols)
-    p = _keyed(prestage, keys).select(*keys, *cols).alias("p")
+    p = _keyed(prestage, keys).alias("p")
     s = stage.select(*keys, *cols).withColumn("__s", F.lit(True)).alias("s")
     joined = p.join(s, [F.col(f"p.{k}") == F.col(f"s.{k}") for k in keys], "left")
     op = F.when(F.col("__s").isNull(), INSERT).when(_differs(cols), UPDATE).otherwise(NOCHANGE)
-    return joined.select(*[F.col(f"p.{k}").alias(k) for k in keys], op.alias("op"))
+    return joined.select("p.*", op.alias("op"))
+
+
+def fact_diff(
+    prestage: DataFrame, stage: DataFrame, key: str | Sequence[str], cols: Sequence[str] | None = None
+) -> DataFrame:
+    """``op`` of every key of an increment."""
+    return fact_changes(prestage, stage, key, cols).select(*_keys(key), "op")
 
 
 def delta_counts(diff: DataFrame) -> DataFrame:
@@ -146,6 +153,17 @@ def refreshed_stage(images: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def fact_stage_refresh(stage: DataFrame, changes: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The next stage image of a fact: changed keys replaced, new keys added.
+
+    Only the changed keys take part in the join; unchanged rows of the increment
+    stay as they are.
+    """
+    moved = changes.filter(F.col("op").isin(INSERT, UPDATE))
+    replaced = changes.filter(F.col("op") == UPDATE).select(*_keys(key))
+    return stage.join(replaced, _keys(key), "left_anti").select(*stage.columns).unionByName(moved.drop("op"))
+
+
 def stage_refresh(
     prestage: DataFrame,
     stage: DataFrame,

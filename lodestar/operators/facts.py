@@ -131,12 +131,9 @@ def fact_merge(
     return kept.unionByName(fact_insert(valid, run_ts).select(*fact.columns))
 
 
-def moved_rows(prestage: DataFrame, diff: DataFrame, key: Sequence[str], ops: Sequence[str] = (INSERT, UPDATE)) -> DataFrame:
-    """Rows of the increment with one of the given kinds of change, plus ``op``."""
-    keys = list(key)
-    return prestage.join(diff.filter(F.col("op").isin(*ops)).select(*keys, "op"), keys, "inner").select(
-        *prestage.columns, "op"
-    )
+def moved_rows(changes: DataFrame, ops: Sequence[str] = (INSERT, UPDATE)) -> DataFrame:
+    """Rows of ``fact_changes`` with one of the given kinds of change."""
+    return changes.filter(F.col("op").isin(*ops)).drop("op")
 
 
 def reprocess_errors(

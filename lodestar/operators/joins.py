@@ -1,7 +1,7 @@
 """Many-to-one joins whose strategy follows measured sizes.
 
-The right side holds at most one row per key. A side is broadcast only when its
-bytes were counted and lie under the limit; beyond it both sides are shuffled on
+The right side holds at most one row per key. Sides are broadcast only when their
+bytes were counted and fit a budget together; beyond it both sides are shuffled on
 the key, with the hot keys of the left side spread over several partitions.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 0.01
 SALTS = 64
 
@@ -69,42 +69,50 @@ class Side:
         return self.frame.select(*keys, *[F.col(c).alias(name) for name, c in self.take.items()])
 
 
-def hot_hashes(df: DataFrame, key: Column, share: float = HOT_SHARE) -> list[int]:
-    """Hashes of key values that may hold more than ``share`` of the rows.
+def hot_hashes(df: DataFrame, keys: Sequence[Sequence[Column]], share: float = HOT_SHARE) -> list[list[int]]:
+    """Per key, hashes of the values that may hold more than ``share`` of the rows.
 
-    A frequent-items pass returns every such value and at most ``1 / share``
-    candidates, whatever the data size.
+    One frequent-items pass over the key columns serves all keys. It returns every
+    such value and at most ``1 / share`` candidates per key, whatever the data size.
     """
-    found = df.select(key.alias("h")).stat.freqItems(["h"], share).first()
-    return [h for h in (found[0] or []) if h is not None]
+    names = [f"h{i}" for i in range(len(keys))]
+    hashed = df.select(*[F.xxhash64(*cols).alias(n) for n, cols in zip(names, keys)])
+    found = hashed.stat.freqItems(names, share).first()
+    return [[h for h in (found[f"{n}_freqItems"] or []) if h is not None] for n in names]
 
 
 def _spread(
-    left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], how: str, salts: int, share: float
+    left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], how: str, hot: list[int], salts: int
 ) -> DataFrame:
     """Shuffle join; rows of a hot key go to ``salts`` partitions by their content."""
-    left_hash = F.xxhash64(*[F.col(k) for k in left_keys])
-    hot = hot_hashes(left, left_hash, share)
     cond = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
     if not hot:
         return left.join(right, cond, how).drop(*left_keys, *right_keys)
+    zero = F.lit(0).cast("long")
     plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
-    left = left.withColumn(
-        "__salt",
-        F.when(left_hash.isin(hot), F.pmod(F.xxhash64(*[F.col(c) for c in plain]), F.lit(salts))).otherwise(
-            F.lit(0).cast("long")
-        ),
-    )
-    right_hash = F.xxhash64(*[F.col(k) for k in right_keys])
-    copies = F.when(right_hash.isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(
-        F.array(F.lit(0).cast("long"))
-    )
+    is_hot = F.xxhash64(*[F.col(k) for k in left_keys]).isin(hot)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in plain]), F.lit(salts))).otherwise(zero)
+    copied = F.xxhash64(*[F.col(k) for k in right_keys]).isin(hot)
+    copies = F.when(copied, F.sequence(zero, F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
+    left = left.withColumn("__salt", salt)
     right = right.withColumn("__copy", F.explode(copies))
     return left.join(right, [*cond, F.col("__salt") == F.col("__copy")], how).drop(
         *left_keys, *right_keys, "__salt", "__copy"
     )
 
 
+def _within_budget(sizes: Sequence[int], roles: Sequence[tuple], budget: int) -> list[int]:
+    """Sides to broadcast, smallest first, while all of them together fit the budget."""
+    chosen, used, seen = [], 0, set()
+    for i in sorted(range(len(sizes)), key=lambda k: sizes[k]):
+        used += 0 if roles[i] in seen else sizes[i]
+        if used > budget:
+            break
+        seen.add(roles[i])
+        chosen.append(i)
+    return chosen
+
+
 def join_sides(
     left: DataFrame,
     sides: Sequence[Side],
@@ -115,28 +123,30 @@ def join_sides(
 ) -> DataFrame:
     """Join every side to ``left``, adding the ``take`` columns.
 
-    Small sides are joined first, in the same stage as the scan of ``left``.
-    The same columns of a frame used in several roles are measured once.
+    Sides that fit the broadcast budget together are joined first, in the same
+    stage as the scan of ``left``; the same columns of a frame used in several roles
+    count once. Every further side costs a shuffle of ``left``.
     """
     prepared = [s.projected(f"__r{i}") for i, s in enumerate(sides)]
     roles = [(id(s.frame), tuple(r for _, r in s.on), tuple(s.take.values())) for s in sides]
     first = {role: prepared[i] for i, role in reversed(list(enumerate(roles)))}
     counted = dict(zip(first, measure_bytes(list(first.values()))))
-    sizes = [counted[role] for role in roles]
-    small = [i for i, b in enumerate(sizes) if b <= broadcast_bytes]
-    large = [i for i, b in enumerate(sizes) if b > broadcast_bytes]
+    small = _within_budget([counted[role] for role in roles], roles, broadcast_bytes)
+    large = [i for i in range(len(sides)) if i not in small]
+
+    def keys(i: int) -> list[Column]:
+        types = [f.dataType for f in prepared[i].schema.fields]
+        return [expr.cast(t) for (expr, _), t in zip(sides[i].on, types)]
+
+    hot = dict(zip(large, hot_hashes(left, [keys(i) for i in large], hot_share))) if large else {}
     out = left
     for i in small + large:
-        side, right = sides[i], prepared[i]
-        left_keys = [f"__l{i}k{j}" for j in range(len(side.on))]
-        right_keys = [f"__r{i}k{j}" for j in range(len(side.on))]
-        types = {f.name: f.dataType for f in right.schema.fields}
-        out = out.withColumns(
-            {name: expr.cast(types[rk]) for name, rk, (expr, _) in zip(left_keys, right_keys, side.on)}
-        )
-        if sizes[i] <= broadcast_bytes:
-            cond = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
-            out = out.join(F.broadcast(right), cond, how).drop(*left_keys, *right_keys)
+        left_keys = [f"__l{i}k{j}" for j in range(len(sides[i].on))]
+        right_keys = [f"__r{i}k{j}" for j in range(len(sides[i].on))]
+        out = out.withColumns(dict(zip(left_keys, keys(i))))
+        if i in hot:
+            out = _spread(out, prepared[i], left_keys, right_keys, how, hot[i], salts)
         else:
-            out = _spread(out, right, left_keys, right_keys, how, salts, hot_share)
+            cond = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
+            out = out.join(F.broadcast(prepared[i]), cond, how).drop(*left_keys, *right_keys)
     return out.select(*left.columns, *[name for s in sides for name in s.take])

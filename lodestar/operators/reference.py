@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestar.functions.reserved import ERROR_ID, ERROR_TEXT, NA_ID, NA_TEXT
 
@@ -54,32 +54,23 @@ def code_list(df: DataFrame, id: str, name: str) -> DataFrame:
 def junk_dimension(lists: Mapping[str, DataFrame], max_members: int = MAX_LIST_MEMBERS) -> DataFrame:
     """Every combination of the members of several short code lists.
 
-    Meant for lists of codes: their sizes are checked, and a list over
-    ``max_members`` is an error. The first list stays distributed; the members of
-    the others travel as one array each and are unfolded row by row.
+    Meant for lists of codes: a list over ``max_members`` fails the query. The first
+    list stays distributed; the members of the others travel as one array each and
+    are unfolded row by row.
     """
     names = list(lists)
-    sizes = _sizes([lists[n] for n in names])
-    for n, size in zip(names, sizes):
-        if size > max_members:
-            raise ValueError(f"list {n} has {size} members, more than {max_members}")
-
-    def pair(n: str) -> list[str]:
-        return [f"{n}_id", n]
-
-    out = lists[names[0]].select(F.col("list_id").alias(f"{names[0]}_id"), F.col("list_item_name").alias(names[0]))
+    first = names[0]
+    out = lists[first].select(F.col("list_id").alias(f"{first}_id"), F.col("list_item_name").alias(first))
     for n in names[1:]:
-        members = lists[n].agg(F.collect_list(F.struct(F.col("list_id").alias("id"), F.col("list_item_name").alias("name"))))
-        out = out.withColumn("__m", F.explode(members.scalar())).select(
-            *[c for c in out.columns], F.col("__m.id").alias(f"{n}_id"), F.col("__m.name").alias(n)
+        out = out.withColumn("__m", F.explode(_members(lists[n], n, max_members))).select(
+            *out.columns, F.col("__m.id").alias(f"{n}_id"), F.col("__m.name").alias(n)
         )
-    return out.select(*[c for n in names for c in pair(n)])
+    return out
 
 
-def _sizes(frames: Sequence[DataFrame]) -> list[int]:
-    parts = [f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n") for i, f in enumerate(frames)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    found = {r["i"]: r["n"] for r in out.collect()}
-    return [found[i] for i in range(len(frames))]
+def _members(rows: DataFrame, name: str, max_members: int) -> Column:
+    """All members of a list as an array; one row more than allowed is enough to refuse it."""
+    pair = F.struct(F.col("list_id").alias("id"), F.col("list_item_name").alias("name"))
+    members = rows.limit(max_members + 1).agg(F.collect_list(pair).alias("m"))
+    refused = F.raise_error(F.lit(f"list {name} has more than {max_members} members"))
+    return members.select(F.when(F.size("m") > max_members, refused).otherwise(F.col("m")).alias("m")).scalar()

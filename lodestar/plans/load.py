@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lodestar.functions.columns import fill_blank, ts_lit
 from lodestar.functions.reserved import NA_TEXT, RECORD_ERROR, RECORD_SUPERSEDED
-from lodestar.operators.diff import UPDATE, delta_counts, fact_diff, image_diff, refreshed_stage, stage_refresh
+from lodestar.operators.diff import UPDATE, delta_counts, fact_changes, fact_stage_refresh, image_diff, refreshed_stage
 from lodestar.operators.extract import latest_per_key
 from lodestar.operators.facts import (
     fact_insert,
@@ -98,25 +98,26 @@ def load_fact(
     and the error table read their share without repeating the lookups.
     """
     keys = list(spec.key)
-    prestage = ctx.write(latest_per_key(prestage, keys, order), f"prestage_{spec.name}")
-    old_stage = ctx.before(f"stage_{spec.name}")
-    stage = _empty_like(prestage) if old_stage is None else old_stage
-    diff = ctx.write(fact_diff(prestage, stage, keys), f"delta_{spec.name}")
-    compare = [c for c in prestage.columns if c not in keys]
-    ctx.write(stage_refresh(prestage, stage, keys, compare, partial=True), f"stage_{spec.name}")
+    prestage = latest_per_key(prestage, keys, order)
+    stage = ctx.before(f"stage_{spec.name}")
+    stage = _empty_like(prestage) if stage is None else stage
+    changes = ctx.write(fact_changes(prestage, stage, keys), f"delta_{spec.name}")
+    ctx.write(fact_stage_refresh(stage, changes, keys), f"stage_{spec.name}")
 
     lookups = spec.bind(dims, ctx.run_ts)
-    rows = moved_rows(spec.lines(prestage), diff, keys).drop("op")
-    found = resolve_all(rows, lookups).withColumn("rejected", unresolved(lookups))
+    found = resolve_all(spec.lines(moved_rows(changes)), lookups).withColumn("rejected", unresolved(lookups))
     found = ctx.write(found, f"resolved_{spec.name}", ["rejected"])
     valid = spec.shape(found.filter(~F.col("rejected")).drop("rejected"))
     errors = fact_quarantine(found.filter(F.col("rejected")).drop("rejected"), ctx.run_id, ctx.run_ts)
 
     fact, old_errors = ctx.before(spec.name), ctx.before(f"{spec.name}_error")
-    merged = fact_insert(valid, ctx.run_ts) if fact is None else fact_merge(fact, valid, diff, keys, ctx.run_ts, ctx.expire_offset)
+    if fact is None:
+        merged = fact_insert(valid, ctx.run_ts)
+    else:
+        merged = fact_merge(fact, valid, changes, keys, ctx.run_ts, ctx.expire_offset)
     ctx.write(merged, spec.name)
     ctx.write(errors if old_errors is None else old_errors.unionByName(errors), f"{spec.name}_error")
-    return [f"stage_{spec.name}", spec.name, f"{spec.name}_error"], delta_counts(diff)
+    return [f"stage_{spec.name}", spec.name, f"{spec.name}_error"], delta_counts(changes)
 
 
 def supersede_errors(errors: DataFrame, fact: DataFrame, keys: list[str], error_run: int) -> DataFrame:

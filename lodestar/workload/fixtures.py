@@ -15,6 +15,7 @@ from lodestar.functions.reserved import DIM_OPEN_END, NA_ID, NA_TEXT
 from lodestar.operators.extract import current_versions, incremental_extract, latest_per_key
 from lodestar.operators.facts import Lookup, fact_insert, resolve_keys
 from lodestar.operators.scd import DimSpec
+from lodestar.session import cut_lineage
 
 RUN_TS = "2026-01-01 00:00:00"
 SECOND_RUN_TS = "2026-01-02 00:00:00"
@@ -109,14 +110,15 @@ class Source:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """One row per order line."""
-        return latest_per_key(self.table("lineitem"), LINE_KEY, "l_shipdate")
+        """One row per order line, written once for all its readers."""
+        return cut_lineage(latest_per_key(self.table("lineitem"), LINE_KEY, "l_shipdate"))
 
     @cached_property
     def fact_lines(self) -> DataFrame:
-        """Order lines with header columns and some NULL ids and dates."""
+        """Order lines with header columns and some NULL ids and dates, written once."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        return self.lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        lines = latest_per_key(self.table("lineitem"), LINE_KEY, "l_shipdate")
+        rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             *LINE_KEY,
             "l_partkey",
             F.when(F.col("l_discount") != 0, F.col("l_suppkey")).alias("l_suppkey"),
@@ -127,6 +129,7 @@ class Source:
             "l_extendedprice",
             "l_returnflag",
         )
+        return cut_lineage(rows)
 
     @cached_property
     def fact_prestage(self) -> DataFrame:
@@ -165,7 +168,7 @@ class Source:
         shipped = self.table("lineitem").select(date_id("l_shipdate").alias("date_id"))
         none = self.spark.createDataFrame([("0",)], "date_id string")
         days = ordered.unionByName(shipped).distinct().unionByName(none)
-        return days.select("date_id", F.col("date_id").cast("int").alias("date_key"))
+        return cut_lineage(days.select("date_id", F.col("date_id").cast("int").alias("date_key")))
 
     @cached_property
     def lookups(self) -> list[Lookup]:
@@ -288,6 +291,68 @@ class Source:
         names = F.when(r == 0, "Purchase Orders").when(r == 1, "AP-General").otherwise(F.col("n_name"))
         return self._document_tables(kind, names)
 
+    # Dimensions of the document facts -----------------------------------------
+
+    def _nation_dim(self, id: str, key: str, offset: int = 0) -> DataFrame:
+        nation = F.col("n_nationkey").cast("long")
+        rows = self.table("nation").select((nation + offset).alias(id), (nation + 1).alias(key))
+        return rows.unionByName(self.spark.createDataFrame([(NA_ID, NA_ID)], f"{id} bigint, {key} bigint"))
+
+    def _customer_dim(self, id: str, key: str) -> DataFrame:
+        cols = ["date_active_from", "date_active_to", "dw_active"]
+        rows = self.dim.select(F.col("c_custkey").alias(id), F.col("customer_key").alias(key), *cols)
+        member = self.spark.createDataFrame([(NA_ID, NA_ID)], f"{id} bigint, {key} bigint").select(
+            id, key, ts_lit("2000-01-01 00:00:00").alias(cols[0]), ts_lit(DIM_OPEN_END).alias(cols[1]), F.lit("A").alias(cols[2])
+        )
+        return rows.unionByName(member)
+
+    @cached_property
+    def fact_dims(self) -> dict[str, DataFrame]:
+        """Every dimension the document facts look keys up in."""
+        kinds = self.revenue_tables["transactions"].filter(F.col("transaction_type") != "Journal")
+        suppliers = self.supplier_dim
+        return {
+            "vendors": self._customer_dim("vendor_id", "vendor_key"),
+            "customers": self._customer_dim("customer_id", "customer_key"),
+            "employees": suppliers.select(F.col("s_suppkey").alias("employee_id"), F.col("supplier_key").alias("employee_key")),
+            "tax_items": suppliers.select(F.col("s_suppkey").alias("item_id"), F.col("supplier_key").alias("tax_item_key")),
+            "items": self.part_dim.select(F.col("p_partkey").alias("item_id"), F.col("part_key").alias("item_key")),
+            "dwdate": self.date_dim,
+            "subsidiaries": self._nation_dim("subsidiary_id", "subsidiary_key", 10),
+            "transaction_type": self._nation_dim("transaction_type_id", "transaction_type_key", 180),
+            "freight_estimate": self._nation_dim("landed_cost_rule_matrix_nz_id", "freight_key"),
+            "currencies": self._nation_dim("currency_id", "currency_key"),
+            "locations": self._nation_dim("location_id", "location_key"),
+            "payment_terms": self._nation_dim("payment_terms_id", "payment_term_key"),
+            "cost_center": self._nation_dim("department_id", "department_key"),
+            "classes": self._nation_dim("class_id", "class_key"),
+            "carrier": self._nation_dim("carrier_id", "carrier_key"),
+            "territories": self._nation_dim("territory_id", "territory_key"),
+            "accounts": self._nation_dim("account_id", "account_key"),
+            "accounting_period": self._nation_dim("accounting_period_id", "accounting_period_key"),
+            "transaction_status": cut_lineage(
+                kinds.select("status", F.col("transaction_type").alias("document_type"))
+                .distinct()
+                .withColumn("transaction_status_key", F.ascii("status") * 100 + F.length("document_type"))
+            ),
+        }
+
+    @cached_property
+    def return_prestage(self) -> DataFrame:
+        """Vendor returns: order lines, of which the returned ones are item lines."""
+        return self.fact_lines.select(
+            F.col("l_orderkey").alias("transaction_id"),
+            F.col("l_linenumber").alias("transaction_line_id"),
+            F.when(F.col("l_suppkey").isNotNull(), F.concat(F.lit("RET"), F.col("l_orderkey"))).alias("vra_number"),
+            F.col("o_custkey").alias("vendor_id"),
+            F.col("l_suppkey").alias("created_by_id"),
+            F.col("o_orderdate").alias("create_date"),
+            F.col("l_shipdate").alias("shipment_received_date"),
+            F.col("l_partkey").alias("item_id"),
+            F.col("l_quantity").alias("item_count"),
+            F.when(F.col("l_returnflag") == "R", "VRA_LINE").otherwise("VRA_TAX").alias("line_type"),
+        )
+
     # Hierarchy and control ----------------------------------------------------
 
     @cached_property

@@ -273,6 +273,63 @@ def _codes(name: str, table: str, column: str) -> str:
     )
 
 
+FACT_DIMS = """
+d_nation AS (SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(n_nationkey + 1 AS BIGINT) AS key FROM nation UNION ALL SELECT -99, -99),
+d_subs AS (SELECT CAST(n_nationkey + 10 AS BIGINT) AS id, CAST(n_nationkey + 1 AS BIGINT) AS key FROM nation UNION ALL SELECT -99, -99),
+d_types AS (SELECT CAST(n_nationkey + 180 AS BIGINT) AS id, CAST(n_nationkey + 1 AS BIGINT) AS key FROM nation UNION ALL SELECT -99, -99),
+d_cust AS (SELECT c_custkey AS id, customer_key AS key FROM cur UNION ALL SELECT -99, -99),
+d_supp AS (SELECT s_suppkey AS id, supplier_key AS key FROM supps),
+d_part AS (SELECT p_partkey AS id, part_key AS key FROM parts),
+d_date AS (SELECT date_id AS id, date_key AS key FROM dates)"""
+
+
+def _load(rows: str, lookups: dict[str, tuple[str, str]], more: str, extra_join: str = "", extra_key: str = "") -> str:
+    """Keys of the lines in ``rows``; a lookup is key name -> (dimension, id expression)."""
+    joins, keys = [], []
+    for i, (name, (dim, expr)) in enumerate(lookups.items()):
+        on = f"coalesce(strftime(CAST({expr} AS TIMESTAMP), '%Y%m%d'), '0')" if dim == "d_date" else f"coalesce({expr}, -99)"
+        joins.append(f"LEFT JOIN {dim} j{i} ON {on} = j{i}.id")
+        keys.append((f"j{i}.key", name))
+    tests = [k for k, _ in keys] + ([extra_key.split(" AS ")[0]] if extra_key else [])
+    shown = ", ".join(f"{k} AS {n}" for k, n in keys) + (f", {extra_key}" if extra_key else "")
+    return f"""
+SELECT a.transaction_id, a.transaction_line_id, {shown}, {more}, {" OR ".join(f"{t} IS NULL" for t in tests)} AS rejected
+FROM ({rows}) a
+{chr(10).join(joins)} {extra_join}"""
+
+
+N, D = "d_nation", "d_date"
+PO_LOOKUPS = {
+    "vendor_key": ("d_cust", "vendor_id"), "requester_key": ("d_supp", "NULL"), "approver_level1_key": ("d_supp", "NULL"),
+    "approver_level2_key": ("d_supp", "NULL"), "create_date_key": (D, "NULL"), "subsidiary_key": ("d_subs", "27"),
+    "requested_receipt_date_key": (D, "NULL"), "actual_delivery_date_key": (D, "NULL"),
+    "freight_estimate_method_key": (N, "NULL"), "currency_key": (N, "NULL"), "location_key": (N, "NULL"),
+    "item_key": ("d_part", "item_id"), "terms_key": (N, "terms_id"), "tax_item_key": ("d_supp", "NULL"),
+    "cost_center_key": (N, "NULL"), "class_key": (N, "NULL"), "carrier_key": (N, "NULL"),
+}
+VB_LOOKUPS = {
+    "vendor_key": ("d_cust", "vendor_id"), "create_date_key": (D, "NULL"), "due_date_key": (D, "NULL"),
+    "gl_post_date_key": (D, "NULL"), "vendor_bill_date_key": (D, "NULL"), "close_date_key": (D, "NULL"),
+    "requester_key": ("d_supp", "NULL"), "approver_level1_key": ("d_supp", "NULL"), "approver_level2_key": ("d_supp", "NULL"),
+    "subsidiary_key": ("d_subs", "27"), "location_key": (N, "NULL"), "item_key": ("d_part", "item_id"),
+    "cost_center_key": (N, "NULL"), "currency_key": (N, "NULL"), "terms_key": (N, "payment_terms_id"),
+    "tax_item_key": ("d_supp", "tax_item_id"), "class_key": (N, "NULL"),
+}
+VRA_LOOKUPS = {
+    "vendor_key": ("d_cust", "o_custkey"), "requester_key": ("d_supp", "l_suppkey"), "create_date_key": (D, "o_orderdate"),
+    "receive_date_key": (D, "l_shipdate"), "close_date_key": (D, "NULL"), "subsidiary_key": ("d_subs", "NULL"),
+    "location_key": (N, "NULL"), "cost_center_key": (N, "NULL"), "item_key": ("d_part", "l_partkey"),
+    "tax_item_key": ("d_supp", "NULL"), "currency_key": (N, "NULL"), "class_key": (N, "NULL"),
+}
+REVENUE_LOOKUPS = {
+    "terms_key": (N, "terms_id"), "territory_key": (N, "sales_rep_id"), "currency_key": (N, "NULL"),
+    "transaction_date_key": (D, "trandate"), "account_key": (N, "account_id"), "item_key": ("d_part", "item_id"),
+    "tax_item_key": ("d_supp", "NULL"), "subsidiary_key": ("d_subs", "27"), "location_key": (N, "NULL"),
+    "class_key": (N, "NULL"), "customer_key": ("d_cust", "customer_id"), "ref_doc_type_key": ("d_types", "ref_custom_form_id"),
+    "document_type_key": ("d_types", "custom_form_id"), "accounting_period_key": (N, "NULL"),
+}
+NO_FACT_LINES = FACT.replace(LINES + ",", "", 1)
+
 ORACLE: dict[str, str] = {
     "incremental_extract": f"""
 SELECT event_id, strftime(ts, {TS}) AS ts, user_id, value FROM events
@@ -505,3 +562,41 @@ SELECT 2 AS runid, 'no of records ' || stage || ' --> ' || n AS message_desc, 'c
 FROM n""",
 }
 ORACLE["resolve_keys_shuffled"] = ORACLE["resolve_keys"]
+ORACLE["fact_stage_refresh_full"] = ORACLE["fact_stage_refresh"]
+ORACLE["po_fact_load"] = (
+    f"WITH {PURCHASE}, {DIM}, {NO_FACT_LINES}, {FACT_DIMS}, po AS ("
+    + ORACLE["po_fact"].replace(f"WITH {PURCHASE}", "")
+    + ")"
+    + _load(
+        "SELECT po.*, b.payment_terms_id AS terms_id FROM po JOIN trx b USING (transaction_id) WHERE line_type = 'PO_LINE'",
+        PO_LOOKUPS, "item_count AS quantity, po_status AS status",
+    )
+)
+ORACLE["vendor_bill_fact_load"] = (
+    f"WITH {PURCHASE}, {DIM}, {NO_FACT_LINES}, {FACT_DIMS}, vb AS ("
+    + ORACLE["vendor_bill_fact"].replace(f"WITH {PURCHASE},", "WITH ")
+    + ")"
+    + _load(
+        "SELECT vb.*, l.item_id FROM vb JOIN trx_lines l USING (transaction_id, transaction_line_id) WHERE line_type = 'VB_LINE'",
+        VB_LOOKUPS, "-99 AS account_key, ref_trx_number AS source_transaction_number",
+    )
+)
+ORACLE["vendor_return_fact_load"] = f"WITH {DIM}, {FACT}, {FACT_DIMS}" + _load(
+    "SELECT *, l_orderkey AS transaction_id, l_linenumber AS transaction_line_id FROM fl WHERE l_returnflag = 'R'",
+    VRA_LOOKUPS,
+    "CASE WHEN l_suppkey IS NULL THEN 'NA_GDW' ELSE 'RET' || l_orderkey END AS vra_number, l_quantity AS quantity",
+)
+ORACLE["revenue_fact_load"] = (
+    f"WITH {REVENUE}, {DIM}, {NO_FACT_LINES}, {FACT_DIMS}, "
+    + "d_status AS (SELECT DISTINCT status, transaction_type AS document_type, "
+    + "ascii(status) * 100 + CAST(length(transaction_type) AS INTEGER) AS key FROM trx WHERE transaction_type <> 'Journal'), rev AS ("
+    + " UNION ALL ".join(_revenue_branch(k) for k in REVENUE_FILTERS)
+    + ")"
+    + _load(
+        "SELECT rev.* REPLACE (b.trandate AS trandate), b.payment_terms_id AS terms_id, b.custom_form_id, b.status FROM rev "
+        "JOIN trx b USING (transaction_id) WHERE line_type IN ('INV_LINE', 'RA_LINE', 'CN_LINE', 'JN_LINE')",
+        REVENUE_LOOKUPS, "quantity",
+        "LEFT JOIN d_status s ON a.status = s.status AND a.transaction_type = s.document_type",
+        "s.key AS document_status_key",
+    )
+)

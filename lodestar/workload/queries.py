@@ -26,6 +26,8 @@ from lodestar.functions.reserved import NA_ID, NA_TEXT
 from lodestar.operators import diff as d, extract as x, facts as f, hierarchy as h, reference as r, scd
 from lodestar.operators.joins import Side, join_sides
 from lodestar.plans import control, documents
+from lodestar.plans.facts import PURCHASE_ORDERS, REVENUE, VENDOR_BILLS, VENDOR_RETURNS, FactSpec
+from lodestar.session import cut_lineage
 from lodestar.workload.fixtures import (
     CUSTOMER,
     CUSTOMER_TYPE1,
@@ -321,6 +323,10 @@ def _fact_diff(s: Source) -> DataFrame:
     return d.fact_diff(s.fact_prestage, s.fact_stage, LINE_KEY)
 
 
+def _fact_changes(s: Source) -> DataFrame:
+    return d.fact_changes(s.fact_prestage, s.fact_stage, LINE_KEY)
+
+
 @query
 def fact_diff(s: Source) -> DataFrame:
     return _fact_diff(s)
@@ -333,6 +339,11 @@ def diff_balance(s: Source) -> DataFrame:
 
 @query
 def fact_stage_refresh(s: Source) -> DataFrame:
+    return d.fact_stage_refresh(s.fact_stage, _fact_changes(s), LINE_KEY)
+
+
+@query
+def fact_stage_refresh_full(s: Source) -> DataFrame:
     compare = [c for c in s.fact_stage.columns if c not in LINE_KEY]
     return d.stage_refresh(s.fact_prestage, s.fact_stage, LINE_KEY, compare, partial=True)
 
@@ -351,21 +362,21 @@ def resolve_keys_shuffled(s: Source) -> DataFrame:
 
 @query
 def fact_insert(s: Source) -> DataFrame:
-    rows = f.moved_rows(s.fact_prestage, _fact_diff(s), LINE_KEY, [d.INSERT]).drop("op")
+    rows = f.moved_rows(_fact_changes(s), [d.INSERT])
     valid, _ = f.resolve_keys(rows, s.lookups)
     return f.fact_insert(valid, RUN_TS)
 
 
 @query
 def fact_quarantine(s: Source) -> DataFrame:
-    rows = f.moved_rows(s.fact_prestage, _fact_diff(s), LINE_KEY, [d.INSERT]).drop("op")
+    rows = f.moved_rows(_fact_changes(s), [d.INSERT])
     _, rejected = f.resolve_keys(rows, s.lookups)
     return f.fact_quarantine(rejected, RUN_ID, RUN_TS)
 
 
 @query
 def fact_update_quarantine(s: Source) -> DataFrame:
-    rows = f.moved_rows(s.fact_prestage, _fact_diff(s), LINE_KEY, [d.UPDATE]).drop("op")
+    rows = f.moved_rows(_fact_changes(s), [d.UPDATE])
     _, rejected = f.resolve_keys(rows, s.lookups)
     return f.fact_quarantine(rejected, RUN_ID, RUN_TS)
 
@@ -378,15 +389,15 @@ def fact_expire(s: Source) -> DataFrame:
 
 @query
 def fact_version_merge(s: Source) -> DataFrame:
-    diff = _fact_diff(s)
-    valid, _ = f.resolve_keys(f.moved_rows(s.fact_prestage, diff, LINE_KEY).drop("op"), s.lookups)
-    return f.fact_merge(s.fact, valid, diff, LINE_KEY, RUN_TS)
+    changes = cut_lineage(_fact_changes(s))
+    valid, _ = f.resolve_keys(f.moved_rows(changes), s.lookups)
+    return f.fact_merge(s.fact, valid, changes, LINE_KEY, RUN_TS)
 
 
 def _reprocessed(s: Source) -> tuple[DataFrame, DataFrame]:
-    rows = f.moved_rows(s.fact_prestage, _fact_diff(s), LINE_KEY).drop("op")
+    rows = f.moved_rows(_fact_changes(s))
     _, rejected = f.resolve_keys(rows, s.lookups)
-    errors = f.fact_quarantine(rejected, RUN_ID, RUN_TS)
+    errors = cut_lineage(f.fact_quarantine(rejected, RUN_ID, RUN_TS))
     return f.reprocess_errors(errors, s.later_lookups, RUN_ID, SECOND_RUN_TS)
 
 
@@ -431,6 +442,44 @@ def vendor_bill_fact(s: Source) -> DataFrame:
     )
 
 
+def _loaded(s: Source, spec: FactSpec, prestage: DataFrame) -> DataFrame:
+    """Resolved lines of a fact; ids the driver tables have no counterpart for are NULL."""
+    fks = [c for lk in spec.lookups for c in ([lk.fk] if isinstance(lk.fk, str) else lk.fk)]
+    dates = {lk.fk for lk in spec.lookups if lk.date}
+    missing = {c: F.lit(None).cast("timestamp_ntz" if c in dates else "long") for c in fks if c not in prestage.columns}
+    rows = spec.lines(prestage.withColumns(missing))
+    lookups = spec.bind(s.fact_dims, RUN_TS)
+    found = f.resolve_all(rows, lookups).withColumn("rejected", f.unresolved(lookups))
+    return spec.shape(found)
+
+
+def _keys_of(spec: FactSpec, loaded: DataFrame, *more: str) -> DataFrame:
+    return loaded.select(*spec.key, *[lk.name for lk in spec.lookups], *more, "rejected")
+
+
+@query
+def revenue_fact_load(s: Source) -> DataFrame:
+    prestage = documents.revenue_extract(s.revenue_tables, 27, "1996-01-01 00:00:00")
+    return _keys_of(REVENUE, _loaded(s, REVENUE, prestage), "quantity")
+
+
+@query
+def po_fact_load(s: Source) -> DataFrame:
+    prestage = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    return _keys_of(PURCHASE_ORDERS, _loaded(s, PURCHASE_ORDERS, prestage), "quantity", "status")
+
+
+@query
+def vendor_bill_fact_load(s: Source) -> DataFrame:
+    prestage = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    return _keys_of(VENDOR_BILLS, _loaded(s, VENDOR_BILLS, prestage), "account_key", "source_transaction_number")
+
+
+@query
+def vendor_return_fact_load(s: Source) -> DataFrame:
+    return _keys_of(VENDOR_RETURNS, _loaded(s, VENDOR_RETURNS, s.return_prestage), "vra_number", "quantity")
+
+
 # Hierarchies ------------------------------------------------------------------
 
 
