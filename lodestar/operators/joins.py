@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -41,15 +42,10 @@ def measure_bytes(frames: Sequence[DataFrame]) -> list[int]:
     """
     if not frames:
         return []
-    parts = [
-        df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")).select(F.lit(i).alias("i"), "bytes")
-        for i, df in enumerate(frames)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    sized = [df.select(F.lit(i).alias("i"), _row_bytes(df).alias("bytes")) for i, df in enumerate(frames)]
+    out = reduce(lambda a, b: a.unionByName(b), sized).groupBy("i").agg(F.sum("bytes").alias("bytes"))
     sizes = {r["i"]: r["bytes"] for r in out.collect()}
-    return [int(sizes[i]) for i in range(len(frames))]
+    return [int(sizes.get(i, 0)) for i in range(len(frames))]
 
 
 @dataclass(frozen=True)
@@ -82,23 +78,22 @@ def hot_hashes(df: DataFrame, keys: Sequence[Sequence[Column]], share: float = H
 
 
 def _spread(
-    left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], how: str, hot: list[int], salts: int
+    left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], how: str, hot: list[int], salts: int,
+    salt_by: list[str],
 ) -> DataFrame:
     """Shuffle join; rows of a hot key go to ``salts`` partitions by their content."""
     cond = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
     if not hot:
-        return left.join(right, cond, how).drop(*left_keys, *right_keys)
+        return left.join(right, cond, how)
     zero = F.lit(0).cast("long")
-    plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    name = f"__salt_{left_keys[0]}"
     is_hot = F.xxhash64(*[F.col(k) for k in left_keys]).isin(hot)
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in plain]), F.lit(salts))).otherwise(zero)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(salts))).otherwise(zero)
     copied = F.xxhash64(*[F.col(k) for k in right_keys]).isin(hot)
     copies = F.when(copied, F.sequence(zero, F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
-    left = left.withColumn("__salt", salt)
-    right = right.withColumn("__copy", F.explode(copies))
-    return left.join(right, [*cond, F.col("__salt") == F.col("__copy")], how).drop(
-        *left_keys, *right_keys, "__salt", "__copy"
-    )
+    left = left.withColumn(name, salt)
+    right = right.withColumn(f"{name}_copy", F.explode(copies))
+    return left.join(right, [*cond, F.col(name) == F.col(f"{name}_copy")], how)
 
 
 def _within_budget(sizes: Sequence[int], roles: Sequence[tuple], budget: int) -> list[int]:
@@ -139,14 +134,14 @@ def join_sides(
         return [expr.cast(t) for (expr, _), t in zip(sides[i].on, types)]
 
     hot = dict(zip(large, hot_hashes(left, [keys(i) for i in large], hot_share))) if large else {}
-    out = left
+    salt_by = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    left_keys = {i: [f"__l{i}k{j}" for j in range(len(side.on))] for i, side in enumerate(sides)}
+    out = left.withColumns({name: expr for i in left_keys for name, expr in zip(left_keys[i], keys(i))})
     for i in small + large:
-        left_keys = [f"__l{i}k{j}" for j in range(len(sides[i].on))]
         right_keys = [f"__r{i}k{j}" for j in range(len(sides[i].on))]
-        out = out.withColumns(dict(zip(left_keys, keys(i))))
         if i in hot:
-            out = _spread(out, prepared[i], left_keys, right_keys, how, hot[i], salts)
+            out = _spread(out, prepared[i], left_keys[i], right_keys, how, hot[i], salts, salt_by)
         else:
-            cond = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
-            out = out.join(F.broadcast(prepared[i]), cond, how).drop(*left_keys, *right_keys)
+            cond = [F.col(a) == F.col(b) for a, b in zip(left_keys[i], right_keys)]
+            out = out.join(F.broadcast(prepared[i]), cond, how)
     return out.select(*left.columns, *[name for s in sides for name in s.take])
