@@ -43,8 +43,9 @@ def read_extract(
     by one task, so clean or escape line breaks at extraction instead.
     """
     full = T.StructType([T.StructField("runid", T.IntegerType()), *schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {**_options(delimiter), "emptyValue": "", "nullValue": None, "mode": "PERMISSIVE", "multiLine": multiline}
-    options = {k: v for k, v in options.items() if v is not None}
+    # The reader hands out ``nullValue`` for an empty field and compares with it, so it
+    # has to be a text no field can hold; a quoted empty field then stays ''.
+    options = {**_options(delimiter), "emptyValue": "", "nullValue": "\u0000", "mode": "PERMISSIVE", "multiLine": multiline}
     return (
         spark.read.schema(full).options(columnNameOfCorruptRecord=CORRUPT, **options).csv(f"{path}/runid={run_id}")
     )

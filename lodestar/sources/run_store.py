@@ -51,7 +51,7 @@ class RunStore:
         """Write one table of a run and read it back, which also cuts its lineage."""
         path = self.path(table, run_id, attempt)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path) if not partition_by else self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def path(self, table: str, run_id: int, attempt: int = 1) -> str:
         return f"{self.root}/{table}/run{run_id}/attempt{attempt}"
