@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestar.functions.reserved import NA_ID, NA_TEXT
 from lodestar.operators.extract import current_versions
@@ -32,6 +32,9 @@ class FactSpec:
 
     ``renames`` maps prestage columns to fact columns; ``text_defaults`` are text
     columns that take 'not available' when NULL; ``constants`` are added as they are.
+    ``part_width`` keeps stage and fact in parts of that many consecutive ids of the
+    first key column, so that a load only touches the parts of its increment. Ids that
+    rise with time keep those few; choose the width for up to some thousand parts.
     """
 
     name: str
@@ -42,6 +45,13 @@ class FactSpec:
     renames: Mapping[str, str] = field(default_factory=dict)
     text_defaults: tuple[str, ...] = ()
     constants: Mapping[str, int] = field(default_factory=dict)
+    part_width: int | None = None
+
+    def part(self) -> Column:
+        """Part of the stage and fact tables a row belongs to; depends on the key only."""
+        if self.part_width is None:
+            return F.lit("0")
+        return F.floor(F.col(self.key[0]) / self.part_width).cast("string")
 
     def lines(self, prestage: DataFrame) -> DataFrame:
         """Rows of the increment that belong in the fact."""

@@ -27,7 +27,7 @@ from lodestar.operators.scd import DimSpec, scd_insert, scd_merge
 from lodestar.plans import control
 from lodestar.plans.dimensions import ENRICHED
 from lodestar.plans.facts import FactSpec
-from lodestar.sources.run_store import RunStore
+from lodestar.sources.run_store import WHOLE, Published, RunStore
 
 
 @dataclass(frozen=True)
@@ -42,12 +42,29 @@ class RunContext:
     expire_offset: str = "1 DAY"
     delete_scope: str = "active"
 
-    def before(self, table: str) -> DataFrame | None:
-        return self.store.read(table, before=self.run_id)
+    def before(self, table: str, wanted: Callable[[str], bool] | None = None) -> DataFrame | None:
+        """State of a table, or of some parts, that this run starts from."""
+        return self.store.read(table, self.run_id, wanted)
 
     def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
         return self.store.write(df, table, self.run_id, self.attempt, partition_by)
 
+    def path(self, table: str) -> str:
+        return self.store.path(table, self.run_id, self.attempt)
+
+    def whole(self, df: DataFrame, table: str) -> dict[str, Published]:
+        """Write a table that replaces its last state."""
+        self.write(df, table)
+        return {table: Published({WHOLE: self.path(table)})}
+
+    def append(self, df: DataFrame, table: str) -> dict[str, Published]:
+        """Write rows that join what is there."""
+        self.write(df, table)
+        return {table: Published({f"run{self.run_id}": self.path(table)}, ())}
+
+
+Loaded = tuple[dict[str, Published], DataFrame]
+
 
 def _empty_like(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], df.schema)
@@ -65,24 +82,52 @@ def enrich(spec: DimSpec, prestage: DataFrame, tables: Mapping[str, DataFrame])
     return out.withColumns({n: fill_blank(n, NA_TEXT) for n in names})
 
 
-def load_dimension(ctx: RunContext, spec: DimSpec, prestage: DataFrame) -> tuple[list[str], DataFrame]:
+def load_dimension(ctx: RunContext, spec: DimSpec, prestage: DataFrame) -> Loaded:
     """Compare, refresh the stage image and merge the dimension.
 
-    The comparison is written once and feeds everything else. Returns the written
-    tables and the counts of the delta.
+    The comparison is written once and feeds everything else. Returns what to publish
+    and the counts of the delta.
     """
     prestage = prestage.select(spec.key, *spec.attributes)
     stage = ctx.before(f"stage_{spec.name}")
     images = image_diff(prestage, _empty_like(prestage) if stage is None else stage, spec.key, spec.scd1, spec.scd2)
     images = ctx.write(images, f"delta_{spec.name}")
-    ctx.write(refreshed_stage(images, prestage.columns), f"stage_{spec.name}")
+    staged = ctx.whole(refreshed_stage(images, prestage.columns), f"stage_{spec.name}")
     dim = ctx.before(spec.name)
     if dim is None:
         merged = scd_insert(images, spec, ctx.run_ts, None, None)
     else:
         merged = scd_merge(dim, images, spec, ctx.run_ts, ctx.expire_offset, ctx.delete_scope)
-    ctx.write(merged, spec.name)
-    return [f"stage_{spec.name}", spec.name], delta_counts(images)
+    return {**staged, **ctx.whole(merged, spec.name)}, delta_counts(images)
+
+
+def _touched(spec: FactSpec, rows: DataFrame) -> list[str]:
+    # As many values as there are parts, which the part width bounds.
+    return [r[0] for r in rows.select(spec.part().alias("p")).distinct().collect() if r[0] is not None]
+
+
+def _write_stage(ctx: RunContext, spec: FactSpec, stage: DataFrame, touched: Sequence[str]) -> dict[str, Published]:
+    table = f"stage_{spec.name}"
+    written = ctx.write(stage.withColumn("dw_part", spec.part()), table, ["dw_part"])
+    parts = [r[0] for r in written.select("dw_part").distinct().collect()]
+    return {table: Published({p: f"{ctx.path(table)}/dw_part={p}" for p in parts}, touched)}
+
+
+def _write_fact(ctx: RunContext, spec: FactSpec, fact: DataFrame, touched: Sequence[str]) -> dict[str, Published]:
+    """Write the current versions of the touched parts anew and add the versions just closed."""
+    state = F.when(F.col("dw_current") == 1, "current").otherwise("closed")
+    rows = fact.withColumns({"dw_state": state, "dw_part": spec.part()})
+    written = ctx.write(rows, spec.name, ["dw_state", "dw_part"])
+    paths = {}
+    for r in written.select("dw_state", "dw_part").distinct().collect():
+        name = f"current/{r[1]}" if r[0] == "current" else f"closed/{r[1]}/run{ctx.run_id}"
+        paths[name] = f"{ctx.path(spec.name)}/dw_state={r[0]}/dw_part={r[1]}"
+    return {spec.name: Published(paths, [f"current/{p}" for p in touched])}
+
+
+def _current(ctx: RunContext, spec: FactSpec, touched: Sequence[str]) -> DataFrame | None:
+    names = {f"current/{p}" for p in touched}
+    return ctx.before(spec.name, names.__contains__)
 
 
 def load_fact(
@@ -91,18 +136,21 @@ def load_fact(
     prestage: DataFrame,
     dims: Mapping[str, DataFrame],
     order: str = "date_last_modified",
-) -> tuple[list[str], DataFrame]:
+) -> Loaded:
     """Compare an increment, resolve its new and changed lines once, load or quarantine.
 
-    The resolved rows are written split by whether all keys were found, so the fact
-    and the error table read their share without repeating the lookups.
+    Only the parts of stage and fact that hold keys of the increment are read and
+    rewritten; closed versions and error rows are appended. The resolved rows are
+    written split by whether all keys were found, so the fact and the error table
+    read their share without repeating the lookups.
     """
     keys = list(spec.key)
+    touched = _touched(spec, prestage)
     prestage = latest_per_key(prestage, keys, order)
-    stage = ctx.before(f"stage_{spec.name}")
+    stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
     stage = _empty_like(prestage) if stage is None else stage
     changes = ctx.write(fact_changes(prestage, stage, keys), f"delta_{spec.name}")
-    ctx.write(fact_stage_refresh(stage, changes, keys), f"stage_{spec.name}")
+    staged = _write_stage(ctx, spec, fact_stage_refresh(stage, changes, keys), touched)
 
     lookups = spec.bind(dims, ctx.run_ts)
     found = resolve_all(spec.lines(moved_rows(changes)), lookups).withColumn("rejected", unresolved(lookups))
@@ -110,49 +158,60 @@ def load_fact(
     valid = spec.shape(found.filter(~F.col("rejected")).drop("rejected"))
     errors = fact_quarantine(found.filter(F.col("rejected")).drop("rejected"), ctx.run_id, ctx.run_ts)
 
-    fact, old_errors = ctx.before(spec.name), ctx.before(f"{spec.name}_error")
+    fact = _current(ctx, spec, touched)
     if fact is None:
         merged = fact_insert(valid, ctx.run_ts)
     else:
         merged = fact_merge(fact, valid, changes, keys, ctx.run_ts, ctx.expire_offset)
-    ctx.write(merged, spec.name)
-    ctx.write(errors if old_errors is None else old_errors.unionByName(errors), f"{spec.name}_error")
-    return [f"stage_{spec.name}", spec.name, f"{spec.name}_error"], delta_counts(changes)
-
-
-def supersede_errors(errors: DataFrame, fact: DataFrame, keys: list[str], error_run: int) -> DataFrame:
-    """Mark open rows of one run whose line was quarantined or loaded again later."""
-    later = errors.filter(F.col("runid") > error_run).select(*keys).distinct().withColumn("__again", F.lit(True))
-    current = fact.filter(F.col("dw_current") == 1).select(*keys, F.col("date_active_from").alias("__loaded"))
-    is_open = (F.col("runid") == error_run) & (F.col("record_status") == RECORD_ERROR)
-    rows = errors.filter(is_open).join(later, keys, "left").join(current, keys, "left")
-    gone = F.col("__again").isNotNull() | (F.col("__loaded") > F.col("dw_creation_date"))
-    rows = rows.withColumn("record_status", F.when(gone, F.lit(RECORD_SUPERSEDED)).otherwise(F.col("record_status")))
-    return errors.filter(~F.coalesce(is_open, F.lit(False))).unionByName(rows.select(*errors.columns))
-
-
-def reprocess_fact(
-    ctx: RunContext, spec: FactSpec, dims: Mapping[str, DataFrame], error_run: int
-) -> tuple[list[str], DataFrame]:
+    loaded = _write_fact(ctx, spec, merged, touched)
+    return {**staged, **loaded, **ctx.append(errors, f"{spec.name}_error")}, delta_counts(changes)
+
+
+def supersede_errors(
+    errors: DataFrame, later: DataFrame | None, fact: DataFrame | None, keys: list[str]
+) -> DataFrame:
+    """Mark open error rows whose line was quarantined again or loaded afterwards."""
+    rows, gone = errors, F.lit(False)
+    if later is not None:
+        rows = rows.join(later.select(*keys).distinct().withColumn("__again", F.lit(True)), keys, "left")
+        gone = gone | F.col("__again").isNotNull()
+    if fact is not None:
+        current = fact.filter(F.col("dw_current") == 1)
+        rows = rows.join(current.select(*keys, F.col("date_active_from").alias("__loaded")), keys, "left")
+        gone = gone | F.coalesce(F.col("__loaded") > F.col("dw_creation_date"), F.lit(False))
+    is_open = F.col("record_status") == RECORD_ERROR
+    status = F.when(is_open & gone, F.lit(RECORD_SUPERSEDED)).otherwise(F.col("record_status"))
+    return rows.withColumn("record_status", status).select(*errors.columns)
+
+
+def reprocess_fact(ctx: RunContext, spec: FactSpec, dims: Mapping[str, DataFrame], error_run: int) -> Loaded:
     """Drive the quarantined rows of an earlier run into the fact.
 
     A row whose line has come again since, quarantined or loaded, is superseded: it
     is marked so and stays out of the fact. When a row lands, an older current
     version of its line is closed.
     """
-    errors, fact = ctx.before(f"{spec.name}_error"), ctx.before(spec.name)
-    if errors is None or fact is None:
-        raise ValueError(f"{spec.name} has not been loaded yet")
-    errors = ctx.write(supersede_errors(errors, fact, list(spec.key), error_run), f"open_{spec.name}_error")
+    table, part = f"{spec.name}_error", f"run{error_run}"
+    mine = ctx.before(table, part.__eq__)
+    if mine is None:
+        raise ValueError(f"run {error_run} left no errors of {spec.name}")
+    later = ctx.before(table, lambda p: int(p.removeprefix("run")) > error_run)
+    keys = list(spec.key)
+    touched = _touched(spec, mine)
+    fact = _current(ctx, spec, touched)
+    errors = ctx.write(supersede_errors(mine, later, fact, keys), f"open_{table}")
     facts, marked = reprocess_errors(errors, spec.bind(dims, ctx.run_ts), error_run, ctx.run_ts)
     resolved = ctx.write(spec.shape(facts), f"resolved_{spec.name}")
-    keys = list(spec.key)
-    diff = resolved.select(*keys, F.lit(UPDATE).alias("op")).distinct()
-    valid = resolved.drop("date_active_from", "date_active_to", "dw_current")
-    ctx.write(fact_merge(fact, valid, diff, keys, ctx.run_ts, ctx.expire_offset), spec.name)
-    ctx.write(marked, f"{spec.name}_error")
+    if fact is None:
+        merged = resolved
+    else:
+        diff = resolved.select(*keys, F.lit(UPDATE).alias("op"))
+        valid = resolved.drop("date_active_from", "date_active_to", "dw_current")
+        merged = fact_merge(fact, valid, diff, keys, ctx.run_ts, ctx.expire_offset)
+    loaded = _write_fact(ctx, spec, merged, touched)
+    ctx.write(marked, table)
     counts = resolved.agg(F.count(F.lit(1)).alias("resolved"))
-    return [spec.name, f"{spec.name}_error"], counts
+    return {**loaded, table: Published({part: ctx.path(table)}, (part,))}, counts
 
 
 def load_hierarchy(
@@ -164,7 +223,7 @@ def load_hierarchy(
     own: Sequence[str],
     parent_attrs: Mapping[str, tuple[str, str]],
     root_level: int | None = None,
-) -> list[str]:
+) -> dict[str, Published]:
     """Edges with parent attributes, depths, and the ancestor closure.
 
     ``own`` are the node's loaded columns. ``parent_attrs`` maps an edge column to
@@ -175,10 +234,10 @@ def load_hierarchy(
         key, parent, {out: source for out, (source, _) in parent_attrs.items()},
     ).select(key, *own, parent, *parent_attrs)
     edges = ctx.write(edges, f"{name}_edges")
-    ctx.write(hierarchy_depth(edges, key, parent, root_level), f"{name}_depth")
+    depths = ctx.whole(hierarchy_depth(edges, key, parent, root_level), f"{name}_depth")
     closure = hierarchy_closure(edges, key, parent, {out: own_col for out, (_, own_col) in parent_attrs.items()})
-    ctx.write(closure, f"{name}_hierarchy")
-    return [f"{name}_edges", f"{name}_depth", f"{name}_hierarchy"]
+    read_back = Published({WHOLE: ctx.path(f"{name}_edges")})
+    return {f"{name}_edges": read_back, **depths, **ctx.whole(closure, f"{name}_hierarchy")}
 
 
 @dataclass
@@ -186,7 +245,7 @@ class Job:
     """One entity of a run: a name and the call that loads it."""
 
     entity: str
-    load: Callable[[RunContext], tuple[list[str], DataFrame]]
+    load: Callable[[RunContext], Loaded]
     is_dimension: bool = True
     watermark: tuple[str, str | dt.datetime, str | dt.datetime] | None = None
 
@@ -195,7 +254,7 @@ class Job:
 class RunResult:
     status: dict[str, str] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
-    published: list[str] = field(default_factory=list)
+    published: dict[str, Published] = field(default_factory=dict)
 
 
 def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | None = None, mode: str = "normal") -> RunResult:
@@ -219,13 +278,13 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
             result.errors[job.entity] = "not loaded: a dimension failed"
             continue
         try:
-            tables, counts = job.load(ctx)
+            written, counts = job.load(ctx)
         except Exception as e:  # noqa: BLE001 - the entity is logged as failed, the run goes on
             result.status[job.entity] = control.ERROR
             result.errors[job.entity] = str(e)
             continue
         result.status[job.entity] = control.SUCCESS
-        result.published += tables
+        result.published |= written
         messages.append(control.message_rows(counts, ctx.run_id, job.entity, ctx.subsidiary, ctx.run_ts))
         if job.watermark is not None and watermarks is not None:
             fact, start, end = job.watermark
@@ -250,14 +309,9 @@ def _write_logs(
     notes = spark.createDataFrame([], control.MESSAGE_LOG_SCHEMA)
     for m in messages:
         notes = notes.unionByName(m)
-    logs = {"job_log": logged, "message_log": notes}
-    for name, new in logs.items():
-        old = ctx.before(name)
-        ctx.write(new if old is None else old.unionByName(new), name)
-        result.published.append(name)
+    result.published |= ctx.append(logged, "job_log") | ctx.append(notes, "message_log")
     if watermarks is not None:
-        ctx.write(watermarks, "watermarks")
-        result.published.append("watermarks")
+        result.published |= ctx.whole(watermarks, "watermarks")
 
 
 def seed_watermarks(ctx: RunContext, entries: Mapping[str, str | dt.datetime]) -> None:

@@ -1,20 +1,31 @@
-"""Tables kept as one folder per run, published together.
+"""Tables kept as parts written by runs, published together.
 
-A load writes every table under the run's own folder and then a manifest naming
-them. Readers follow the newest manifest, so stage, dimension, fact, error table
-and watermark change in one step, no folder is overwritten while it is read, and a
-run that dies leaves the last published state in place.
+A load writes new folders only and then a manifest that says which folders make up
+each table. Readers follow the newest manifest, so stage, dimension, fact, error
+table and watermark change in one step, nothing is overwritten while it is read,
+and a run that dies leaves the last published state in place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MANIFEST_SCHEMA = "runid int, attempt int, table_name string, path string"
+WHOLE = "whole"
+
+
+@dataclass(frozen=True)
+class Published:
+    """Folders a run contributes to a table, by part name.
+
+    ``replaces`` lists the parts that go away; None means all of them.
+    """
+
+    paths: Mapping[str, str]
+    replaces: Sequence[str] | None = None
 
 
 @dataclass(frozen=True)
@@ -24,44 +35,71 @@ class RunStore:
     spark: SparkSession
     root: str
 
-    def manifests(self) -> DataFrame:
+    def _manifests(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/manifest/*")
+            return self.spark.read.parquet(f"{self.root}/manifest")
         except AnalysisException:
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+            return None
 
-    def published(self, before: int | None = None) -> dict[str, str]:
-        """Table paths of the newest run, or of the newest one below ``before``."""
-        rows = self.manifests()
+    def published(self, before: int | None = None) -> dict[str, dict[str, str]]:
+        """Parts of every table as of the newest run, or the newest one below ``before``."""
+        found = self._manifests()
+        if found is None:
+            return {}
         if before is not None:
-            rows = rows.filter(F.col("runid") < before)
-        newest = rows.groupBy("table_name").agg(F.max_by("path", F.struct("runid", "attempt")).alias("path"))
-        return {r["table_name"]: r["path"] for r in newest.collect()}
+            found = found.filter(F.col("runid") < before)
+        newest = found.agg(F.max(F.struct("runid", "attempt")).alias("m")).first()["m"]
+        if newest is None:
+            return {}
+        state: dict[str, dict[str, str]] = {}
+        for r in found.filter((F.col("runid") == newest[0]) & (F.col("attempt") == newest[1])).collect():
+            state.setdefault(r["table_name"], {})[r["part"]] = r["path"]
+        return state
 
     def next_attempt(self, run_id: int) -> int:
-        row = self.manifests().filter(F.col("runid") == run_id).agg(F.max("attempt")).first()
-        return (row[0] or 0) + 1
+        found = self._manifests()
+        last = None if found is None else found.filter(F.col("runid") == run_id).agg(F.max("attempt")).first()[0]
+        return (last or 0) + 1
+
+    def read(
+        self, table: str, before: int | None = None, wanted: Callable[[str], bool] | None = None
+    ) -> DataFrame | None:
+        """The published state of a table or of some of its parts; None if there is nothing."""
+        parts = self.published(before).get(table, {})
+        paths = [path for part, path in sorted(parts.items()) if wanted is None or wanted(part)]
+        return self.spark.read.parquet(*paths) if paths else None
 
-    def read(self, table: str, before: int | None = None) -> DataFrame | None:
-        """The published state of a table, None if there is none yet."""
-        path = self.published(before).get(table)
-        return None if path is None else self.spark.read.parquet(path)
+    def path(self, table: str, run_id: int, attempt: int = 1) -> str:
+        return f"{self.root}/{table}/run{run_id}/attempt{attempt}"
 
     def write(self, df: DataFrame, table: str, run_id: int, attempt: int = 1, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Write one table of a run and read it back, which also cuts its lineage."""
+        """Write the rows of a run and read them back, which also cuts their lineage.
+
+        With ``partition_by`` the rows are rebalanced by those columns first: few files
+        per folder, and a large folder is still written by several tasks.
+        """
         path = self.path(table, run_id, attempt)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        rows = df.hint("rebalance", *partition_by) if partition_by else df
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def path(self, table: str, run_id: int, attempt: int = 1) -> str:
-        return f"{self.root}/{table}/run{run_id}/attempt{attempt}"
-
-    def publish(self, run_id: int, tables: Sequence[str], attempt: int = 1) -> None:
-        """Make the written tables of a run visible."""
-        rows = [(run_id, attempt, t, self.path(t, run_id, attempt)) for t in tables]
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
-            f"{self.root}/manifest/run{run_id}-attempt{attempt}"
-        )
+    def publish(
+        self, run_id: int, tables: Mapping[str, Published] | Sequence[str], attempt: int = 1, amend: bool = False
+    ) -> None:
+        """Make what a run has written visible.
+
+        A list of names publishes whole tables. The new state builds on the state
+        before the run, or with ``amend`` on the run's own published state.
+        """
+        if not isinstance(tables, Mapping):
+            tables = {t: Published({WHOLE: self.path(t, run_id, attempt)}) for t in tables}
+        state = self.published(None if amend else run_id)
+        for name, change in tables.items():
+            old = {} if change.replaces is None else state.get(name, {})
+            state[name] = {p: path for p, path in old.items() if p not in (change.replaces or ())} | dict(change.paths)
+        rows = [(name, part, path) for name, parts in state.items() for part, path in parts.items()]
+        manifest = self.spark.createDataFrame(rows, "table_name string, part string, path string")
+        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/runid={run_id}/attempt={attempt}")
 
 
 def compact(store: RunStore, table: str, files: int, run_id: int, failed: int, cluster_by: Sequence[str] = ()) -> bool:
@@ -74,22 +112,20 @@ def compact(store: RunStore, table: str, files: int, run_id: int, failed: int, c
         return False
     attempt = store.next_attempt(run_id)
     store.write(current.repartition(files, *cluster_by), table, run_id, attempt)
-    store.publish(run_id, [table], attempt)
+    store.publish(run_id, [table], attempt, amend=True)
     return True
 
 
 def register_and_analyze(store: RunStore, tables: Mapping[str, str], failed: int) -> list[str]:
-    """Register published tables (name -> catalog name) and compute their statistics.
+    """Register whole published tables (name -> catalog name) and compute their statistics.
 
     Only after a clean run. Returns the catalog names that were analyzed.
     """
     if failed:
         return []
-    paths = store.published()
-    done = []
+    state = store.published()
     for table, name in tables.items():
         store.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        store.spark.catalog.createTable(name, paths[table], "parquet")
+        store.spark.catalog.createTable(name, state[table][WHOLE], "parquet")
         store.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
-        done.append(name)
-    return done
+    return list(tables.values())

@@ -8,7 +8,7 @@ from lodestar.session import build_session
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"}
+        "tests", "local[8]", **{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.driver.memory": "4g"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

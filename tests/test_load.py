@@ -31,6 +31,7 @@ SALES = FactSpec(
     lookups=(LookupSpec("item_key", "items", "item_id", "item_id", "item_key"),),
     line_types=("LINE",),
     renames={"amt": "amount"},
+    part_width=1,
 )
 SALE_SCHEMA = "doc long, line int, item_id long, amt double, line_type string, date_last_modified timestamp_ntz"
 T = [dt.datetime(2026, 1, d) for d in range(1, 6)]
@@ -96,6 +97,16 @@ def test_two_runs(spark, store, rows):
     notes = store.read("message_log").filter("runid = 2 and target_table = 'sales' and message_stage = 'updated'")
     assert rows(notes, "message_desc") == [("no of records updated --> 1",)]
 
+    # The second increment brought documents 10 and 13: document 12 was not rewritten.
+    state, first = store.published()["sales"], store.published(before=2)["sales"]
+    assert first.keys() == {"current/10", "current/12"}
+    assert state.keys() == {"current/10", "current/12", "current/13", "closed/10/run2"}
+    assert state["current/12"] == first["current/12"] and state["current/10"] != first["current/10"]
+    stage, first = store.published()["stage_sales"], store.published(before=2)["stage_sales"]
+    assert stage["11"] == first["11"] and stage["10"] != first["10"]
+    errors = store.published()["sales_error"]
+    assert errors.keys() == {"run1", "run2"}
+
     # The same run once more: same result, nothing twice.
     again = run_jobs(RunContext(store, 2, T[1], attempt=2, subsidiary="27"), jobs(spark, SECOND_ITEMS, SECOND_SALES, (T[1], T[2])))
     assert again.status == {"items": "Success", "sales": "Success"}
