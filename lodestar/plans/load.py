@@ -269,6 +269,7 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
     messages: list[DataFrame] = []
     wanted = [j for j in jobs if entities is None or j.entity in entities]
     watermarks = ctx.before("watermarks")
+    times: dict[str, tuple[dt.datetime, dt.datetime]] = {}
     for job in [*[j for j in wanted if j.is_dimension], *[j for j in wanted if not j.is_dimension]]:
         blocked = not job.is_dimension and any(
             result.status.get(j.entity) == control.ERROR for j in wanted if j.is_dimension
@@ -277,35 +278,48 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
             result.status[job.entity] = control.ERROR
             result.errors[job.entity] = "not loaded: a dimension failed"
             continue
+        started = _now()
         try:
             written, counts = job.load(ctx)
         except Exception as e:  # noqa: BLE001 - the entity is logged as failed, the run goes on
             result.status[job.entity] = control.ERROR
             result.errors[job.entity] = str(e)
             continue
+        finally:
+            times[job.entity] = (started, _now())
         result.status[job.entity] = control.SUCCESS
         result.published |= written
         messages.append(control.message_rows(counts, ctx.run_id, job.entity, ctx.subsidiary, ctx.run_ts))
         if job.watermark is not None and watermarks is not None:
             fact, start, end = job.watermark
             watermarks = control.watermark_advance(watermarks, fact, ctx.subsidiary, start, end)
-    _write_logs(ctx, result, messages, watermarks, mode)
+    _write_logs(ctx, result, messages, watermarks, mode, times)
     ctx.store.publish(ctx.run_id, result.published, ctx.attempt)
     return result
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+
 def _write_logs(
-    ctx: RunContext, result: RunResult, messages: Sequence[DataFrame], watermarks: DataFrame | None, mode: str
+    ctx: RunContext,
+    result: RunResult,
+    messages: Sequence[DataFrame],
+    watermarks: DataFrame | None,
+    mode: str,
+    times: Mapping[str, tuple[dt.datetime, dt.datetime]],
 ) -> None:
     spark = ctx.store.spark
     rows = [
         {
             "job_id": i, "runid": ctx.run_id, "entity": entity, "run_mode": mode, "job_status": status,
             "subsidiary_id": ctx.subsidiary,
+            "loadstart": times.get(entity, (None, None))[0], "loadend": times.get(entity, (None, None))[1],
         }
         for i, (entity, status) in enumerate(result.status.items(), 1)
     ]
-    logged = control.job_rows(spark, rows).withColumn("loadend", ts_lit(ctx.run_ts))
+    logged = control.job_rows(spark, rows)
     notes = spark.createDataFrame([], control.MESSAGE_LOG_SCHEMA)
     for m in messages:
         notes = notes.unionByName(m)

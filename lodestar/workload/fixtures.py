@@ -353,6 +353,64 @@ class Source:
             F.when(F.col("l_returnflag") == "R", "VRA_LINE").otherwise("VRA_TAX").alias("line_type"),
         )
 
+    # Source tables of the dimension extracts -----------------------------------
+
+    @cached_property
+    def erp_tables(self) -> dict[str, DataFrame]:
+        """Nations stand for the small reference tables, parts for items, customers for people."""
+        nation = F.col("n_nationkey").cast("long")
+        n = self.table("nation").select(nation.alias("id"), F.col("n_name").alias("name"))
+
+        def small(id: str, **columns: str) -> DataFrame:
+            return n.select(F.col("id").alias(id), *[F.col(c).alias(a) for a, c in (columns or {"name": "name"}).items()])
+
+        key, size = F.col("p_partkey"), F.col("p_size").cast("long")
+        part = self.table("part")
+        items = part.select(
+            key.alias("item_id"),
+            F.concat("p_name", F.lit("\r\n"), key).alias("name"),
+            F.when(F.col("p_type") == "ECONOMY", "Yes").otherwise("No").alias("isinactive"),
+            size.alias("asset_account_id"),
+            (size - 20).alias("expense_account_id"),
+            (size % 40).alias("class_id"),
+            F.when(key > 0, F.floor(key / 3).cast("long")).alias("parent_id"),
+        )
+        c = F.col("c_custkey")
+        people = self.table("customer").select(
+            c.alias("employee_id"),
+            F.concat("c_name", F.lit("\n")).alias("full_name"),
+            F.when(F.col("c_acctbal") < 0, "Yes").otherwise("No").alias("isinactive"),
+            (F.col("c_nationkey").cast("long") + 2).alias("subsidiary_id"),
+            F.when(c > 0, F.floor(c / 5).cast("long")).alias("supervisor_id"),
+            F.when(c > 9, F.floor(c / 7).cast("long")).alias("approver_id"),
+        )
+        customers = self.table("customer").select(
+            c.alias("customer_id"),
+            F.col("c_name").alias("name"),
+            F.lit("No").alias("isinactive"),
+            F.when(F.col("c_mktsegment") != "BUILDING", "CUSTOMER").otherwise("PROSPECT").alias("category_0"),
+            F.when(F.col("c_acctbal") < 0, "No").otherwise("Yes").alias("is_person"),
+            F.concat(F.lit("NATION_"), F.col("c_nationkey") + 3).alias("country"),
+            F.when(c > 0, F.floor(c / 4).cast("long")).alias("parent_id"),
+        )
+        return {
+            "items": items,
+            "employees": people,
+            "customers": customers,
+            "accounts": n.select(
+                F.col("id").alias("account_id"),
+                F.when(F.col("id") > 4, F.col("id").cast("string")).alias("accountnumber"),
+                F.col("name").alias("full_name"),
+            ),
+            "classes": small("class_id"),
+            "subsidiaries": small("subsidiary_id"),
+            "countries": n.select(F.col("name").alias("short_name"), F.concat(F.lit("Country "), "id").alias("name")),
+            "tax_items": self.table("lineitem")
+            .filter(F.col("l_tax") == 0.08)
+            .select(F.col("l_partkey").alias("item_id"))
+            .distinct(),
+        }
+
     # Hierarchy and control ----------------------------------------------------
 
     @cached_property

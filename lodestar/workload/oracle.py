@@ -600,3 +600,38 @@ ORACLE["revenue_fact_load"] = (
         "s.key AS document_status_key",
     )
 )
+ORACLE["items_extract"] = """
+WITH accounts AS (
+  SELECT CAST(n_nationkey AS BIGINT) AS id,
+         CASE WHEN n_nationkey > 4 THEN n_nationkey || ' ' || n_name ELSE n_name END AS label FROM nation),
+items AS (
+  SELECT p_partkey AS item_id, p_name || chr(13) || chr(10) || p_partkey AS name, CAST(p_size AS BIGINT) AS asset_account_id,
+         CASE WHEN p_type = 'ECONOMY' THEN 'Yes' ELSE 'No' END AS isinactive,
+         CAST(p_size - 20 AS BIGINT) AS expense_account_id, CAST(p_size % 40 AS BIGINT) AS class_id,
+         CASE WHEN p_partkey > 0 THEN p_partkey // 3 END AS parent_id
+  FROM part)
+SELECT a.item_id, replace(replace(a.name, chr(10), ' '), chr(13), ' ') AS name, a.isinactive, a.asset_account_id,
+       a.expense_account_id, a.class_id, a.parent_id, e.label AS asset_account_number, k.label AS expense_account_number,
+       i.n_name AS line_of_business, o.name AS parent_name
+FROM items a LEFT JOIN accounts e ON a.asset_account_id = e.id LEFT JOIN accounts k ON a.expense_account_id = k.id
+LEFT JOIN nation i ON a.class_id = i.n_nationkey LEFT JOIN items o ON a.parent_id = o.item_id
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = a.item_id AND l_tax = 0.08) AND a.isinactive = 'No'"""
+ORACLE["employees_extract"] = """
+WITH people AS (
+  SELECT c_custkey AS employee_id, c_name || chr(10) AS full_name, CASE WHEN c_acctbal < 0 THEN 'Yes' ELSE 'No' END AS isinactive,
+         CAST(c_nationkey + 2 AS BIGINT) AS subsidiary_id, CASE WHEN c_custkey > 0 THEN c_custkey // 5 END AS supervisor_id,
+         CASE WHEN c_custkey > 9 THEN c_custkey // 7 END AS approver_id
+  FROM customer)
+SELECT a.employee_id, replace(a.full_name, chr(10), ' ') AS full_name, a.isinactive, a.subsidiary_id, a.supervisor_id,
+       a.approver_id, e.n_name AS subsidiary, b.full_name AS supervisor_name, c.full_name AS approver_name
+FROM people a LEFT JOIN people b ON a.supervisor_id = b.employee_id LEFT JOIN people c ON a.approver_id = c.employee_id
+JOIN nation e ON a.subsidiary_id = e.n_nationkey
+WHERE a.isinactive = 'No'"""
+ORACLE["customers_extract"] = """
+SELECT a.c_custkey AS customer_id, a.c_name AS name, 'No' AS isinactive,
+       CASE WHEN a.c_acctbal < 0 THEN 'No' ELSE 'Yes' END AS is_person,
+       CASE WHEN a.c_custkey > 0 THEN a.c_custkey // 4 END AS parent_id, 'Country ' || b.n_nationkey AS country,
+       CASE WHEN a.c_acctbal < 0 THEN 'Company' ELSE 'Individual' END AS customer_type, j.c_name AS parent
+FROM customer a LEFT JOIN nation b ON b.n_name = 'NATION_' || (a.c_nationkey + 3)
+LEFT JOIN customer j ON (CASE WHEN a.c_custkey > 0 THEN a.c_custkey // 4 END) = j.c_custkey
+WHERE a.c_mktsegment <> 'BUILDING'"""

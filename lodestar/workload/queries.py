@@ -25,7 +25,7 @@ from lodestar.functions.lines import line_type
 from lodestar.functions.reserved import NA_ID, NA_TEXT
 from lodestar.operators import diff as d, extract as x, facts as f, hierarchy as h, reference as r, scd
 from lodestar.operators.joins import Side, join_sides
-from lodestar.plans import control, documents
+from lodestar.plans import control, documents, extracts
 from lodestar.plans.facts import PURCHASE_ORDERS, REVENUE, VENDOR_BILLS, VENDOR_RETURNS, FactSpec
 from lodestar.session import cut_lineage
 from lodestar.workload.fixtures import (
@@ -117,6 +117,21 @@ def minus_distinct(s: Source) -> DataFrame:
     return x.minus_distinct(s.dim_prestage.select(*cols), s.dim_stage.select(*cols))
 
 
+@query
+def items_extract(s: Source) -> DataFrame:
+    return extracts.extract(extracts.EXTRACTS["items"], s.erp_tables)
+
+
+@query
+def employees_extract(s: Source) -> DataFrame:
+    return extracts.extract(extracts.EXTRACTS["employees"], s.erp_tables)
+
+
+@query
+def customers_extract(s: Source) -> DataFrame:
+    return extracts.entities()["customers"](s.erp_tables)
+
+
 # Scalar functions -------------------------------------------------------------
 
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodestar.operators.reference import code_list, junk_dimension, period_rollup
-from lodestar.plans import control
+from lodestar.plans import control, extracts
+from lodestar.plans.dimensions import DIMENSIONS
 
 
 def test_only_leaves_under_a_quarter_under_a_year(spark, rows):
@@ -33,3 +35,35 @@ def test_watermarks(spark, rows):
     assert control.watermark_value(moved, "vb_fact", "27") is None
     with pytest.raises(control.MissingWatermark):
         control.watermark_value(moved, "po_fact", "28")
+
+
+def test_every_entity_has_an_extract(spark):
+    """All extracts resolve on source tables that hold just the columns they name."""
+    needed: dict[str, set[str]] = {}
+    for name, spec in extracts.EXTRACTS.items():
+        own = needed.setdefault(spec.table, set())
+        own |= {p.fk for p in (*spec.lookups, *spec.required)} | set(spec.renames) | {c for c, _, _ in spec.decodes.values()}
+        own |= {spec.active[0]} if spec.active else set()
+        own |= {DIMENSIONS[name].key} - set(spec.renames.values()) if name in DIMENSIONS else set()
+        for p in (*spec.lookups, *spec.required):
+            needed.setdefault(p.table, set()).update({p.key, *p.take.values()})
+    needed["accounts"] |= {"accountnumber", "full_name", "account_id"}
+    needed["product_classification_anz"] |= {"code", "product_classification_anz_nam"}
+    needed["customers"].add("category_0")
+    needed["tax_items"].add("item_id")
+    needed["items"].add("item_id")
+    needed["item_subsidiary_map"] = {"item_id", "subsidiary_id"}
+    needed["accounting_periods"] = {"accounting_period_id", "parent_id", "name", "quarter", "year_0", "isinactive"}
+    for table, id, name, flag in extracts.BOOK_FAIR_LISTS.values():
+        needed[table] = {id, name, flag}
+    labels = {"account_label", "classification_label"}
+    tables = {t: spark.range(0).select(*[F.lit("x").alias(c) for c in sorted(cols - labels)]) for t, cols in needed.items()}
+    found = extracts.entities("calendar")
+    assert len(found) == 17
+    for name, fn in found.items():
+        out = fn(tables)
+        spec = DIMENSIONS.get(name)
+        assert spec is None or spec.key in out.columns
+        assert len(set(out.columns)) == len(out.columns)
+    assert extracts.items_of_subsidiary(tables, "x").isEmpty()
+    assert found["book_fairs"](tables).count() == 2**5
