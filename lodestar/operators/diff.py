@@ -109,17 +109,23 @@ def fact_diff(
 def delta_counts(diff: DataFrame) -> DataFrame:
     """One row with the number of keys per kind of change."""
 
+    return diff.agg(*count_columns())
+
+
+def count_columns() -> list[Column]:
+    """The aggregates of ``delta_counts``, also for use with ``observe``."""
+
     def n(hit: Column, name: str) -> Column:
         return F.count(F.when(hit, True)).alias(name)
 
     op = F.col("op")
-    return diff.agg(
+    return [
         n(op != DELETE, "ingested"),
         n(op == INSERT, "inserted"),
         n(op == UPDATE, "updated"),
         n(op == DELETE, "deleted"),
         n(op == NOCHANGE, "unchanged"),
-    )
+    ]
 
 
 def diff_balance(diff: DataFrame, ingested: DataFrame) -> DataFrame:
@@ -153,6 +159,19 @@ def refreshed_stage(images: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def dim_stage_refresh(stage: DataFrame, moved: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The next stage image of a dimension out of the moved keys of an ``image_diff``.
+
+    Changed and deleted keys leave, new and changed rows come in; whatever did not
+    change is only passed through.
+    """
+    leaving = moved.filter(F.col("op").isin(UPDATE, DELETE)).select(*_keys(key))
+    coming = moved.filter(F.col("op").isin(INSERT, UPDATE))
+    return stage.join(leaving, _keys(key), "left_anti").select(*stage.columns).unionByName(
+        coming.select(*[F.col("new")[c].alias(c) for c in stage.columns])
+    )
+
+
 def fact_stage_refresh(stage: DataFrame, changes: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """The next stage image of a fact: changed keys replaced, new keys added.
 

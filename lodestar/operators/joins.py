@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 0.01
-SALTS = 64
 
 _ROW_OVERHEAD = 16
 _VARIABLE = (T.StringType, T.BinaryType)
@@ -113,15 +112,17 @@ def join_sides(
     sides: Sequence[Side],
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join every side to ``left``, adding the ``take`` columns.
 
     Sides that fit the broadcast budget together are joined first, in the same
     stage as the scan of ``left``; the same columns of a frame used in several roles
-    count once. Every further side costs a shuffle of ``left``.
+    count once. Every further side costs a shuffle of ``left``; rows of a hot key go to
+    ``salts`` partitions there, by default as many as a shuffle has.
     """
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     prepared = [s.projected(f"__r{i}") for i, s in enumerate(sides)]
     roles = [(id(s.frame), tuple(r for _, r in s.on), tuple(s.take.values())) for s in sides]
     first = {role: prepared[i] for i, role in reversed(list(enumerate(roles)))}

@@ -6,11 +6,19 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from lodestar.functions.columns import fill_blank, ts_lit
 from lodestar.functions.reserved import NA_TEXT, RECORD_ERROR, RECORD_SUPERSEDED
-from lodestar.operators.diff import UPDATE, delta_counts, fact_changes, fact_stage_refresh, image_diff, refreshed_stage
+from lodestar.operators.diff import (
+    NOCHANGE,
+    UPDATE,
+    count_columns,
+    dim_stage_refresh,
+    fact_changes,
+    fact_stage_refresh,
+    image_diff,
+)
 from lodestar.operators.extract import latest_per_key
 from lodestar.operators.facts import (
     fact_insert,
@@ -82,23 +90,34 @@ def enrich(spec: DimSpec, prestage: DataFrame, tables: Mapping[str, DataFrame])
     return out.withColumns({n: fill_blank(n, NA_TEXT) for n in names})
 
 
-def load_dimension(ctx: RunContext, spec: DimSpec, prestage: DataFrame) -> Loaded:
+def _write_moved(ctx: RunContext, diff: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Write the keys that moved and count all of them in the same pass."""
+    seen = Observation()
+    moved = ctx.write(diff.observe(seen, *count_columns()).filter(F.col("op") != NOCHANGE), table)
+    counts = seen.get
+    return moved, ctx.store.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+
+
+def load_dimension(ctx: RunContext, spec: DimSpec, prestage: DataFrame, order: str | None = None) -> Loaded:
     """Compare, refresh the stage image and merge the dimension.
 
-    The comparison is written once and feeds everything else. Returns what to publish
-    and the counts of the delta.
+    The moved keys are written once and feed everything else. Name a modification
+    time in ``order`` if the source may hold a key more than once. Returns what to
+    publish and the counts of the delta.
     """
+    if order is not None:
+        prestage = latest_per_key(prestage, spec.key, order)
     prestage = prestage.select(spec.key, *spec.attributes)
-    stage = ctx.before(f"stage_{spec.name}")
-    images = image_diff(prestage, _empty_like(prestage) if stage is None else stage, spec.key, spec.scd1, spec.scd2)
-    images = ctx.write(images, f"delta_{spec.name}")
-    staged = ctx.whole(refreshed_stage(images, prestage.columns), f"stage_{spec.name}")
-    dim = ctx.before(spec.name)
+    stage, dim = ctx.before(f"stage_{spec.name}"), ctx.before(spec.name)
+    stage = _empty_like(prestage) if stage is None else stage
+    images = image_diff(prestage, stage, spec.key, spec.scd1, spec.scd2).select(spec.key, "op", "ch_type", "new")
+    moved, counts = _write_moved(ctx, images, f"delta_{spec.name}")
+    staged = ctx.whole(dim_stage_refresh(stage, moved, spec.key), f"stage_{spec.name}")
     if dim is None:
-        merged = scd_insert(images, spec, ctx.run_ts, None, None)
+        merged = scd_insert(moved, spec, ctx.run_ts, None, None)
     else:
-        merged = scd_merge(dim, images, spec, ctx.run_ts, ctx.expire_offset, ctx.delete_scope)
-    return {**staged, **ctx.whole(merged, spec.name)}, delta_counts(images)
+        merged = scd_merge(dim, moved, spec, ctx.run_ts, ctx.expire_offset, ctx.delete_scope)
+    return {**staged, **ctx.whole(merged, spec.name)}, counts
 
 
 def _touched(spec: FactSpec, rows: DataFrame) -> list[str]:
@@ -149,7 +168,7 @@ def load_fact(
     prestage = latest_per_key(prestage, keys, order)
     stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
     stage = _empty_like(prestage) if stage is None else stage
-    changes = ctx.write(fact_changes(prestage, stage, keys), f"delta_{spec.name}")
+    changes, counts = _write_moved(ctx, fact_changes(prestage, stage, keys), f"delta_{spec.name}")
     staged = _write_stage(ctx, spec, fact_stage_refresh(stage, changes, keys), touched)
 
     lookups = spec.bind(dims, ctx.run_ts)
@@ -164,7 +183,7 @@ def load_fact(
     else:
         merged = fact_merge(fact, valid, changes, keys, ctx.run_ts, ctx.expire_offset)
     loaded = _write_fact(ctx, spec, merged, touched)
-    return {**staged, **loaded, **ctx.append(errors, f"{spec.name}_error")}, delta_counts(changes)
+    return {**staged, **loaded, **ctx.append(errors, f"{spec.name}_error")}, counts
 
 
 def supersede_errors(

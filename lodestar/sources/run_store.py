@@ -102,17 +102,30 @@ class RunStore:
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/runid={run_id}/attempt={attempt}")
 
 
-def compact(store: RunStore, table: str, files: int, run_id: int, failed: int, cluster_by: Sequence[str] = ()) -> bool:
+def compact(
+    store: RunStore,
+    table: str,
+    files: int,
+    run_id: int,
+    failed: int,
+    cluster_by: Sequence[str] = (),
+    prefix: str | None = None,
+) -> bool:
     """Rewrite a published table into ``files`` files, only after a clean run.
 
-    The result is a further attempt of the same run. Returns whether it was done.
+    With ``prefix`` just the parts named so are merged into one, such as the
+    ``closed/`` versions of a fact. The result is a further attempt of the same run.
+    Returns whether it was done.
     """
-    current = store.read(table)
-    if failed or current is None:
+    old = [p for p in store.published().get(table, {}) if prefix is None or p.startswith(prefix)]
+    if failed or not old:
         return False
     attempt = store.next_attempt(run_id)
-    store.write(current.repartition(files, *cluster_by), table, run_id, attempt)
-    store.publish(run_id, [table], attempt, amend=True)
+    rows = store.read(table, wanted=old.__contains__)
+    store.write(rows.repartition(files, *cluster_by), table, run_id, attempt)
+    part = WHOLE if prefix is None else f"{prefix}to-run{run_id}"
+    change = Published({part: store.path(table, run_id, attempt)}, None if prefix is None else old)
+    store.publish(run_id, {table: change}, attempt, amend=True)
     return True
 
 

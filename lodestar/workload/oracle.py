@@ -635,3 +635,4 @@ SELECT a.c_custkey AS customer_id, a.c_name AS name, 'No' AS isinactive,
 FROM customer a LEFT JOIN nation b ON b.n_name = 'NATION_' || (a.c_nationkey + 3)
 LEFT JOIN customer j ON (CASE WHEN a.c_custkey > 0 THEN a.c_custkey // 4 END) = j.c_custkey
 WHERE a.c_mktsegment <> 'BUILDING'"""
+ORACLE["dim_stage_refresh"] = ORACLE["stage_refresh"]

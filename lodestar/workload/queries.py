@@ -287,6 +287,11 @@ def stage_refresh(s: Source) -> DataFrame:
     return d.stage_refresh(s.dim_prestage, s.dim_stage, "c_custkey", [*CUSTOMER.scd1, *CUSTOMER.scd2])
 
 
+@query
+def dim_stage_refresh(s: Source) -> DataFrame:
+    return d.dim_stage_refresh(s.dim_stage, _moved(_images(s)), "c_custkey")
+
+
 @query
 def scd_insert(s: Source) -> DataFrame:
     return scd.scd_insert(_images(s), CUSTOMER, RUN_TS, s.dim)

@@ -31,6 +31,12 @@ def test_stage_refresh_keeps_uncompared_columns_of_unchanged_rows(spark, rows):
     assert rows(out, "k", "extra") == [(1, "s"), (2, "p"), (3, "p"), (4, "p"), (5, "s"), (6, "p"), (8, "p")]
 
 
+def test_moved_keys_are_enough_to_refresh_a_dimension_stage(spark, rows):
+    pre, stg = spark.createDataFrame(PRE, SCHEMA), spark.createDataFrame(STG, SCHEMA)
+    moved = d.image_diff(pre, stg, "k", ["one"], ["two"]).filter("op != 'nochange'")
+    assert rows(d.dim_stage_refresh(stg, moved, "k")) == rows(d.stage_refresh(pre, stg, "k", ["one", "two"]))
+
+
 def test_partial_image_deletes_nothing(spark, rows):
     pre, stg = spark.createDataFrame(PRE, SCHEMA), spark.createDataFrame(STG, SCHEMA)
     images = d.image_diff(pre, stg, "k", ["one", "two"], partial=True)

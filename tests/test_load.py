@@ -21,7 +21,7 @@ from lodestar.plans.load import (
     run_jobs,
     seed_watermarks,
 )
-from lodestar.sources.run_store import RunStore
+from lodestar.sources.run_store import RunStore, compact
 from lodestar.streaming.feed import increment_feed
 
 ITEM = DimSpec(name="items", key="item_id", surrogate="item_key", scd1=("label",), scd2=("kind",))
@@ -113,6 +113,13 @@ def test_two_runs(spark, store, rows):
     assert rows(store.read("sales"), *fact) == snapshot
     assert store.read("job_log").filter("runid = 2").count() == 2
 
+    # Merging the closed versions leaves the rest alone.
+    before = store.published()["sales"]
+    assert compact(store, "sales", 1, 2, failed=0, prefix="closed/")
+    after = store.published()["sales"]
+    assert after.keys() - before.keys() == {"closed/to-run2"} and len(after) == len(before)
+    assert rows(store.read("sales"), *fact) == snapshot
+
     # The quarantined line of run 1 finds its item now.
     three = RunContext(store, 3, T[2], subsidiary="27")
     dims = {"items": store.read("items")}
