@@ -158,14 +158,15 @@ def load_fact(
 ) -> Loaded:
     """Compare an increment, resolve its new and changed lines once, load or quarantine.
 
-    Only the parts of stage and fact that hold keys of the increment are read and
-    rewritten; closed versions and error rows are appended. The resolved rows are
+    The increment is written first, so its source is queried once. Only the parts of
+    stage and fact that hold its keys are read and rewritten; closed versions and
+    error rows are appended. The resolved rows are
     written split by whether all keys were found, so the fact and the error table
     read their share without repeating the lookups.
     """
     keys = list(spec.key)
+    prestage = ctx.write(latest_per_key(prestage, keys, order), f"prestage_{spec.name}")
     touched = _touched(spec, prestage)
-    prestage = latest_per_key(prestage, keys, order)
     stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
     stage = _empty_like(prestage) if stage is None else stage
     changes, counts = _write_moved(ctx, fact_changes(prestage, stage, keys), f"delta_{spec.name}")

@@ -144,6 +144,18 @@ def test_a_failed_dimension_blocks_facts_and_watermarks(spark, store, rows):
     assert rows(control.failed_jobs(store.read("job_log"), 2)) == [(2, 2)]
 
 
+def test_an_empty_increment_succeeds_and_changes_nothing(spark, store, rows):
+    run_jobs(RunContext(store, 1, T[0]), jobs(spark, FIRST_ITEMS, FIRST_SALES))
+    before = store.published()
+    empty = Job("sales", lambda ctx: load_fact(ctx, SALES, sales(spark, *FIRST_SALES).limit(0), {"items": ctx.before("items")}), False)
+    result = run_jobs(RunContext(store, 2, T[1]), [empty])
+    assert result.status == {"sales": "Success"}
+    after = store.published()
+    assert after["sales"] == before["sales"] and after["stage_sales"] == before["stage_sales"]
+    notes = store.read("message_log").filter("runid = 2")
+    assert rows(notes, "message_desc")[0] == ("no of records deleted --> 0",) and notes.count() == 5
+
+
 def test_only_selected_entities_run(spark, store):
     result = run_jobs(RunContext(store, 1, T[0]), jobs(spark, FIRST_ITEMS, FIRST_SALES), entities=["items"])
     assert result.status == {"items": "Success"} and store.read("sales") is None
