@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 WHOLE = "whole"
@@ -36,10 +35,9 @@ class RunStore:
     root: str
 
     def _manifests(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.root}/manifest")
-        except AnalysisException:
-            return None
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
+        found = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+        return self.spark.read.parquet(folder.toString()) if found else None
 
     def published(self, before: int | None = None) -> dict[str, dict[str, str]]:
         """Parts of every table as of the newest run, or the newest one below ``before``."""

@@ -636,3 +636,16 @@ FROM customer a LEFT JOIN nation b ON b.n_name = 'NATION_' || (a.c_nationkey + 3
 LEFT JOIN customer j ON (CASE WHEN a.c_custkey > 0 THEN a.c_custkey // 4 END) = j.c_custkey
 WHERE a.c_mktsegment <> 'BUILDING'"""
 ORACLE["dim_stage_refresh"] = ORACLE["stage_refresh"]
+
+# Loads: the dimension of the first run has the keys that run assigned.
+FIRST_DIM = DIM[: DIM.index("dim AS (")] + """dim AS (
+  SELECT c_custkey, c_nationkey, coalesce(c_mktsegment, 'NA_GDW') AS c_mktsegment, c_name, c_acctbal,
+         TIMESTAMP '2000-01-01 00:00:00' AS date_active_from, TIMESTAMP '9999-12-31 23:59:59' AS date_active_to,
+         'A' AS dw_active,
+         (row_number() OVER (PARTITION BY bucket ORDER BY c_custkey) - 1) * 4096 + bucket + 1 AS customer_key
+  FROM (SELECT *, CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 4096 AS bucket FROM stg)),
+run AS (SELECT TIMESTAMP '2026-01-01 00:00:00' AS ts)"""
+ORACLE["dimension_two_runs"] = ORACLE["scd2_merge"].replace(DIM, FIRST_DIM)
+ORACLE["fact_two_runs"] = ORACLE["fact_version_merge"]
+ORACLE["extract_file_round_trip"] = """
+SELECT 1 AS runid, * REPLACE (nullif(c_mktsegment, 'BUILDING') AS c_mktsegment) FROM customer"""

@@ -26,8 +26,11 @@ from lodestar.functions.reserved import NA_ID, NA_TEXT
 from lodestar.operators import diff as d, extract as x, facts as f, hierarchy as h, reference as r, scd
 from lodestar.operators.joins import Side, join_sides
 from lodestar.plans import control, documents, extracts
-from lodestar.plans.facts import PURCHASE_ORDERS, REVENUE, VENDOR_BILLS, VENDOR_RETURNS, FactSpec
-from lodestar.session import cut_lineage
+from lodestar.plans.facts import PURCHASE_ORDERS, REVENUE, VENDOR_BILLS, VENDOR_RETURNS, FactSpec, LookupSpec
+from lodestar.plans.load import RunContext, load_dimension, load_fact
+from lodestar.session import cut_lineage, shared_folder
+from lodestar.sources.extract_files import read_extract, write_extract
+from lodestar.sources.run_store import RunStore
 from lodestar.workload.fixtures import (
     CUSTOMER,
     CUSTOMER_TYPE1,
@@ -564,3 +567,53 @@ def next_run(s: Source) -> DataFrame:
 def message_log(s: Source) -> DataFrame:
     counts = d.delta_counts(d.snapshot_diff(s.dim_prestage, s.dim_stage, "c_custkey", CUSTOMER.scd1, CUSTOMER.scd2))
     return control.message_rows(counts, SECOND_RUN_ID, "customer", "27", RUN_TS)
+
+
+# Loads ------------------------------------------------------------------------
+
+FIRST_RUN_TS = "2000-01-01 00:00:00"
+
+
+def _contexts(s: Source) -> tuple[RunContext, RunContext]:
+    store = RunStore(s.spark, shared_folder(s.spark, "store"))
+    return RunContext(store, 1, FIRST_RUN_TS), RunContext(store, 2, RUN_TS)
+
+
+@query
+def extract_file_round_trip(s: Source) -> DataFrame:
+    customers = s.table("customer").withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
+    path = shared_folder(s.spark, "extract")
+    write_extract(customers, path, RUN_ID)
+    return read_extract(s.spark, path, RUN_ID, customers.schema).drop("_corrupt_record")
+
+
+@query
+def dimension_two_runs(s: Source) -> DataFrame:
+    first, second = _contexts(s)
+    for ctx, image in ((first, s.dim_stage), (second, s.dim_prestage)):
+        written, _ = load_dimension(ctx, CUSTOMER, image)
+        ctx.store.publish(ctx.run_id, written)
+    return second.store.read("customer")
+
+
+@query
+def fact_two_runs(s: Source) -> DataFrame:
+    spec = FactSpec(
+        name="order_lines",
+        key=tuple(LINE_KEY),
+        line_types=("LINE",),
+        lookups=(
+            LookupSpec("part_key", "parts", "l_partkey", "p_partkey", "part_key"),
+            LookupSpec("supplier_key", "suppliers", "l_suppkey", "s_suppkey", "supplier_key"),
+            LookupSpec("customer_key", "customers", "o_custkey", "c_custkey", "customer_key"),
+            LookupSpec("order_date_key", "days", "o_orderdate", "date_id", "date_key", date=True),
+            LookupSpec("ship_date_key", "days", "l_shipdate", "date_id", "date_key", date=True),
+        ),
+        part_width=20_000,
+    )
+    dims = {"parts": s.part_dim, "suppliers": s.supplier_dim, "customers": s.dim, "days": s.date_dim}
+    first, second = _contexts(s)
+    for ctx, rows in ((first, s.fact_stage), (second, s.fact_prestage)):
+        written, _ = load_fact(ctx, spec, rows.withColumn("line_type", F.lit("LINE")), dims, "o_orderdate")
+        ctx.store.publish(ctx.run_id, written)
+    return second.store.read("order_lines").drop("line_type")
