@@ -6,7 +6,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lodestar.workload.oracle import ORACLE
+from lodestar.workload.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = "/root/testdata/sf0.001"
@@ -30,13 +32,13 @@ def canonical(columns, data):
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
-    out = queries()[name](spark, FOLDER)
-    cursor = sql.execute(oracle_sql()[name])
+    out = QUERIES[name](spark, FOLDER)
+    cursor = sql.execute(ORACLE[name])
     want = canonical([c[0] for c in cursor.description], cursor.fetchall())
     assert canonical(out.columns, [tuple(r) for r in out.collect()]) == want
 
