@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodestar.llm import sql
 from lodestar.llm.common import held_out, labelled_sample, table
+from lodestar.llm.decontaminate import contamination
 from lodestar.llm.neardup import near_duplicates
 from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
 
@@ -24,9 +26,29 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=85)
 
 
+ORACLE["op6_near_duplicates"] = sql.NEAR_DUPLICATES
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_quality(*labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", QUALITY_ROWS))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_score(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def _joined_digest(items: Column) -> Column:
+    """SHA-256 of the items as strings, sorted and joined by commas."""
+    return F.sha2(F.array_join(F.array_sort(items.cast("array<string>")), ","), 256)
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        _joined_digest(F.col("items")).alias("items_sha256"), "contaminated",
+    )
+
+
+ORACLE["op9_decontamination"] = sql.CONTAMINATION
