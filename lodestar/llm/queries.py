@@ -11,6 +11,7 @@ from lodestar.llm.common import held_out, labelled_sample, table
 from lodestar.llm.decontaminate import contamination
 from lodestar.llm.neardup import near_duplicates
 from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
+from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +53,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op9_decontamination"] = sql.CONTAMINATION
+
+
+def _span_text(spans: str) -> str:
+    return f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_spans(docs, learn_formats(docs))
+    base = f"filter(spans, s -> s.kind in {KINDS})"
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
+    return found.select(
+        "doc_id", *counts, F.expr(f"sha2({_span_text(base)}, 256)").alias("base_sha256"), F.expr(_span_text("spans")).alias("spans")
+    )

@@ -103,17 +103,22 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * _INVERSES.upto(n + 1)[start] + (end - start).astype(np.uint64))
 
 
-def split_words(texts: pa.Array, word_byte: np.ndarray, lower: bool = True) -> Words:
-    """Maximal runs of word bytes in each row; letters A-Z count as lower case."""
-    raw, offsets = text_bytes(texts)
-    data = _LOWER[raw] if lower else raw
+def runs(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of the maximal runs of word bytes in each row, and their row offsets."""
     inside = np.zeros(len(data) + 2, dtype=bool)
     inside[1:-1] = word_byte[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
     end = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
-    rows = np.searchsorted(start, offsets)
+    return start, end, np.searchsorted(start, offsets)
+
+
+def split_words(texts: pa.Array, word_byte: np.ndarray, lower: bool = True) -> Words:
+    """Maximal runs of word bytes in each row; letters A-Z count as lower case."""
+    raw, offsets = text_bytes(texts)
+    data = _LOWER[raw] if lower else raw
+    start, end, rows = runs(data, offsets, word_byte)
     return Words(data, offsets, start, end, rows, hash_spans(data, start, end))
 
 
