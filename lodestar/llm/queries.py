@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.llm import sql
+from lodestar.llm.bpe import decode_documents, encode_documents, load_tokenizer
 from lodestar.llm.common import held_out, labelled_sample, table
 from lodestar.llm.decontaminate import contamination
 from lodestar.llm.neardup import near_duplicates
@@ -68,3 +70,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.expr(f"sha2({_span_text(base)}, 256)").alias("base_sha256"), F.expr(_span_text("spans")).alias("spans")
     )
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = load_tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    decoded = decode_documents(encode_documents(table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
