@@ -24,12 +24,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[list[str], list[int]]:
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int = SAMPLE_TEXT_BYTES
+) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``per_class`` training rows of each class.
 
     Ids are chosen by their hash from all rows that may be learnt, so the choice is
     repeatable; only they are sent to the scan of the texts, and only their texts to
-    the driver. Ids with contradicting labels, null ids and texts are not learnt.
+    the driver. Ids with contradicting labels, null ids, and texts that are null or longer than
+    ``max_bytes`` are not learnt.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -38,10 +41,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         .filter("y = z")
         .select("doc_id", F.col("y").cast("int").alias("y"))
     )
-    # a few more ids than needed, as some have no text
     parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_TEXT_BYTES))
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").collect()
     rows = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows})
     return [r[1] for r in rows], [r[2] for r in rows]
