@@ -14,6 +14,7 @@ from lodestar.llm.decontaminate import contamination
 from lodestar.llm.neardup import near_duplicates
 from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
 from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
+from lodestar.llm.toxicity import FIT_BYTES, FIT_ROWS as TOXIC_ROWS, fit_toxicity, toxicity_score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +25,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(*labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", TOXIC_ROWS, FIT_BYTES))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity_score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=85)

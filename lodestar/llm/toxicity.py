@@ -1,13 +1,14 @@
 """Toxicity: a bidirectional gated recurrent network over windows of words.
 
-A word enters as the sum of what its own embedding and the embeddings of its character
-trigrams contribute. Both directions read a window; attention weighs the states of all
+A word enters as the sum of its own embedding and those of its characters: its character
+trigrams and its beginnings. Both directions read a window; attention weighs the states of all
 its words into one vector, and that gives the window's score. Windows overlap by half
 and cover the whole text, whose score is that of its most toxic window.
 
 Training is plain numpy. A labelled text does not say which window is toxic, so each
 text learns by one window: first the one with the most telling words, later the one
-that the network itself scores highest.
+that the network itself scores highest. Embeddings start from how telling a word or its
+parts are.
 
 Defined cases: a null text scores as an empty one, which is a window without words and
 gets the score of the network's bias. Equal texts score alike. With no training rows,
@@ -25,10 +26,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession, functions as F
 
-from lodestar.llm.words import ALNUM, mix, pieces, split_words
+from lodestar.llm.words import ALNUM, hash_spans, mix, pieces, split_words
 
 WINDOW, STRIDE = 32, 16
-WORD_BUCKETS, GRAM_BUCKETS = 1 << 14, 1 << 12
+WORD_BUCKETS, GRAM_BITS, PREFIX_BYTES = 1 << 14, 15, 8
 WORD_DIM, HIDDEN = 12, 8
 #: Labelled rows of each class the network is fitted on at most, and their longest text.
 FIT_ROWS, FIT_BYTES = 1500, 1 << 13
@@ -47,7 +48,7 @@ def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Windows:
-    """Distinct words with their trigrams, and windows of word numbers (-1: no word)."""
+    """Distinct words with their trigrams and beginnings, and windows of word numbers (-1: no word)."""
 
     bucket: np.ndarray
     grams: np.ndarray
@@ -57,15 +58,32 @@ class Windows:
 
 
 def make_windows(texts: pa.Array) -> Windows:
-    """All windows of whole texts; a text without words has one empty window."""
+    """All windows of whole texts; a text without words has one empty window.
+
+    A word repeated in a row counts once, so that such a row fills no window.
+    """
     w = split_words(texts, ALNUM)
+    fresh = np.ones(len(w.start), bool)
+    if len(fresh):
+        fresh[1:] = w.hash[1:] != w.hash[:-1]
+        fresh[w.rows[:-1][np.diff(w.rows) > 0]] = True
+    w.start, w.end, w.hash = w.start[fresh], w.end[fresh], w.hash[fresh]
+    w.rows = np.concatenate([[0], np.cumsum(fresh)])[w.rows]
     keys, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
     start, length = w.start[first], (w.end - w.start)[first]
     at, owner_start, owner_end = _ragged(start, length), np.repeat(start, length), np.repeat(start + length, length)
     data = w.data.astype(np.uint64)
     before = np.where(at > owner_start, data[np.maximum(at - 1, 0)], 0) if len(at) else data[:0]
     after = np.where(at + 1 < owner_end, data[np.minimum(at + 1, len(data) - 1)], 0) if len(at) else data[:0]
-    grams = mix(before | (data[at] << np.uint64(8)) | (after << np.uint64(16))) % np.uint64(GRAM_BUCKETS)
+    grams = [mix(before | (data[at] << np.uint64(8)) | (after << np.uint64(16)))]
+    owner = [np.repeat(np.arange(len(keys)), length)]
+    for k in range(2, PREFIX_BYTES + 1):
+        own = np.flatnonzero(length >= k)
+        grams.append(mix(hash_spans(w.data, start[own], start[own] + k)))
+        owner.append(own)
+    grams, owner = np.concatenate(grams) >> np.uint64(64 - GRAM_BITS), np.concatenate(owner)
+    order = np.argsort(owner, kind="stable")
+    gram_rows = np.searchsorted(owner[order], np.arange(len(keys) + 1))
     count = np.diff(w.rows)
     made = 1 + np.maximum(0, -((WINDOW - count) // STRIDE))
     rows = np.concatenate([[0], np.cumsum(made)])
@@ -75,9 +93,7 @@ def make_windows(texts: pa.Array) -> Windows:
     inside = place < w.rows[1:][row][:, None]
     words = np.full(place.shape, -1)
     words[inside] = which[place[inside]]
-    return Windows(
-        (keys >> np.uint64(50)).astype(np.int64), grams.astype(np.int64), np.concatenate([[0], np.cumsum(length)]), words, rows
-    )
+    return Windows((keys >> np.uint64(50)).astype(np.int64), grams[order].astype(np.int64), gram_rows, words, rows)
 
 
 class ToxicityModel:
@@ -92,8 +108,8 @@ class ToxicityModel:
         h = HIDDEN
         self.constant = constant
         self.w: dict[str, np.ndarray] = {
-            "word": normal(0.1, WORD_BUCKETS, WORD_DIM),
-            "gram": normal(0.1, GRAM_BUCKETS, WORD_DIM),
+            "word": normal(0.05, WORD_BUCKETS, WORD_DIM),
+            "gram": normal(0.05, 1 << GRAM_BITS, WORD_DIM),
             "att": normal(0.3, 2 * h, h),
             "att_b": np.zeros(h, np.float32),
             "att_v": normal(0.3, h),
@@ -111,7 +127,7 @@ class ToxicityModel:
         grams = self.w["gram"][win.grams[_ragged(win.gram_rows[words], length)]]
         ends = np.concatenate([[0], np.cumsum(length)])
         char = np.add.reduceat(grams, ends[:-1], axis=0) if len(words) else grams
-        return self.w["word"][win.bucket[words]] + char / np.maximum(length, 1)[:, None].astype(np.float32)
+        return self.w["word"][win.bucket[words]] + char / np.sqrt(length, dtype=np.float32)[:, None]
 
     def run(self, table: dict[str, np.ndarray], words: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict]:
         """Logits of windows; ``table`` has the gate inputs of every word, the last row for none."""
@@ -204,7 +220,7 @@ class ToxicityModel:
         d_x = d_x[:-1]
         length = np.diff(win.gram_rows)[used]
         grad["word"] = (win.bucket[used], d_x)
-        spread = np.repeat(d_x / np.maximum(length, 1)[:, None].astype(np.float32), length, axis=0)
+        spread = np.repeat(d_x / np.sqrt(length, dtype=np.float32)[:, None], length, axis=0)
         grad["gram"] = (win.grams[_ragged(win.gram_rows[used], length)], spread)
         return grad
 
@@ -228,18 +244,28 @@ class _Adagrad:
                 w -= self.rate * np.asarray(g, np.float32) / np.sqrt(seen)
 
 
-def _telling_words(win: Windows, y: np.ndarray) -> np.ndarray:
-    """How much more often each distinct word stands in texts of class 1 (log ratio, never negative)."""
+def _telling(win: Windows, y: np.ndarray, doubt: float = 6.0) -> tuple[np.ndarray, np.ndarray]:
+    """How much a distinct word, and a trigram or beginning, speaks for class 1.
+
+    Log odds of the class among the texts that hold it over those of all texts, 0 at
+    least; ``doubt`` texts of the usual mixture are added to each count.
+    """
     row = np.repeat(np.arange(len(y)), np.diff(win.rows))
     pairs = np.unique(np.stack([np.repeat(row, WINDOW), win.words.reshape(-1)], axis=1), axis=0)
-    pairs = pairs[pairs[:, 1] >= 0]
-    n = len(win.bucket)
-    one = np.bincount(pairs[:, 1], y[pairs[:, 0]], n)
-    none = np.bincount(pairs[:, 1], 1 - y[pairs[:, 0]], n)
-    return np.maximum(0, np.log((one + 1) / (y.sum() + 2)) - np.log((none + 1) / ((1 - y).sum() + 2)))
+    text, word = pairs[pairs[:, 1] >= 0].T
+    share = y.mean()
+
+    def ratio(text: np.ndarray, part: np.ndarray, n: int) -> np.ndarray:
+        text, part = np.unique(np.stack([text, part], axis=1), axis=0).T
+        one, none = np.bincount(part, y[text], n) + doubt * share, np.bincount(part, 1 - y[text], n) + doubt * (1 - share)
+        return np.maximum(0, np.log(one / none) - np.log(share / (1 - share)))
+
+    length = np.diff(win.gram_rows)
+    grams = win.grams[_ragged(win.gram_rows[word], length[word])]
+    return ratio(text, word, len(win.bucket)), ratio(np.repeat(text, length[word]), grams, 1 << GRAM_BITS)
 
 
-def fit_toxicity(texts: list[str], labels: list[int], steps: int = 700, batch: int = 48, rate: float = 0.08, seed: int = 5) -> ToxicityModel:
+def fit_toxicity(texts: list[str], labels: list[int], steps: int = 500, batch: int = 48, rate: float = 0.03, seed: int = 5) -> ToxicityModel:
     """Train on texts with labels 0 and 1; half of every batch is of class 1."""
     y = np.asarray(labels, dtype=np.float64)
     if len(y) == 0 or y.min() == y.max():
@@ -248,7 +274,10 @@ def fit_toxicity(texts: list[str], labels: list[int], steps: int = 700, batch: i
     win = make_windows(pa.array(texts, pa.large_string()))
     model = ToxicityModel(seed)
     optimiser = _Adagrad(model, rate)
-    telling = np.append(_telling_words(win, y), 0.0)
+    by_word, by_gram = _telling(win, y)
+    telling = np.append(np.maximum(by_word, np.maximum.reduceat(by_gram[win.grams], win.gram_rows[:-1])), 0.0)
+    model.w["word"][win.bucket, 0] = by_word
+    model.w["gram"][:, 0] = by_gram
     rank = np.sort(telling[win.words], axis=1)[:, -3:].sum(axis=1)
     groups = [np.flatnonzero(y == c) for c in (0, 1)]
 
@@ -257,7 +286,7 @@ def fit_toxicity(texts: list[str], labels: list[int], steps: int = 700, batch: i
 
     chosen = best()
     for step in range(steps):
-        if step in (steps // 2, 3 * steps // 4):
+        if step in (steps // 3, 2 * steps // 3):
             rank = model.window_logits(win)
             chosen = best()
         zeros = rng.choice(groups[0], batch // 2)
