@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.llm import sql
 from lodestar.llm.bpe import decode_documents, encode_documents, load_tokenizer
-from lodestar.llm.common import held_out, labelled_sample, table
+from lodestar.llm.common import held_out, labelled_sample, shared_folder, table
 from lodestar.llm.decontaminate import contamination
 from lodestar.llm.neardup import near_duplicates
 from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
 from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
+from lodestar.llm.tokencount import count_tokens
 from lodestar.llm.toxicity import FIT_BYTES, FIT_ROWS as TOXIC_ROWS, fit_toxicity, toxicity_score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +42,13 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op6_near_duplicates"] = sql.NEAR_DUPLICATES
 
 
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counts = count_tokens(table(spark, sf_dir, "documents"), shared_folder(spark, "token-counts"), path)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
