@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.llm import sql
+from lodestar.llm.ann import build_index, search_index
 from lodestar.llm.bpe import decode_documents, encode_documents, load_tokenizer
 from lodestar.llm.common import held_out, labelled_sample, shared_folder, table
 from lodestar.llm.decontaminate import contamination
@@ -34,6 +35,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@query
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    queries = vectors.filter(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"))
+    return search_index(build_index(vectors, 5), queries, 5)
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=85)
