@@ -17,6 +17,7 @@ from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_
 from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
 from lodestar.llm.tokencount import count_tokens
 from lodestar.llm.toxicity import FIT_BYTES, FIT_ROWS as TOXIC_ROWS, fit_toxicity, toxicity_score
+from lodestar.llm.warc import page_of, read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +43,20 @@ def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_index(build_index(vectors, 5), queries, 5)
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_warc(table(spark, sf_dir, "pages"), shared_folder(spark, "warc"))
+    stored = F.regexp_replace("payload_digest", "^sha256:", "")
+    digest = F.when(F.col("record_type") == "response", F.sha2("payload", 256)).otherwise(stored)
+    return read_warc(archives).select(
+        page_of("record_id").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), "record_type",
+        page_of("refers_to").alias("refers_to"),
+    )
+
+
+ORACLE["op3_warc"] = sql.ARCHIVE
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=85)

@@ -56,3 +56,13 @@ least_of AS (SELECT id AS doc_id, min(root) AS component_id FROM reach GROUP BY
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM least_of LEFT JOIN sizes USING (doc_id)
 """
+
+ARCHIVE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+sized AS (SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM sized WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM sized LEFT JOIN firsts USING (payload_digest)
+"""
