@@ -9,12 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.session import cut_lineage, shared_folder
 
-__all__ = ["cut_lineage", "shared_folder", "table", "held_out", "labelled_sample", "slices", "small_batches"]
+__all__ = ["bound_arrow_batches", "cut_lineage", "held_out", "labelled_sample", "shared_folder", "slices", "small_batches", "table"]
 
 #: Texts above this many bytes are left out of a training sample (never out of scoring).
 SAMPLE_TEXT_BYTES = 1 << 15
 
 
+#: Rows of an Arrow batch between Spark and a Python worker.
+ARROW_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,6 +53,11 @@ def labelled_sample(
     return [r[1] for r in rows], [r[2] for r in rows]
 
 
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Rows of an Arrow batch, so that a batch of texts stays a few megabytes on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -12,6 +12,7 @@ from lodestar.llm.ann import build_index, search_index
 from lodestar.llm.bpe import decode_documents, encode_documents, load_tokenizer
 from lodestar.llm.common import held_out, labelled_sample, shared_folder, table
 from lodestar.llm.decontaminate import contamination
+from lodestar.llm.licenses import license_spans
 from lodestar.llm.neardup import near_duplicates
 from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
 from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
@@ -57,6 +58,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op3_warc"] = sql.ARCHIVE
 
 
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_spans(table(spark, sf_dir, "documents"))
+    places = "array_join(transform(spans, s -> concat_ws(':', s.license, s.start, s.end)), ',')"
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.expr(places).alias("spans"))
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, percent=85)
