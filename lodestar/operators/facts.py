@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodestar.functions.columns import date_id, fill_null, ts_lit
 from lodestar.functions.reserved import FACT_OPEN_END, NA_ID, RECORD_ERROR, RECORD_RESOLVED
 from lodestar.operators.diff import INSERT, UPDATE
-from lodestar.operators.joins import BROADCAST_BYTES, Side, join_sides
+from lodestar.operators.joins import Side, join_sides
 
 
 @dataclass(frozen=True)
@@ -47,22 +47,23 @@ def unresolved(lookups: Sequence[Lookup]) -> Column:
     return reduce(or_, [F.col(x.name).isNull() for x in lookups])
 
 
-def resolve_all(df: DataFrame, lookups: Sequence[Lookup], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def resolve_all(df: DataFrame, lookups: Sequence[Lookup], spread: bool = False) -> DataFrame:
     """Every row with all keys found so far; a key that was not found is NULL.
 
-    Ids are defaulted before the join, which keeps each lookup an equi-join.
+    Ids are defaulted before the join, which keeps each lookup an equi-join. See
+    ``join_sides`` for ``spread``.
     """
-    return join_sides(df, [x.side() for x in lookups], "left", broadcast_bytes)
+    return join_sides(df, [x.side() for x in lookups], "left", spread)
 
 
 def resolve_keys(
-    df: DataFrame, lookups: Sequence[Lookup], broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, lookups: Sequence[Lookup], spread: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with all keys, and rows with at least one missing.
 
     The two are complementary filters of one joined frame.
     """
-    found = resolve_all(df, lookups, broadcast_bytes)
+    found = resolve_all(df, lookups, spread)
     missing = unresolved(lookups)
     return found.filter(~missing), found.filter(missing)
 
@@ -141,7 +142,7 @@ def reprocess_errors(
     lookups: Sequence[Lookup],
     run_id: int,
     run_ts: str | dt.datetime,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    spread: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Drive the error rows of one run again.
 
@@ -151,7 +152,7 @@ def reprocess_errors(
     """
     names = [x.name for x in lookups]
     open_rows = (F.col("runid") == run_id) & (F.col("record_status") == RECORD_ERROR)
-    again = resolve_all(errors.filter(open_rows).drop(*names), lookups, broadcast_bytes)
+    again = resolve_all(errors.filter(open_rows).drop(*names), lookups, spread)
     missing = unresolved(lookups)
     facts = fact_insert(again.filter(~missing).drop("runid", "record_status", "dw_creation_date"), run_ts)
     marked = again.withColumn("record_status", F.when(missing, RECORD_ERROR).otherwise(RECORD_RESOLVED))

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from lodestar.operators.joins import BROADCAST_BYTES, Side, join_sides
+from lodestar.operators.joins import Side, join_sides
 from lodestar.session import cut_lineage
 
 
@@ -16,7 +16,6 @@ def parent_lookup(
     parent: str,
     attrs: Mapping[str, str],
     source: DataFrame | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add attributes of the parent row; NULL where there is none.
 
@@ -24,12 +23,10 @@ def parent_lookup(
     up in ``source``, or in ``df`` itself.
     """
     side = Side(df if source is None else source, [(F.col(parent), key)], attrs)
-    return join_sides(df, [side], "left", broadcast_bytes)
+    return join_sides(df, [side])
 
 
-def _climb(
-    edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str], paths: bool, broadcast_bytes: int
-) -> DataFrame:
+def _climb(edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str], paths: bool) -> DataFrame:
     """Rows of ``edges`` that reach a root, with ``__depth`` and maybe ``__path``.
 
     Every open row knows an ancestor and the distance to it. One round joins it
@@ -54,7 +51,7 @@ def _climb(
     while not open_rows.isEmpty():
         take = {"__n": "__next", "__d": "__depth", **({"__p": "__path"} if paths else {})}
         partners = done.unionByName(open_rows)
-        stepped = join_sides(open_rows, [Side(partners, [(F.col("__next"), key)], take)], "inner", broadcast_bytes)
+        stepped = join_sides(open_rows, [Side(partners, [(F.col("__next"), key)], take)], "inner")
         moved = {"__next": F.col("__n"), "__depth": F.col("__depth") + F.col("__d")}
         if paths:
             moved["__path"] = F.concat("__path", "__p")
@@ -72,13 +69,15 @@ def hierarchy_depth(
     key: str,
     parent: str,
     root_level: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows reachable from a root with their ``level``; roots take ``root_level``.
 
     Orphans and members of cycles are never reached and drop out.
     """
-    found = _climb(edges, key, parent, {}, False, broadcast_bytes)
+    return _depths(_climb(edges, key, parent, {}, False), edges, root_level)
+
+
+def _depths(found: DataFrame, edges: DataFrame, root_level: int | None) -> DataFrame:
     level = F.when(F.col("__depth") == 0, F.lit(root_level).cast("int")).otherwise(F.col("__depth"))
     return found.select(*edges.columns, level.cast("int").alias("level"))
 
@@ -88,7 +87,6 @@ def hierarchy_closure(
     key: str,
     parent: str,
     attrs: Mapping[str, str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per node and ancestor, and one per node with itself.
 
@@ -98,7 +96,19 @@ def hierarchy_closure(
     come with the rows, so the closure itself needs no further join.
     """
     attrs = dict(attrs or {})
-    found = _climb(edges, key, parent, attrs, True, broadcast_bytes)
+    return _closure(_climb(edges, key, parent, attrs, True), edges, key, parent, attrs)
+
+
+def hierarchy_tables(
+    edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str] | None = None, root_level: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``hierarchy_depth`` and ``hierarchy_closure`` of the same edges, climbed once."""
+    attrs = dict(attrs or {})
+    found = cut_lineage(_climb(edges, key, parent, attrs, True))
+    return _depths(found, edges, root_level), _closure(found, edges, key, parent, attrs)
+
+
+def _closure(found: DataFrame, edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str]) -> DataFrame:
     self_step = F.struct(F.col(key).alias("id"), *[F.col(own).alias(c) for c, own in attrs.items()])
     rows = found.select(
         *[c for c in edges.columns if c != parent and c not in attrs],

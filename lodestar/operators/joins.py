@@ -1,51 +1,21 @@
-"""Many-to-one joins whose strategy follows measured sizes.
+"""Many-to-one joins, planned without running anything.
 
-The right side holds at most one row per key. Sides are broadcast only when their
-bytes were counted and fit a budget together; beyond it both sides are shuffled on
-the key, with the hot keys of the left side spread over several partitions.
+The right side holds at most one row per key. Left to itself Spark broadcasts the sides
+whose file sizes fit ``spark.sql.autoBroadcastJoinThreshold``, measures the others at
+their shuffles and splits skewed partitions. Where a side is known to be large and the
+left side is written already, ``spread`` takes the hot keys of the left side apart before
+the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 0.01
 
-_ROW_OVERHEAD = 16
-_VARIABLE = (T.StringType, T.BinaryType)
-_NESTED = (T.ArrayType, T.MapType, T.StructType)
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    size = F.lit(_ROW_OVERHEAD)
-    for f in df.schema.fields:
-        size = size + F.lit(8)
-        if isinstance(f.dataType, _VARIABLE):
-            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
-        elif isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, _VARIABLE + _NESTED):
-            size = size + F.coalesce(F.size(F.col(f.name)), F.lit(0)) * 8
-        elif isinstance(f.dataType, _NESTED):
-            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0))
-    return size.cast("long")
-
-
-def measure_bytes(frames: Sequence[DataFrame]) -> list[int]:
-    """Counted size of each frame in memory, all frames in one job.
-
-    A column of fixed width adds nothing to the scan: such a frame is a row count.
-    """
-    if not frames:
-        return []
-    sized = [df.select(F.lit(i).alias("i"), _row_bytes(df).alias("bytes")) for i, df in enumerate(frames)]
-    out = reduce(lambda a, b: a.unionByName(b), sized).groupBy("i").agg(F.sum("bytes").alias("bytes"))
-    sizes = {r["i"]: r["bytes"] for r in out.collect()}
-    return [int(sizes.get(i, 0)) for i in range(len(frames))]
-
 
 @dataclass(frozen=True)
 class Side:
@@ -95,54 +65,32 @@ def _spread(
     return left.join(right, [*cond, F.col(name) == F.col(f"{name}_copy")], how)
 
 
-def _within_budget(sizes: Sequence[int], roles: Sequence[tuple], budget: int) -> list[int]:
-    """Sides to broadcast, smallest first, while all of them together fit the budget."""
-    chosen, used, seen = [], 0, set()
-    for i in sorted(range(len(sizes)), key=lambda k: sizes[k]):
-        used += 0 if roles[i] in seen else sizes[i]
-        if used > budget:
-            break
-        seen.add(roles[i])
-        chosen.append(i)
-    return chosen
-
-
 def join_sides(
     left: DataFrame,
     sides: Sequence[Side],
     how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    spread: bool = False,
     salts: int | None = None,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Join every side to ``left``, adding the ``take`` columns.
 
-    Sides that fit the broadcast budget together are joined first, in the same
-    stage as the scan of ``left``; the same columns of a frame used in several roles
-    count once. Every further side costs a shuffle of ``left``; rows of a hot key go to
-    ``salts`` partitions there, by default as many as a shuffle has.
+    Nothing runs before the action. With ``spread`` one pass over the keys of ``left``
+    runs at once, and the rows of every key that may hold more than ``hot_share`` of them
+    go to ``salts`` partitions, by default as many as a shuffle has.
     """
-    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     prepared = [s.projected(f"__r{i}") for i, s in enumerate(sides)]
-    roles = [(id(s.frame), tuple(r for _, r in s.on), tuple(s.take.values())) for s in sides]
-    first = {role: prepared[i] for i, role in reversed(list(enumerate(roles)))}
-    counted = dict(zip(first, measure_bytes(list(first.values()))))
-    small = _within_budget([counted[role] for role in roles], roles, broadcast_bytes)
-    large = [i for i in range(len(sides)) if i not in small]
 
     def keys(i: int) -> list[Column]:
         types = [f.dataType for f in prepared[i].schema.fields]
         return [expr.cast(t) for (expr, _), t in zip(sides[i].on, types)]
 
-    hot = dict(zip(large, hot_hashes(left, [keys(i) for i in large], hot_share))) if large else {}
+    hot = hot_hashes(left, [keys(i) for i in range(len(sides))], hot_share) if spread else []
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt_by = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
     left_keys = {i: [f"__l{i}k{j}" for j in range(len(side.on))] for i, side in enumerate(sides)}
     out = left.withColumns({name: expr for i in left_keys for name, expr in zip(left_keys[i], keys(i))})
-    for i in small + large:
-        right_keys = [f"__r{i}k{j}" for j in range(len(sides[i].on))]
-        if i in hot:
-            out = _spread(out, prepared[i], left_keys[i], right_keys, how, hot[i], salts, salt_by)
-        else:
-            cond = [F.col(a) == F.col(b) for a, b in zip(left_keys[i], right_keys)]
-            out = out.join(F.broadcast(prepared[i]), cond, how)
+    for i, side in enumerate(sides):
+        right_keys = [f"__r{i}k{j}" for j in range(len(side.on))]
+        out = _spread(out, prepared[i], left_keys[i], right_keys, how, hot[i] if spread else [], salts, salt_by)
     return out.select(*left.columns, *[name for s in sides for name in s.take])

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lodestar.functions.reserved import ERROR_ID, ERROR_TEXT, NA_ID, NA_TEXT
-
-MAX_LIST_MEMBERS = 10_000
+from lodestar.session import cut_lineage
 
 
 def period_rollup(
@@ -51,26 +51,12 @@ def code_list(df: DataFrame, id: str, name: str) -> DataFrame:
     return rows.unionByName(members)
 
 
-def junk_dimension(lists: Mapping[str, DataFrame], max_members: int = MAX_LIST_MEMBERS) -> DataFrame:
-    """Every combination of the members of several short code lists.
+def junk_dimension(lists: Mapping[str, DataFrame]) -> DataFrame:
+    """Every combination of the members of several code lists.
 
-    Meant for lists of codes: a list over ``max_members`` fails the query. The first
-    list stays distributed; the members of the others travel as one array each and
-    are unfolded row by row.
+    A product by definition. The lists are written first, so their sizes are known: those
+    within ``spark.sql.autoBroadcastJoinThreshold`` are sent to the tasks, larger ones are
+    paired partition by partition.
     """
-    names = list(lists)
-    first = names[0]
-    out = lists[first].select(F.col("list_id").alias(f"{first}_id"), F.col("list_item_name").alias(first))
-    for n in names[1:]:
-        out = out.withColumn("__m", F.explode(_members(lists[n], n, max_members))).select(
-            *out.columns, F.col("__m.id").alias(f"{n}_id"), F.col("__m.name").alias(n)
-        )
-    return out
-
-
-def _members(rows: DataFrame, name: str, max_members: int) -> Column:
-    """All members of a list as an array; one row more than allowed is enough to refuse it."""
-    pair = F.struct(F.col("list_id").alias("id"), F.col("list_item_name").alias("name"))
-    members = rows.limit(max_members + 1).agg(F.collect_list(pair).alias("m"))
-    refused = F.raise_error(F.lit(f"list {name} has more than {max_members} members"))
-    return members.select(F.when(F.size("m") > max_members, refused).otherwise(F.col("m")).alias("m")).scalar()
+    parts = [rows.select(F.col("list_id").alias(f"{n}_id"), F.col("list_item_name").alias(n)) for n, rows in lists.items()]
+    return reduce(lambda a, b: a.crossJoin(b), map(cut_lineage, parts))

@@ -29,7 +29,7 @@ from lodestar.operators.facts import (
     resolve_all,
     unresolved,
 )
-from lodestar.operators.hierarchy import hierarchy_closure, hierarchy_depth, parent_lookup
+from lodestar.operators.hierarchy import hierarchy_tables, parent_lookup
 from lodestar.operators.joins import Side, join_sides
 from lodestar.operators.scd import DimSpec, scd_insert, scd_merge
 from lodestar.plans import control
@@ -254,8 +254,9 @@ def load_hierarchy(
         key, parent, {out: source for out, (source, _) in parent_attrs.items()},
     ).select(key, *own, parent, *parent_attrs)
     edges = ctx.write(edges, f"{name}_edges")
-    depths = ctx.whole(hierarchy_depth(edges, key, parent, root_level), f"{name}_depth")
-    closure = hierarchy_closure(edges, key, parent, {out: own_col for out, (_, own_col) in parent_attrs.items()})
+    shown = {out: own_col for out, (_, own_col) in parent_attrs.items()}
+    depth, closure = hierarchy_tables(edges, key, parent, shown, root_level)
+    depths = ctx.whole(depth, f"{name}_depth")
     read_back = Published({WHOLE: ctx.path(f"{name}_edges")})
     return {f"{name}_edges": read_back, **depths, **ctx.whole(closure, f"{name}_hierarchy")}
 

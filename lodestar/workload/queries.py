@@ -384,7 +384,7 @@ def resolve_keys(s: Source) -> DataFrame:
 
 @query
 def resolve_keys_shuffled(s: Source) -> DataFrame:
-    found = f.resolve_all(s.fact_lines, s.lookups, broadcast_bytes=0)
+    found = f.resolve_all(s.fact_lines, s.lookups, spread=True)
     return found.select(*LINE_KEY, *FACT_KEYS, f.unresolved(s.lookups).alias("rejected"))
 
 

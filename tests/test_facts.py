@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import facts as f
 from lodestar.operators.diff import fact_changes
-from lodestar.operators.joins import Side, hot_hashes, join_sides, measure_bytes
+from lodestar.operators.joins import Side, hot_hashes, join_sides
 
 T1, T2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2)
 
@@ -31,10 +31,10 @@ LINES = [
 SCHEMA = "id long, item int, st string, kind string, day timestamp_ntz"
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_every_line_is_valid_or_rejected(spark, rows, lookups, limit):
+@pytest.mark.parametrize("spread", [False, True])
+def test_every_line_is_valid_or_rejected(spark, rows, lookups, spread):
     df = spark.createDataFrame(LINES, SCHEMA)
-    valid, rejected = f.resolve_keys(df, lookups, limit)
+    valid, rejected = f.resolve_keys(df, lookups, spread)
     keys = ["id", "item_key", "status_key", "day_key"]
     assert rows(valid, *keys) == [(1, 101, 1, 20260101), (2, -99, 2, 0)]
     assert rows(rejected, *keys) == [(3, None, 1, 20260101), (4, 102, None, 20260101), (5, 102, 1, None)]
@@ -48,23 +48,21 @@ def test_hot_keys_are_spread_and_results_stay_whole(spark):
     hot = hot_hashes(left, [[F.col("fk")]], 0.05)[0]
     want = left.select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
     assert want in hot and len(hot) <= 20
-    spread = join_sides(left, [side], broadcast_bytes=0, hot_share=0.05, salts=8)
+    spread = join_sides(left, [side], spread=True, hot_share=0.05, salts=8)
     assert "__salt" in spread._jdf.queryExecution().optimizedPlan().toString()
     plain = left.join(dim, F.col("fk") == F.col("k"), "left").select("id", "fk", "sk")
     assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
-    inner = join_sides(left, [side], "inner", broadcast_bytes=0, hot_share=0.05)
+    inner = join_sides(left, [side], "inner", spread=True, hot_share=0.05)
     assert inner.count() == plain.filter("sk is not null").count()
 
 
-def test_sizes_are_counted(spark):
-    small, text = spark.range(10).toDF("k"), spark.createDataFrame([("x" * 1000,), (None,)], "t string")
-    assert measure_bytes([small, text, small.limit(0)]) == [240, 2 * 24 + 1000, 0]
-
-
-def test_broadcast_budget_is_shared(spark, lookups):
+def test_planning_runs_nothing(spark, lookups):
     df = spark.createDataFrame(LINES, SCHEMA)
-    plan = f.resolve_all(df, lookups, 80)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("rightHint=(strategy=broadcast)") == 1
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job may start here")
+    f.resolve_all(df, lookups)
+    assert tracker.getJobIdsForGroup("planning") == []
+    spark.sparkContext.setJobGroup("rest", "")
 
 
 def test_versions_and_quarantine(spark, rows, lookups):

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from lodestar.operators.hierarchy import hierarchy_closure, hierarchy_depth, parent_lookup
+from lodestar.operators.hierarchy import hierarchy_closure, hierarchy_depth, hierarchy_tables, parent_lookup
 
 # 1 and 6 are roots; 8 and 9 point at each other, 10 hangs off them; 11 is an orphan and 12 below it.
 EDGES = [(1, None), (2, 1), (3, 2), (4, 3), (5, 4), (6, None), (7, 6), (8, 9), (9, 8), (10, 9), (11, 99), (12, 11), (13, 13)]
@@ -25,16 +25,17 @@ def expected(edges):
     return depth, sorted(closure, key=lambda r: r[:3])
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_against_brute_force(spark, rows, limit):
+def test_against_brute_force(spark, rows):
     df = spark.createDataFrame([(k, f"n{k}", p) for k, p in EDGES], "id long, name string, up long")
     edges = parent_lookup(df, "id", "up", {"up_name": "name"})
     depth, closure = expected(EDGES)
-    got = {r["id"]: r["level"] for r in hierarchy_depth(edges, "id", "up", broadcast_bytes=limit).collect()}
+    got = {r["id"]: r["level"] for r in hierarchy_depth(edges, "id", "up").collect()}
     assert got == {n: (d or None) for n, d in depth.items()}
-    out = hierarchy_closure(edges, "id", "up", {"up_name": "name"}, limit)
+    out = hierarchy_closure(edges, "id", "up", {"up_name": "name"})
     assert rows(out, "id", "up", "level", "q_level") == closure
     assert out.filter("up_name != concat('n', up)").isEmpty()
+    depths, both = hierarchy_tables(edges, "id", "up", {"up_name": "name"})
+    assert {r["id"]: r["level"] for r in depths.collect()} == got and both.exceptAll(out).isEmpty() and out.exceptAll(both).isEmpty()
     assert len(closure) == sum(depth.values()) + len(depth)
 
 
@@ -48,7 +49,7 @@ def test_long_chain_and_hot_parent(spark):
     star = [(1000 + i, 3) for i in range(200)]
     df = spark.createDataFrame(chain + star, "id long, up long")
     depth, closure = expected(chain + star)
-    out = hierarchy_closure(df, "id", "up", broadcast_bytes=0)
+    out = hierarchy_closure(df, "id", "up")
     assert sorted((tuple(r) for r in out.select("id", "up", "level", "q_level").collect()), key=lambda r: r[:3]) == closure
 
 

@@ -24,8 +24,13 @@ def test_junk_dimension(spark, rows):
     assert out.columns == ["one_id", "one", "two_id", "two"]
     assert out.count() == 12 and out.distinct().count() == 12
     assert (-99, "NA_GDW", 0, "NA_ERR") in rows(out)
-    with pytest.raises(Exception, match="more than 2 members"):
-        junk_dimension({"one": one, "two": two}, max_members=2).collect()
+    assert "BroadcastNestedLoopJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_junk_dimension_has_no_cap(spark):
+    long = spark.range(12_000).select(F.col("id").alias("list_id"), F.concat(F.lit("n"), "id").alias("list_item_name"))
+    two = code_list(spark.createDataFrame([(5, "x")], "id int, n string"), "id", "n")
+    assert junk_dimension({"two": two, "long": long}).count() == 36_000
 
 
 def test_watermarks(spark, rows):
