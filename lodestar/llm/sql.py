@@ -40,11 +40,11 @@ shingles AS (
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
   GROUP BY ALL
 ),
 links AS (
-  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both >= 85 * (p.n + q.n - both)
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * n_both >= 85 * (p.n + q.n - n_both)
 ),
 edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (
