@@ -26,11 +26,13 @@ import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestar.llm.common import small_batches
+from lodestar.llm.common import bound_arrow_batches, small_batches
 from lodestar.llm.words import hash_spans, mix, text_bytes
 
+#: Text encoded at a time.
+PIECE_BYTES = 1 << 19
 #: Pre-tokens whose merges a worker remembers at most.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
 
 
@@ -292,11 +294,12 @@ def encode_documents(docs: DataFrame, tokenizer: Broadcast) -> DataFrame:
     """``doc_id, ids`` of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", PIECE_BYTES):
             ids, rows = tokenizer.value.encode(batch.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
 
+    bound_arrow_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 

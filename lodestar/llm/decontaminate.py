@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from lodestar.llm.common import cut_lineage, small_batches
+from lodestar.llm.common import bound_arrow_batches, cut_lineage, small_batches
 from lodestar.llm.words import ALNUM, Words, split_words
 
 WINDOW = 10
@@ -251,6 +251,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     holds the distinct ids of the items with such windows, and ``matches`` the longest
     verbatim match of each of them and its place, in words.
     """
+    bound_arrow_batches(docs.sparkSession)
     empty = [F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans")]
     matches = F.expr("cast(array() as array<struct<item_id:long,doc_word:long,item_word:long,n_words:long>>)").alias("matches")
     state = docs.select(F.col("doc_id").cast("long"), "text", *empty, matches)
@@ -286,6 +287,7 @@ def _clean(shared: Broadcast, text: str):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents, all columns, without those that hold a benchmark window."""
+    bound_arrow_batches(docs.sparkSession)
     out = docs
     for shared in _blocks(benchmark, window, block_bytes):
         out = out.mapInArrow(_clean(shared, "text"), docs.schema)

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestar.llm.common import cut_lineage, small_batches
+from lodestar.llm.common import bound_arrow_batches, cut_lineage, small_batches
 from lodestar.llm.components import UnionFind, connected_components
 from lodestar.llm.superminhash import signatures
 from lodestar.llm.words import SPACED, mix, ngram_hashes, split_words
@@ -162,6 +162,7 @@ def near_duplicates(
     Two documents are linked when ``100 * intersection >= percent * union`` of their
     sets of distinct shingles.
     """
+    bound_arrow_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long"), "text")
     schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
     features = cut_lineage(source.mapInArrow(_featurise(words_per_shingle, bands, band_rows), schema))

@@ -19,8 +19,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
+from lodestar.llm.common import bound_arrow_batches
 from lodestar.llm.words import PIECE_BYTES, SPACED, pieces, split_words
 
 WORD_BUCKETS = 1 << 14
@@ -185,8 +186,7 @@ def fit_quality(texts: list[str], labels: list[int], epochs: int = 12, rate: flo
 
 def quality_score(model: QualityModel, text: Column) -> Column:
     """Probability of label 1 of every whole text."""
-    from pyspark.sql import SparkSession
-
+    bound_arrow_batches(SparkSession.getActiveSession())
     shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestar.llm.common import slices
+from lodestar.llm.common import bound_arrow_batches, slices
 
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
 
@@ -77,6 +77,7 @@ def read_cache(spark: SparkSession, cache: str) -> DataFrame:
 
 def count_tokens(docs: DataFrame, cache: str, path: str) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every document; ``cache`` is a folder all executors share."""
+    bound_arrow_batches(docs.sparkSession)
     spark, version = docs.sparkSession, tokenizer_digest(path)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("content", F.sha2("text", 256))

@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, SparkSession, functions as F
 
+from lodestar.llm.common import bound_arrow_batches
 from lodestar.llm.words import ALNUM, hash_spans, mix, pieces, split_words
 
 WINDOW, STRIDE = 32, 16
@@ -304,6 +305,7 @@ def fit_toxicity(texts: list[str], labels: list[int], steps: int = 500, batch: i
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
     """Score of every whole text, between 0 and 1."""
+    bound_arrow_batches(SparkSession.getActiveSession())
     shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

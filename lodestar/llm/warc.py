@@ -29,7 +29,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lodestar.llm.common import cut_lineage
+from lodestar.llm.common import bound_arrow_batches, cut_lineage
 
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 100
@@ -110,6 +110,7 @@ def _write(folder: str, date: str, file_bytes: int) -> Callable:
 
 def write_warc(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write ``pages`` (``page_id, url, html``) as archives and return their manifest (``path, length``)."""
+    bound_arrow_batches(pages.sparkSession)
     return cut_lineage(mark_revisits(pages).mapInArrow(_write(folder, date, file_bytes), "path string, length long"))
 
 
