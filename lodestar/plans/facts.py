@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,6 +35,7 @@ class FactSpec:
     ``part_width`` keeps stage and fact in parts of that many consecutive ids of the
     first key column, so that a load only touches the parts of its increment. Ids that
     rise with time keep those few; choose the width for up to some thousand parts.
+    ``compare`` names the columns that decide whether a known line has changed.
     """
 
     name: str
@@ -46,6 +47,16 @@ class FactSpec:
     text_defaults: tuple[str, ...] = ()
     constants: Mapping[str, int] = field(default_factory=dict)
     part_width: int | None = None
+    compare: tuple[str, ...] | None = None
+
+    def compared(self, columns: Sequence[str]) -> list[str] | None:
+        """Columns whose change makes a new version; all of them without a list."""
+        if self.compare is None:
+            return None
+        absent = [c for c in self.compare if c not in columns]
+        if absent:
+            raise ValueError(f"{self.name}: the increment lacks compared columns {absent}")
+        return [c for c in self.compare if c not in self.key]
 
     def part(self) -> Column:
         """Part of the stage and fact tables a row belongs to; depends on the key only."""

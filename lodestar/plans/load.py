@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lodestar.functions.columns import fill_blank, ts_lit
 from lodestar.functions.reserved import NA_TEXT, RECORD_ERROR, RECORD_SUPERSEDED
@@ -54,6 +56,10 @@ class RunContext:
         """State of a table, or of some parts, that this run starts from."""
         return self.store.read(table, self.run_id, wanted)
 
+    def latest(self, table: str, wanted: Callable[[str], bool] | None = None) -> DataFrame | None:
+        """State of a table with what earlier attempts of this run have published."""
+        return self.store.read(table, self.run_id + 1, wanted)
+
     def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
         return self.store.write(df, table, self.run_id, self.attempt, partition_by)
 
@@ -90,34 +96,66 @@ def enrich(spec: DimSpec, prestage: DataFrame, tables: Mapping[str, DataFrame])
     return out.withColumns({n: fill_blank(n, NA_TEXT) for n in names})
 
 
-def _write_moved(ctx: RunContext, diff: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+def _write_moved(ctx: RunContext, diff: DataFrame, table: str) -> tuple[DataFrame, dict[str, int]]:
     """Write the keys that moved and count all of them in the same pass."""
     seen = Observation()
     moved = ctx.write(diff.observe(seen, *count_columns()).filter(F.col("op") != NOCHANGE), table)
-    counts = seen.get
-    return moved, ctx.store.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+    return moved, dict(seen.get)
+
+
+def _null_key(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
+def _reject_null_keys(ctx: RunContext, name: str, rows: DataFrame, keys: Sequence[str]) -> tuple[dict[str, Published], int]:
+    """Rows without a key go to the rejected rows of the entity, with the reason."""
+    seen = Observation()
+    lost = rows.filter(_null_key(keys)).select(
+        F.lit(ctx.run_id).alias("runid"), "*", F.lit("null key").alias("reason"), ts_lit(ctx.run_ts).alias("dw_creation_date")
+    )
+    published = ctx.append(lost.observe(seen, F.count(F.lit(1)).alias("n")), f"{name}_rejected")
+    return published, seen.get["n"]
+
+
+def _counted(ctx: RunContext, counts: Mapping[str, int], received: int, null_keys: int) -> DataFrame:
+    """Counts of a delta next to what was received; nothing may be left unexplained."""
+    told = {**counts, "received": received, "null_keys": null_keys, "duplicates": received - null_keys - counts["ingested"]}
+    if told["duplicates"] < 0:
+        raise ValueError(f"more keys compared than rows received: {told}")
+    return ctx.store.spark.createDataFrame([tuple(told.values())], ", ".join(f"{c} bigint" for c in told))
 
 
 def load_dimension(ctx: RunContext, spec: DimSpec, prestage: DataFrame, order: str | None = None) -> Loaded:
     """Compare, refresh the stage image and merge the dimension.
 
     The moved keys are written once and feed everything else. Name a modification
-    time in ``order`` if the source may hold a key more than once. Returns what to
+    time in ``order`` if the source may hold a key more than once. Rows without a key are
+    kept as rejected rows and counted, as are surplus rows of a key. Returns what to
     publish and the counts of the delta.
     """
+    prestage = prestage.select(*dict.fromkeys([spec.key, *spec.attributes, *([order] if order else [])]))
+    seen = Observation()
+    rows = prestage
     if order is not None:
-        prestage = latest_per_key(prestage, spec.key, order)
-    prestage = prestage.select(spec.key, *spec.attributes)
+        rows = ctx.write(prestage, f"prestage_{spec.name}")
+    rejected, null_keys = _reject_null_keys(ctx, spec.name, rows, [spec.key])
+    if order is not None:
+        received = rows.count()
+        rows = latest_per_key(rows.filter(~_null_key([spec.key])), spec.key, order)
+    else:
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    prestage = rows.select(spec.key, *spec.attributes)
     stage, dim = ctx.before(f"stage_{spec.name}"), ctx.before(spec.name)
     stage = _empty_like(prestage) if stage is None else stage
     images = image_diff(prestage, stage, spec.key, spec.scd1, spec.scd2).select(spec.key, "op", "ch_type", "new")
     moved, counts = _write_moved(ctx, images, f"delta_{spec.name}")
+    told = _counted(ctx, counts, received if order is not None else seen.get["n"], null_keys)
     staged = ctx.whole(dim_stage_refresh(stage, moved, spec.key), f"stage_{spec.name}")
     if dim is None:
         merged = scd_insert(moved, spec, ctx.run_ts, None, None)
     else:
         merged = scd_merge(dim, moved, spec, ctx.run_ts, ctx.expire_offset, ctx.delete_scope)
-    return {**staged, **ctx.whole(merged, spec.name)}, counts
+    return {**staged, **rejected, **ctx.whole(merged, spec.name)}, told
 
 
 def _touched(spec: FactSpec, rows: DataFrame) -> list[str]:
@@ -165,11 +203,13 @@ def load_fact(
     read their share without repeating the lookups.
     """
     keys = list(spec.key)
-    prestage = ctx.write(latest_per_key(prestage, keys, order), f"prestage_{spec.name}")
+    raw = ctx.write(prestage, f"received_{spec.name}")
+    rejected, null_keys = _reject_null_keys(ctx, spec.name, raw, keys)
+    prestage = ctx.write(latest_per_key(raw.filter(~_null_key(keys)), keys, order), f"prestage_{spec.name}")
     touched = _touched(spec, prestage)
     stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
     stage = _empty_like(prestage) if stage is None else stage
-    changes, counts = _write_moved(ctx, fact_changes(prestage, stage, keys), f"delta_{spec.name}")
+    changes, counts = _write_moved(ctx, fact_changes(prestage, stage, keys, spec.compared(prestage.columns)), f"delta_{spec.name}")
     staged = _write_stage(ctx, spec, fact_stage_refresh(stage, changes, keys), touched)
 
     lookups = spec.bind(dims, ctx.run_ts)
@@ -184,7 +224,8 @@ def load_fact(
     else:
         merged = fact_merge(fact, valid, changes, keys, ctx.run_ts, ctx.expire_offset)
     loaded = _write_fact(ctx, spec, merged, touched)
-    return {**staged, **loaded, **ctx.append(errors, f"{spec.name}_error")}, counts
+    told = _counted(ctx, counts, raw.count(), null_keys)
+    return {**staged, **loaded, **rejected, **ctx.append(errors, f"{spec.name}_error")}, told
 
 
 def supersede_errors(
@@ -283,13 +324,16 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
 
     A failing entity does not stop the others, but once a dimension has failed no
     fact is loaded. Watermarks move only for facts that were loaded, and in the
-    same publication. ``entities`` restricts the run, which with an old run id
-    repeats part of it.
+    same publication; a fact without a watermark entry fails before it is loaded.
+    ``entities`` restricts the run. With the id of the newest run and a further attempt
+    it repeats part of it: those entities start from the state before the run, the others
+    keep what the run has published. A run that a later one has built on is refused.
     """
+    ctx.store.refuse_old_run(ctx.run_id)
     result = RunResult()
     messages: list[DataFrame] = []
     wanted = [j for j in jobs if entities is None or j.entity in entities]
-    watermarks = ctx.before("watermarks")
+    watermarks = ctx.latest("watermarks")
     times: dict[str, tuple[dt.datetime, dt.datetime]] = {}
     for job in [*[j for j in wanted if j.is_dimension], *[j for j in wanted if not j.is_dimension]]:
         blocked = not job.is_dimension and any(
@@ -301,6 +345,10 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
             continue
         started = _now()
         try:
+            if job.watermark is not None:
+                if watermarks is None:
+                    raise control.MissingWatermark(f"no watermarks at all, {job.watermark[0]} needs one")
+                control.watermark_value(watermarks, job.watermark[0], ctx.subsidiary)
             written, counts = job.load(ctx)
         except Exception as e:  # noqa: BLE001 - the entity is logged as failed, the run goes on
             result.status[job.entity] = control.ERROR
@@ -311,7 +359,7 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
         result.status[job.entity] = control.SUCCESS
         result.published |= written
         messages.append(control.message_rows(counts, ctx.run_id, job.entity, ctx.subsidiary, ctx.run_ts))
-        if job.watermark is not None and watermarks is not None:
+        if job.watermark is not None:
             fact, start, end = job.watermark
             watermarks = control.watermark_advance(watermarks, fact, ctx.subsidiary, start, end)
     _write_logs(ctx, result, messages, watermarks, mode, times)
@@ -344,7 +392,12 @@ def _write_logs(
     notes = spark.createDataFrame([], control.MESSAGE_LOG_SCHEMA)
     for m in messages:
         notes = notes.unionByName(m)
-    result.published |= ctx.append(logged, "job_log") | ctx.append(notes, "message_log")
+    part = f"run{ctx.run_id}".__eq__
+    for table, rows, entity in (("job_log", logged, "entity"), ("message_log", notes, "target_table")):
+        earlier = ctx.latest(table, part)
+        if earlier is not None:  # entities that this attempt did not touch
+            rows = rows.unionByName(earlier.filter((F.col("runid") == ctx.run_id) & ~F.col(entity).isin(*result.status)))
+        result.published |= ctx.append(rows, table)
     if watermarks is not None:
         result.published |= ctx.whole(watermarks, "watermarks")
 
