@@ -111,8 +111,44 @@ def _employee(name: str, fk: str) -> LookupSpec:
     return LookupSpec(name, "employees", fk, "employee_id", "employee_key")
 
 
+# The columns that decide whether a known line has changed. Later
+# modification times alone do not make a version of these three facts.
+PURCHASE_ORDER_COMPARED = (
+    "ref_trx_number", "ref_trx_type", "po_number", "vendor_id", "approver_level_one_id", "approver_level_two_id",
+    "approval_status", "bill_address_line_1", "bill_address_line_2", "bill_address_line_3", "bill_city", "bill_country",
+    "bill_state", "bill_zip", "carrier_id", "requestor_id", "create_date", "currency_id", "custom_form_id",
+    "exchange_rate", "location_id", "ship_address_line_1", "ship_address_line_2", "ship_address_line_3", "ship_city",
+    "ship_country", "ship_state", "ship_zip", "po_status", "payment_terms_id", "fright_rate", "po_type",
+    "subsidiary_id", "department_id", "item_id", "bc_quantity", "bih_quantity", "book_fair_quantity",
+    "education_quantity", "nzso_quantity", "trade_quantity", "school_essentials_quantity", "item_count",
+    "item_gross_amount", "item_unit_price", "number_billed", "quantity_received_in_shipment", "quantity_returned",
+    "expected_receipt_date", "actual_delivery_date", "tax_item_id", "freight_estimate_method_id", "amount",
+    "amount_foreign", "net_amount", "net_amount_foreign", "gross_amount", "match_bill_to_receipt",
+    "track_landed_cost", "tax_amount", "class_id",
+)
+VENDOR_BILL_COMPARED = (
+    "vb_number", "vendor_id", "ref_trx_number", "ref_trx_type", "account_number", "payment_terms_id", "payment_hold",
+    "vb_due_date", "gl_post_date", "vendor_bill_date", "approver_level_one_id", "approver_level_two_id",
+    "requestor_id", "subsidiary_id", "department_id", "item_id", "location_id", "exchange_rate",
+    "vendor_address_line_1", "vendor_address_line_2", "vendor_address_line_3", "vendor_city", "vendor_country",
+    "vendor_state", "vendor_zip", "vb_status", "approval_status", "item_count", "item_gross_amount", "amount",
+    "amount_foreign", "net_amount", "net_amount_foreign", "gross_amount", "item_unit_price", "close_date",
+    "tax_item_id", "tax_amount", "tax_amount_foreign", "vb_type", "currency_id", "class_id", "match_exception",
+    "exception_message",
+)
+VENDOR_RETURN_COMPARED = (
+    "vra_number", "vendor_id", "created_from_id", "ref_trx_number", "created_by_id", "shipment_received_date",
+    "create_date", "subsidiary_id", "department_id", "item_id", "location_id", "exchange_rate",
+    "vendor_address_line_1", "vendor_address_line_2", "vendor_address_line_3", "vendor_city", "vendor_country",
+    "vendor_state", "vendor_zip", "vra_status", "approval_status", "item_count", "item_gross_amount", "amount",
+    "amount_foreign", "net_amount", "net_amount_foreign", "gross_amount", "item_unit_price", "quantity_billed",
+    "quantity_shipped", "close_date", "tax_item_id", "tax_amount", "tax_amount_foreign", "vra_type", "currency_id",
+    "class_id",
+)
+
 PURCHASE_ORDERS = FactSpec(
     name="po_fact",
+    compare=PURCHASE_ORDER_COMPARED,
     line_types=("PO_LINE",),
     lookups=(
         _VENDOR,
@@ -146,6 +182,7 @@ PURCHASE_ORDERS = FactSpec(
 
 VENDOR_BILLS = FactSpec(
     name="vb_fact",
+    compare=VENDOR_BILL_COMPARED,
     line_types=("VB_LINE",),
     lookups=(
         _VENDOR,
@@ -179,6 +216,7 @@ VENDOR_BILLS = FactSpec(
 
 VENDOR_RETURNS = FactSpec(
     name="vra_fact",
+    compare=VENDOR_RETURN_COMPARED,
     line_types=("VRA_LINE",),
     lookups=(
         _VENDOR,

@@ -649,3 +649,20 @@ ORACLE["dimension_two_runs"] = ORACLE["scd2_merge"].replace(DIM, FIRST_DIM)
 ORACLE["fact_two_runs"] = ORACLE["fact_version_merge"]
 ORACLE["extract_file_round_trip"] = """
 SELECT 1 AS runid, * REPLACE (nullif(c_mktsegment, 'BUILDING') AS c_mktsegment) FROM customer"""
+
+
+def _two_run_counts(source: str, amount: str) -> str:
+    return f"""SELECT count(*) AS ingested, CAST(0 AS BIGINT) AS inserted,
+  count(CASE WHEN transaction_id % 10 = 0 AND {amount} IS NOT NULL THEN 1 END) AS updated, CAST(0 AS BIGINT) AS deleted,
+  count(CASE WHEN transaction_id % 10 = 0 AND {amount} IS NOT NULL THEN NULL ELSE 1 END) AS unchanged FROM ({source})"""
+
+
+ORACLE["po_fact_two_runs"] = _two_run_counts(ORACLE["po_fact"], "amount")
+ORACLE["vendor_bill_fact_two_runs"] = _two_run_counts(
+    f"""WITH {PURCHASE} SELECT a.transaction_id, a.amount FROM trx_lines a JOIN trx b ON a.transaction_id = b.transaction_id
+WHERE b.transaction_type = 'Bill' AND a.subsidiary_id = 27 AND b.date_last_modified >= TIMESTAMP '1998-01-01 00:00:00'""",
+    "amount",
+)
+ORACLE["vendor_return_fact_two_runs"] = f"WITH {DIM}, {FACT}" + _two_run_counts(
+    "SELECT l_orderkey AS transaction_id, l_quantity AS item_count FROM fl", "item_count"
+)

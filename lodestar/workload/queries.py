@@ -508,6 +508,35 @@ def vendor_return_fact_load(s: Source) -> DataFrame:
     return _keys_of(VENDOR_RETURNS, _loaded(s, VENDOR_RETURNS, s.return_prestage), "vra_number", "quantity")
 
 
+def _two_runs(spec: FactSpec, rows: DataFrame, amount: str) -> DataFrame:
+    """Counts of a second increment: every line has a later modification time, a tenth of the documents another amount.
+
+    Compared columns that the driver tables have no counterpart for are NULL in both.
+    """
+    absent = [c for c in spec.compare if c not in rows.columns]
+    first = rows.withColumns({c: F.lit(None).cast("string") for c in absent})
+    later = F.when(F.col("transaction_id") % 10 == 0, F.col(amount) + 1).otherwise(F.col(amount))
+    second = first.withColumns({amount: later, "date_last_modified": F.expr("timestamp_ntz'2030-01-01 00:00:00'")})
+    return d.delta_counts(d.fact_changes(second, first, list(spec.key), spec.compared(first.columns)))
+
+
+@query
+def po_fact_two_runs(s: Source) -> DataFrame:
+    rows = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    return _two_runs(PURCHASE_ORDERS, rows, "amount")
+
+
+@query
+def vendor_bill_fact_two_runs(s: Source) -> DataFrame:
+    rows = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    return _two_runs(VENDOR_BILLS, rows, "amount")
+
+
+@query
+def vendor_return_fact_two_runs(s: Source) -> DataFrame:
+    return _two_runs(VENDOR_RETURNS, s.return_prestage.withColumn("date_last_modified", F.col("create_date")), "item_count")
+
+
 # Hierarchies ------------------------------------------------------------------
 
 
@@ -560,7 +589,7 @@ def failed_jobs(s: Source) -> DataFrame:
 
 @query
 def next_run(s: Source) -> DataFrame:
-    return _job_log(s).agg((F.max("runid") + 1).alias("next_run_id"))
+    return s.spark.range(1).select(F.lit(control.next_run_id(_job_log(s))).alias("next_run_id"))
 
 
 @query
