@@ -7,7 +7,7 @@ given here. Which columns and joins make up an entity are fixed values.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -196,8 +196,8 @@ def _labelled(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def extract(spec: ExtractSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows of one entity. Lookups whose id column the main table lacks are left out."""
+def extract(spec: ExtractSpec, tables: Mapping[str, DataFrame], absent: Collection[str] = ()) -> DataFrame:
+    """Rows of one entity. A lookup whose id column the main table lacks is an error, unless ``absent`` names the column."""
     source = _labelled(tables)
     rows = tables[spec.table]
     if spec.active is not None:
@@ -208,33 +208,36 @@ def extract(spec: ExtractSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
     text = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
     rows = (escape_line_breaks if spec.escape else clean_line_breaks)(rows, text)
     for parts, how in ((spec.required, "inner"), (spec.lookups, "left")):
-        sides = [Side(source[p.table], [(F.col(p.fk), p.key)], p.take) for p in parts if p.fk in rows.columns]
+        missing = [p.fk for p in parts if p.fk not in rows.columns and p.fk not in absent]
+        if missing:
+            raise ValueError(f"{spec.table} lacks the id columns {missing}")
+        sides = [Side(source[p.table], [(F.col(p.fk), p.key)], p.take) for p in parts if p.fk not in absent]
         if sides:
             rows = join_sides(rows, sides, how)
     rows = rows.withColumns({out: code_decode(c, m, d) for out, (c, m, d) in spec.decodes.items()})
     return rows.withColumnsRenamed(dict(spec.renames))
 
 
-def customers(tables: Mapping[str, DataFrame]) -> DataFrame:
+def customers(tables: Mapping[str, DataFrame], absent: Collection[str] = ()) -> DataFrame:
     """Customers proper, with the name of the country instead of its code."""
     kept = {**tables, "customers": tables["customers"].filter(F.col("category_0") == "CUSTOMER")}
     # The parent may be of another category.
     parents = tables["customers"]
     spec = EXTRACTS["customers"]
     own = [p for p in spec.lookups if p.table != "customers"]
-    rows = extract(ExtractSpec("customers", spec.active, tuple(own), decodes=spec.decodes), kept)
+    rows = extract(ExtractSpec("customers", spec.active, tuple(own), decodes=spec.decodes), kept, absent)
     rows = join_sides(rows, [Side(parents, [(F.col("parent_id"), "customer_id")], {"parent": "name"})])
     return rows.drop("country", "category_0").withColumnRenamed("country_name", "country")
 
 
-def items_of_subsidiary(tables: Mapping[str, DataFrame], subsidiary: str) -> DataFrame:
+def items_of_subsidiary(tables: Mapping[str, DataFrame], subsidiary: str, absent: Collection[str] = ()) -> DataFrame:
     """Items mapped to the subsidiary of the given name."""
     chosen = tables["subsidiaries"].filter(F.col("name") == subsidiary).select("subsidiary_id")
     mapped = tables["item_subsidiary_map"].join(chosen, "subsidiary_id", "left_semi").select("item_id")
     kept = tables["items"].join(mapped, "item_id", "left_semi")
     spec = EXTRACTS["items"]
     own = tuple(p for p in spec.lookups if p.table != "items")
-    rows = extract(ExtractSpec("items", None, own, without=spec.without), {**tables, "items": kept})
+    rows = extract(ExtractSpec("items", None, own, without=spec.without), {**tables, "items": kept}, absent)
     if "parent_id" in rows.columns:
         rows = join_sides(rows, [Side(tables["items"], [(F.col("parent_id"), "item_id")], {"parent_name": "name"})])
     return rows.withColumnsRenamed(dict(spec.renames))
@@ -255,12 +258,12 @@ def book_fairs(tables: Mapping[str, DataFrame]) -> DataFrame:
     return junk_dimension(lists)
 
 
-def entities(calendar: str = "") -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
-    """Extract of every dimension by name."""
-    simple = {name: (lambda t, s=spec: extract(s, t)) for name, spec in EXTRACTS.items()}
+def entities(calendar: str = "", absent: Collection[str] = ()) -> dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]]:
+    """Extract of every dimension by name; ``absent`` are id columns the source is known to lack."""
+    simple = {name: (lambda t, s=spec: extract(s, t, absent)) for name, spec in EXTRACTS.items()}
     return {
         **simple,
-        "customers": customers,
+        "customers": lambda t: customers(t, absent),
         "accounting_period": lambda t: accounting_periods(t, calendar),
         "book_fairs": book_fairs,
     }

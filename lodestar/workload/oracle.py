@@ -666,3 +666,7 @@ WHERE b.transaction_type = 'Bill' AND a.subsidiary_id = 27 AND b.date_last_modif
 ORACLE["vendor_return_fact_two_runs"] = f"WITH {DIM}, {FACT}" + _two_run_counts(
     "SELECT l_orderkey AS transaction_id, l_quantity AS item_count FROM fl", "item_count"
 )
+ORACLE["extract_text_round_trip"] = """
+SELECT 1 AS runid, conv_id, turn, role, CASE conv_id % 6 WHEN 0 THEN text || chr(13) || chr(10) || '"q", \\' WHEN 1 THEN NULL
+  WHEN 2 THEN '' WHEN 3 THEN '\\n,""' WHEN 4 THEN '""' ELSE text END AS text, CAST(NULL AS VARCHAR) AS _corrupt_record
+FROM conversations UNION ALL SELECT 1, doc_id, -1, 'doc', text, NULL FROM documents"""

@@ -120,19 +120,25 @@ def minus_distinct(s: Source) -> DataFrame:
     return x.minus_distinct(s.dim_prestage.select(*cols), s.dim_stage.select(*cols))
 
 
+def _absent(s: Source, entity: str) -> set[str]:
+    """Id columns of an entity that the driver tables have no counterpart for."""
+    spec = extracts.EXTRACTS[entity]
+    return {p.fk for p in (*spec.required, *spec.lookups)} - set(s.erp_tables[spec.table].columns)
+
+
 @query
 def items_extract(s: Source) -> DataFrame:
-    return extracts.extract(extracts.EXTRACTS["items"], s.erp_tables)
+    return extracts.extract(extracts.EXTRACTS["items"], s.erp_tables, _absent(s, "items"))
 
 
 @query
 def employees_extract(s: Source) -> DataFrame:
-    return extracts.extract(extracts.EXTRACTS["employees"], s.erp_tables)
+    return extracts.extract(extracts.EXTRACTS["employees"], s.erp_tables, _absent(s, "employees"))
 
 
 @query
 def customers_extract(s: Source) -> DataFrame:
-    return extracts.entities()["customers"](s.erp_tables)
+    return extracts.entities(absent=_absent(s, "customers"))["customers"](s.erp_tables)
 
 
 # Scalar functions -------------------------------------------------------------
@@ -616,6 +622,19 @@ def extract_file_round_trip(s: Source) -> DataFrame:
     return read_extract(s.spark, path, RUN_ID, customers.schema).drop("_corrupt_record")
 
 
+@query
+def extract_text_round_trip(s: Source) -> DataFrame:
+    """Texts with breaks, quotes and backslashes, NULL and empty ones, through an extract file."""
+    kind = F.col("conv_id") % 6
+    odd = F.when(kind == 0, F.concat("text", F.lit('\r\n"q", \\'))).when(kind == 2, "").when(kind == 3, '\\n,""').when(kind == 4, '""')
+    text = F.when(kind != 1, F.coalesce(odd, F.col("text")))
+    turns = s.table("conversations").select("conv_id", "turn", "role", text.alias("text"))
+    texts = s.table("documents").select(F.col("doc_id").alias("conv_id"), F.lit(-1).cast("long").alias("turn"), F.lit("doc").alias("role"), "text")
+    rows, path = turns.unionByName(texts), shared_folder(s.spark, "extract")
+    write_extract(rows, path, RUN_ID)
+    return read_extract(s.spark, path, RUN_ID, rows.schema)
+
+
 @query
 def dimension_two_runs(s: Source) -> DataFrame:
     first, second = _contexts(s)
