@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import importlib
 import os
+import sys
 
 import pytest
 
+import __spark_entry__
 from __spark_entry__ import entry
 from lodestar.workload.oracle import ORACLE
 from lodestar.workload.queries import QUERIES
@@ -45,3 +48,11 @@ def test_query(spark, sql, name):
 
 def test_entry(spark):
     assert not entry(spark).isEmpty()
+
+
+def test_entry_without_the_training_data_operators(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    reduced = importlib.reload(__spark_entry__)
+    assert reduced.queries().keys() == QUERIES.keys() and reduced.oracle_sql().keys() == ORACLE.keys()
+    monkeypatch.undo()
+    importlib.reload(__spark_entry__)
