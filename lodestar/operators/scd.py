@@ -16,7 +16,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lodestar.functions.columns import fill_blank, fill_empty, fill_null, ts_lit
-from lodestar.functions.reserved import ACTIVE, DIM_OPEN_END, INACTIVE, NA_ID, NA_TEXT, UNKNOWN_DATE
+from lodestar.functions.reserved import ACTIVE, DIM_OPEN_END, ERROR_ID, ERROR_TEXT, INACTIVE, NA_ID, NA_TEXT, UNKNOWN_DATE
 from lodestar.operators.diff import DELETE, INSERT, NOCHANGE, UPDATE
 from lodestar.operators.extract import effective_now
 from lodestar.operators.keys import KEY_BUCKETS, assign_surrogate_keys
@@ -208,6 +208,20 @@ def scd_merge(
     return kept.unionByName(added.select(*dim.columns))
 
 
+def default_members(spec: DimSpec, dim: DataFrame) -> list[dict[str, Any]]:
+    """The 'not available' and 'in error' members of a dimension.
+
+    Business and surrogate key are the reserved id, texts the reserved text, other
+    attributes NULL; they are active throughout.
+    """
+    always = {"date_active_from": dt.datetime(1900, 1, 1), "date_active_to": dt.datetime.fromisoformat(DIM_OPEN_END), "dw_active": ACTIVE}
+    ids = [c for c in (spec.target(spec.key), spec.surrogate) if c is not None]
+    texts = [f.name for f in dim.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in (*ids, *CONTROL)]
+    return [
+        {**{c: text for c in texts}, **{c: id for c in ids}, **always} for id, text in ((NA_ID, NA_TEXT), (ERROR_ID, ERROR_TEXT))
+    ]
+
+
 def seed_default_members(dim: DataFrame, members: Sequence[Mapping[str, Any]], key: str | Sequence[str]) -> DataFrame:
     """Add constant members (such as 'not available' and 'in error') that are missing.
 

@@ -185,13 +185,15 @@ def po_extract(tables: Mapping[str, DataFrame], subsidiary: Any, watermark: str
 
 
 def latest_exception(exceptions: DataFrame) -> DataFrame:
-    """One row per record of the workflow exceptions: the latest message and the count.
+    """One row per record of the workflow exceptions: the latest message, all of them by time, and the count.
 
     A bill with several exceptions would otherwise repeat its lines, and a repeated
     line key breaks the fact comparison.
     """
+    told = F.array_sort(F.collect_list(F.struct("created", F.col("exceptions_0").alias("message"))))
     return exceptions.groupBy("record_id").agg(
         F.max_by("exceptions_0", F.struct("created", "exceptions_0")).alias("exception_message"),
+        F.transform(told, lambda x: x["message"]).alias("exception_messages"),
         F.count(F.lit(1)).alias("exception_count"),
     )
 

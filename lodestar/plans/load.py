@@ -33,7 +33,7 @@ from lodestar.operators.facts import (
 )
 from lodestar.operators.hierarchy import hierarchy_tables, parent_lookup
 from lodestar.operators.joins import Side, join_sides
-from lodestar.operators.scd import DimSpec, scd_insert, scd_merge
+from lodestar.operators.scd import DimSpec, default_members, scd_insert, scd_merge, seed_default_members
 from lodestar.plans import control
 from lodestar.plans.dimensions import ENRICHED
 from lodestar.plans.facts import FactSpec
@@ -125,14 +125,25 @@ def _counted(ctx: RunContext, counts: Mapping[str, int], received: int, null_key
     return ctx.store.spark.createDataFrame([tuple(told.values())], ", ".join(f"{c} bigint" for c in told))
 
 
-def load_dimension(ctx: RunContext, spec: DimSpec, prestage: DataFrame, order: str | None = None) -> Loaded:
+def load_dimension(
+    ctx: RunContext,
+    spec: DimSpec,
+    prestage: DataFrame,
+    order: str | None = None,
+    tables: Mapping[str, DataFrame] | None = None,
+    seed: bool = False,
+) -> Loaded:
     """Compare, refresh the stage image and merge the dimension.
 
     The moved keys are written once and feed everything else. Name a modification
     time in ``order`` if the source may hold a key more than once. Rows without a key are
-    kept as rejected rows and counted, as are surplus rows of a key. Returns what to
+    kept as rejected rows and counted, as are surplus rows of a key. With ``tables`` the
+    names that the dimension takes from parents and classes are added first. ``seed`` adds
+    the 'not available' and 'in error' members where they are missing. Returns what to
     publish and the counts of the delta.
     """
+    if tables is not None:
+        prestage = enrich(spec, prestage, tables)
     prestage = prestage.select(*dict.fromkeys([spec.key, *spec.attributes, *([order] if order else [])]))
     seen = Observation()
     rows = prestage
@@ -155,6 +166,8 @@ def load_dimension(ctx: RunContext, spec: DimSpec, prestage: DataFrame, order: s
         merged = scd_insert(moved, spec, ctx.run_ts, None, None)
     else:
         merged = scd_merge(dim, moved, spec, ctx.run_ts, ctx.expire_offset, ctx.delete_scope)
+    if seed:
+        merged = seed_default_members(merged, default_members(spec, merged), spec.target(spec.key))
     return {**staged, **rejected, **ctx.whole(merged, spec.name)}, told
 
 

@@ -194,6 +194,21 @@ def test_enriched_dimension(spark, rows):
     assert rows(out, "class_id", "parent_name") == [(1, "NA_GDW"), (2, "top")]
 
 
+def test_a_dimension_load_enriches_and_seeds(spark, tmp_path, rows):
+    store = RunStore(spark, str(tmp_path / "dw"))
+    spec = DimSpec(name="classes", key="class_id", surrogate="class_key", scd1=("name", "parent_name"))
+    cols = "class_id long, name string, parent_id long"
+    for run, top in ((1, "top"), (2, "TOP")):
+        classes = spark.createDataFrame([(1, top, None), (2, "sub", 1)], cols)
+        ctx = RunContext(store, run, T[run])
+        job = Job("classes", lambda c: load_dimension(c, spec, classes, tables={"classes": classes}, seed=True))
+        assert run_jobs(ctx, [job]).errors == {}
+    assert rows(store.read("classes"), "class_id", "name", "parent_name", "dw_active") == [
+        (-99, "NA_GDW", "NA_GDW", "A"), (0, "NA_ERR", "NA_ERR", "A"), (1, "TOP", "NA_GDW", "A"), (2, "sub", "TOP", "A"),
+    ]
+    assert rows(store.read("classes").filter("class_id <= 0"), "class_key") == [(-99,), (0,)]
+
+
 def test_specs_are_consistent():
     assert len(FACTS["po_fact"].lookups) == 17 and len(FACTS["vb_fact"].lookups) == 17
     assert len(FACTS["revenue_fact"].lookups) == 15 and len(FACTS["vra_fact"].lookups) == 12
