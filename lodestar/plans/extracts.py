@@ -246,7 +246,8 @@ def items_of_subsidiary(tables: Mapping[str, DataFrame], subsidiary: str, absent
 def accounting_periods(tables: Mapping[str, DataFrame], calendar: str) -> DataFrame:
     """Active leaf periods with quarter and year names and the calendar's name."""
     rolled = period_rollup(tables["accounting_periods"])
-    return active_only(rolled, "isinactive").withColumn("fiscal_calendar", F.lit(calendar))
+    renames = {"name": "period_name", "starting": "start_date", "ending": "end_date"}
+    return active_only(rolled, "isinactive").withColumnsRenamed(renames).withColumn("fiscal_calendar", F.lit(calendar))
 
 
 def book_fairs(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -146,8 +146,12 @@ VENDOR_RETURN_COMPARED = (
     "class_id",
 )
 
+#: Document ids in one part of a shipped fact: a billion ids make a thousand parts.
+DOCUMENT_PART = 1_000_000
+
 PURCHASE_ORDERS = FactSpec(
     name="po_fact",
+    part_width=DOCUMENT_PART,
     compare=PURCHASE_ORDER_COMPARED,
     line_types=("PO_LINE",),
     lookups=(
@@ -182,6 +186,7 @@ PURCHASE_ORDERS = FactSpec(
 
 VENDOR_BILLS = FactSpec(
     name="vb_fact",
+    part_width=DOCUMENT_PART,
     compare=VENDOR_BILL_COMPARED,
     line_types=("VB_LINE",),
     lookups=(
@@ -216,6 +221,7 @@ VENDOR_BILLS = FactSpec(
 
 VENDOR_RETURNS = FactSpec(
     name="vra_fact",
+    part_width=DOCUMENT_PART,
     compare=VENDOR_RETURN_COMPARED,
     line_types=("VRA_LINE",),
     lookups=(
@@ -242,6 +248,7 @@ VENDOR_RETURNS = FactSpec(
 
 REVENUE = FactSpec(
     name="revenue_fact",
+    part_width=DOCUMENT_PART,
     line_types=("INV_LINE", "RA_LINE", "CN_LINE", "JN_LINE"),
     lookups=(
         _TERMS,

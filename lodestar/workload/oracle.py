@@ -670,3 +670,7 @@ ORACLE["extract_text_round_trip"] = """
 SELECT 1 AS runid, conv_id, turn, role, CASE conv_id % 6 WHEN 0 THEN text || chr(13) || chr(10) || '"q", \\' WHEN 1 THEN NULL
   WHEN 2 THEN '' WHEN 3 THEN '\\n,""' WHEN 4 THEN '""' ELSE text END AS text, CAST(NULL AS VARCHAR) AS _corrupt_record
 FROM conversations UNION ALL SELECT 1, doc_id, -1, 'doc', text, NULL FROM documents"""
+ORACLE["accounting_periods_extract"] = f"""
+SELECT accounting_period_id, parent_id, name AS period_name, quarter, year_0, 'No' AS isinactive, 'from ' || name AS start_date,
+  'to ' || name AS end_date, quarter_name, year_name, 'driver calendar' AS fiscal_calendar
+FROM ({ORACLE["period_rollup"]}) WHERE accounting_period_id % 5 <> 0"""
