@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -21,7 +22,7 @@ from lodestar.operators.diff import (
     fact_stage_refresh,
     image_diff,
 )
-from lodestar.operators.extract import latest_per_key
+from lodestar.operators.extract import incremental_extract, latest_per_key
 from lodestar.operators.facts import (
     fact_insert,
     fact_merge,
@@ -317,12 +318,41 @@ def load_hierarchy(
 
 @dataclass
 class Job:
-    """One entity of a run: a name and the call that loads it."""
+    """One entity of a run: a name and the call that loads it.
+
+    ``watermark`` names the fact and the interval it was extracted for; without a start
+    the interval begins at the watermark itself.
+    """
 
     entity: str
     load: Callable[[RunContext], Loaded]
     is_dimension: bool = True
-    watermark: tuple[str, str | dt.datetime, str | dt.datetime] | None = None
+    watermark: tuple[str, str | dt.datetime | None, str | dt.datetime] | None = None
+
+
+def _watermark_before(ctx: RunContext, fact: str) -> dt.datetime:
+    """Watermark that a run starts from, also when an earlier attempt has moved it."""
+    watermarks = ctx.before("watermarks")
+    if watermarks is None:
+        raise control.MissingWatermark(f"no watermarks at all, {fact} needs one")
+    return control.watermark_value(watermarks, fact, ctx.subsidiary)
+
+
+def increment_job(
+    spec: FactSpec,
+    source: Callable[[], DataFrame],
+    ts_cols: str | Sequence[str],
+    dims: Callable[[RunContext], Mapping[str, DataFrame]],
+    end: str | dt.datetime,
+    filters: Mapping[str, Any] | None = None,
+) -> Job:
+    """Read the watermark, extract what changed since, load it, and move the watermark to ``end``."""
+
+    def load(ctx: RunContext) -> Loaded:
+        rows = incremental_extract(source(), ts_cols, _watermark_before(ctx, spec.name), filters)
+        return load_fact(ctx, spec, rows, dims(ctx))
+
+    return Job(spec.name, load, is_dimension=False, watermark=(spec.name, None, end))
 
 
 @dataclass
@@ -359,9 +389,7 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
         started = _now()
         try:
             if job.watermark is not None:
-                if watermarks is None:
-                    raise control.MissingWatermark(f"no watermarks at all, {job.watermark[0]} needs one")
-                control.watermark_value(watermarks, job.watermark[0], ctx.subsidiary)
+                begin = _watermark_before(ctx, job.watermark[0])
             written, counts = job.load(ctx)
         except Exception as e:  # noqa: BLE001 - the entity is logged as failed, the run goes on
             result.status[job.entity] = control.ERROR
@@ -374,7 +402,7 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
         messages.append(control.message_rows(counts, ctx.run_id, job.entity, ctx.subsidiary, ctx.run_ts))
         if job.watermark is not None:
             fact, start, end = job.watermark
-            watermarks = control.watermark_advance(watermarks, fact, ctx.subsidiary, start, end)
+            watermarks = control.watermark_advance(watermarks, fact, ctx.subsidiary, begin if start is None else start, end)
     _write_logs(ctx, result, messages, watermarks, mode, times)
     ctx.store.publish(ctx.run_id, result.published, ctx.attempt)
     return result
@@ -395,13 +423,14 @@ def _write_logs(
     spark = ctx.store.spark
     rows = [
         {
-            "job_id": i, "runid": ctx.run_id, "entity": entity, "run_mode": mode, "job_status": status,
+            "job_id": i, "runid": ctx.run_id, "entity": entity, "run_mode": mode,
+            "job_status": control.ERROR if status == control.ERROR else control.IN_PROGRESS,
             "subsidiary_id": ctx.subsidiary,
             "loadstart": times.get(entity, (None, None))[0], "loadend": times.get(entity, (None, None))[1],
         }
         for i, (entity, status) in enumerate(result.status.items(), 1)
     ]
-    logged = control.job_rows(spark, rows)
+    logged = control.final_status(control.job_rows(spark, rows))
     notes = spark.createDataFrame([], control.MESSAGE_LOG_SCHEMA)
     for m in messages:
         notes = notes.unionByName(m)

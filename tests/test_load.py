@@ -15,6 +15,7 @@ from lodestar.plans.load import (
     Job,
     RunContext,
     enrich,
+    increment_job,
     load_dimension,
     load_fact,
     load_hierarchy,
@@ -293,6 +294,24 @@ def test_statistics_of_parted_and_whole_tables(spark, store):
         spark.sql(f"DROP TABLE {n}")
 
 
+def test_increments_follow_the_watermark(spark, store, rows):
+    """Each run extracts from the last end on; repeating a run extracts the same again."""
+    run_jobs(RunContext(store, 1, T[0], subsidiary="27"), jobs(spark, FIRST_ITEMS, FIRST_SALES, (T[0], T[1])))
+    seen = []
+
+    def source():
+        seen.append(1)
+        return sales(spark, *SECOND_SALES, (14, 1, 1, 2.0, "LINE", T[0]))
+
+    job = increment_job(SALES, source, "date_last_modified", lambda ctx: {"items": ctx.before("items")}, T[2])
+    for attempt in (1, 2):
+        result = run_jobs(RunContext(store, 2, T[1], attempt, "27"), [job])
+        assert result.errors == {} and len(seen) == attempt
+        # the line of document 14 is older than the watermark, item 3 is not loaded yet
+        assert rows(store.read("sales").filter("dw_current = 1"), "doc", "line", "amount") == [(10, 1, 5.0), (10, 2, 9.0), (12, 1, 8.0)]
+        assert rows(store.read("watermarks"), "ext_start_dt", "ext_end_dt") == [(T[1], T[2])]
+
+
 def test_a_missing_watermark_fails_the_fact_before_it_is_loaded(spark, store):
     ctx = RunContext(store, 1, T[0], subsidiary="99")
     result = run_jobs(ctx, jobs(spark, FIRST_ITEMS, FIRST_SALES, (T[0], T[1])))
