@@ -33,7 +33,9 @@ WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, GRAM_BITS, PREFIX_BYTES = 1 << 14, 15, 8
 WORD_DIM, HIDDEN = 12, 8
 #: Labelled rows of each class the network is fitted on at most, and their longest text.
-FIT_ROWS, FIT_BYTES = 1500, 1 << 13
+FIT_ROWS, FIT_BYTES = 1200, 1 << 12
+#: Distinct words whose parts are gathered together, and texts whose parts are counted together.
+WORDS_AT_ONCE, TEXTS_AT_ONCE = 1 << 13, 100
 #: Windows that run through the network together.
 BATCH = 2048
 
@@ -124,11 +126,14 @@ class ToxicityModel:
 
     def inputs(self, win: Windows, words: np.ndarray) -> np.ndarray:
         """Input vectors of the named words."""
-        length = np.diff(win.gram_rows)[words]
-        grams = self.w["gram"][win.grams[_ragged(win.gram_rows[words], length)]]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        char = np.add.reduceat(grams, ends[:-1], axis=0) if len(words) else grams
-        return self.w["word"][win.bucket[words]] + char / np.sqrt(length, dtype=np.float32)[:, None]
+        out = self.w["word"][win.bucket[words]]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at : at + WORDS_AT_ONCE]
+            length = np.diff(win.gram_rows)[part]
+            grams = self.w["gram"][win.grams[_ragged(win.gram_rows[part], length)]]
+            char = np.add.reduceat(grams, np.cumsum(length) - length, axis=0)
+            out[at : at + WORDS_AT_ONCE] += char / np.sqrt(length, dtype=np.float32)[:, None]
+        return out
 
     def run(self, table: dict[str, np.ndarray], words: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict]:
         """Logits of windows; ``table`` has the gate inputs of every word, the last row for none."""
@@ -251,19 +256,26 @@ def _telling(win: Windows, y: np.ndarray, doubt: float = 6.0) -> tuple[np.ndarra
     Log odds of the class among the texts that hold it over those of all texts, 0 at
     least; ``doubt`` texts of the usual mixture are added to each count.
     """
-    row = np.repeat(np.arange(len(y)), np.diff(win.rows))
-    pairs = np.unique(np.stack([np.repeat(row, WINDOW), win.words.reshape(-1)], axis=1), axis=0)
-    text, word = pairs[pairs[:, 1] >= 0].T
+    length, n, parts = np.diff(win.gram_rows), len(win.bucket), 1 << GRAM_BITS
+    counts = {size: np.zeros((2, size)) for size in (n, parts)}
+    for at in range(0, len(y), TEXTS_AT_ONCE):
+        labels = y[at : at + TEXTS_AT_ONCE]
+        rows = win.rows[at : at + len(labels) + 1]
+        text = np.repeat(np.repeat(np.arange(len(labels)), np.diff(rows)), WINDOW)
+        word = win.words[rows[0] : rows[-1]].reshape(-1)
+        text, word = np.divmod(np.unique(text[word >= 0] * n + word[word >= 0]), n)
+        grams = win.grams[_ragged(win.gram_rows[word], length[word])]
+        of, gram = np.divmod(np.unique(np.repeat(text, length[word]) * parts + grams), parts)
+        for size, owner, part in ((n, text, word), (parts, of, gram)):
+            counts[size][0] += np.bincount(part, labels[owner], size)
+            counts[size][1] += np.bincount(part, 1 - labels[owner], size)
     share = y.mean()
 
-    def ratio(text: np.ndarray, part: np.ndarray, n: int) -> np.ndarray:
-        text, part = np.unique(np.stack([text, part], axis=1), axis=0).T
-        one, none = np.bincount(part, y[text], n) + doubt * share, np.bincount(part, 1 - y[text], n) + doubt * (1 - share)
-        return np.maximum(0, np.log(one / none) - np.log(share / (1 - share)))
+    def ratio(one: np.ndarray, none: np.ndarray) -> np.ndarray:
+        odds = (one + doubt * share) / (none + doubt * (1 - share))
+        return np.maximum(0, np.log(odds) - np.log(share / (1 - share)))
 
-    length = np.diff(win.gram_rows)
-    grams = win.grams[_ragged(win.gram_rows[word], length[word])]
-    return ratio(text, word, len(win.bucket)), ratio(np.repeat(text, length[word]), grams, 1 << GRAM_BITS)
+    return ratio(*counts[n]), ratio(*counts[parts])
 
 
 def fit_toxicity(texts: list[str], labels: list[int], steps: int = 500, batch: int = 48, rate: float = 0.03, seed: int = 5) -> ToxicityModel:
