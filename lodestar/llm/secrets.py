@@ -132,8 +132,12 @@ def learn_formats(docs: DataFrame, values: int = LEARN_VALUES) -> FormatModel:
     """Automata from at most ``values`` distinct values of each class, chosen by hash from all documents."""
     bound_arrow_batches(docs.sparkSession)
     found = docs.select("text").mapInArrow(_labelled, "kind string, value string").distinct()
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    rows = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= values).select("kind", "value").collect()
+    found = found.withColumns({"h": F.xxhash64("value"), "part": F.pmod(F.xxhash64("value"), F.lit(64))})
+    # first within parts of a kind, so that a common kind is not ranked by one task
+    for group in (("kind", "part"), ("kind",)):
+        order = Window.partitionBy(*group).orderBy("h", "value")
+        found = found.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= values)
+    rows = found.select("kind", "value").collect()
     by: dict[str, list[str]] = {}
     for r in rows:
         by.setdefault(r["kind"], []).append(r["value"])
