@@ -9,10 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodestar.session import cut_lineage, shared_folder
 
-__all__ = ["bound_arrow_batches", "cut_lineage", "held_out", "labelled_sample", "shared_folder", "slices", "small_batches", "table"]
+__all__ = [
+    "bound_arrow_batches", "cut_lineage", "held_out", "labelled_sample", "shared_folder", "slices", "small_batches", "spread_sample", "table",
+]
 
 #: Texts above this many bytes are left out of a training sample (never out of scoring).
 SAMPLE_TEXT_BYTES = 1 << 15
+#: Bytes of one of the stretches in which a long text is read for a sample bounded by its bytes.
+STRETCH_BYTES = 1 << 10
 
 
 #: Rows of an Arrow batch between Spark and a Python worker.
@@ -28,6 +32,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def _learnable(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, y`` of the ids that may be learnt: not null, not held out, without contradicting labels."""
+    return (
+        labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
+        .groupBy("doc_id")
+        .agg(F.min(label).alias("y"), F.max(label).alias("z"))
+        .filter("y = z")
+        .select("doc_id", F.col("y").cast("int").alias("y"))
+    )
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int = SAMPLE_TEXT_BYTES
 ) -> tuple[list[str], list[int]]:
@@ -38,13 +53,7 @@ def labelled_sample(
     the driver. Ids with contradicting labels, null ids, and texts that are null or longer than
     ``max_bytes`` are not learnt.
     """
-    known = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.min(label).alias("y"), F.max(label).alias("z"))
-        .filter("y = z")
-        .select("doc_id", F.col("y").cast("int").alias("y"))
-    )
+    known = _learnable(labels, label)
     parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
@@ -53,6 +62,58 @@ def labelled_sample(
     return [r[1] for r in rows], [r[2] for r in rows]
 
 
+def _level(sizes: list[int], total: int) -> int:
+    """The size to which the longest have to come down so that all sizes add up to ``total`` at most."""
+    left = total
+    for k, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - k) > left:
+            return left // (len(sizes) - k)
+        left -= size
+    return max(sizes, default=0)
+
+
+def spread(text: str, most: int) -> str:
+    """``text``, or stretches at equal distances from its beginning to its end with ``most`` bytes in all."""
+    data = text.encode()
+    if len(data) <= most:
+        return text
+    n = max(2, most // STRETCH_BYTES)
+    size = most // n
+    starts = [k * (len(data) - size) // (n - 1) for k in range(n)]
+    return "\n".join(data[a : a + size].decode(errors="ignore") for a in starts)
+
+
+def _spread_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in small_batches(batches, "text"):
+        texts = [spread(t, m) for t, m in zip(batch.column("text").to_pylist(), batch.column("most").to_pylist())]
+        yield batch.set_column(1, "text", pa.array(texts, batch.schema.field("text").type))
+
+
+def spread_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, total_bytes: int) -> tuple[list[str], list[int]]:
+    """Texts and labels of at most ``per_class`` training ids of each class, with ``total_bytes`` of text a class.
+
+    No text is left out by its length. Ids are chosen by their hash from those that have a
+    text. Where a class has more bytes, its longest texts come down to one size, and are
+    read in stretches over their whole length (:func:`spread`). Ids that may not be learnt
+    are those of :func:`labelled_sample`.
+    """
+    bound_arrow_batches(docs.sparkSession)
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    sized = texts.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long")).alias("size"))
+    known = _learnable(labels, label).join(sized, "doc_id")
+    chosen = []
+    for y in (0, 1):
+        rows = known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()
+        level = _level([r["size"] for r in rows], total_bytes)
+        chosen += [(r["doc_id"], y, r["size"] if r["size"] <= level else level // r["n"]) for r in rows]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids = docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, y int, most long")
+    found = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y", "most")
+    rows = found.mapInArrow(_spread_texts, found.schema).collect()
+    rows = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows})
+    return [r[1] for r in rows], [r[2] for r in rows]
+
+
 def bound_arrow_batches(spark: SparkSession) -> None:
     """Rows of an Arrow batch, so that a batch of texts stays a few megabytes on either side."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodestar.llm import sql
 from lodestar.llm.ann import build_index, search_index
 from lodestar.llm.bpe import decode_documents, encode_documents, load_tokenizer
-from lodestar.llm.common import held_out, labelled_sample, shared_folder, table
+from lodestar.llm.common import held_out, labelled_sample, shared_folder, spread_sample, table
 from lodestar.llm.decontaminate import contamination
 from lodestar.llm.licenses import license_spans
 from lodestar.llm.neardup import near_duplicates
@@ -32,7 +32,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit_toxicity(*labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", TOXIC_ROWS, FIT_BYTES))
+    model = fit_toxicity(*spread_sample(docs, table(spark, sf_dir, "labels"), "toxic", TOXIC_ROWS, FIT_BYTES))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity_score(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

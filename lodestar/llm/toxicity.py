@@ -27,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession, functions as F
 
 from lodestar.llm.common import bound_arrow_batches
-from lodestar.llm.words import ALNUM, hash_spans, mix, pieces, split_words
+from lodestar.llm.words import ALNUM, PIECE_BYTES, hash_spans, mix, pieces, split_words
 
 WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, GRAM_BITS, PREFIX_BYTES = 1 << 14, 15, 8
 WORD_DIM, HIDDEN = 12, 8
-#: Labelled rows of each class the network is fitted on at most, and their longest text.
-FIT_ROWS, FIT_BYTES = 1200, 1 << 12
-#: Distinct words whose parts are gathered together, and texts whose parts are counted together.
-WORDS_AT_ONCE, TEXTS_AT_ONCE = 1 << 13, 100
+#: Labelled ids of each class the network is fitted on at most, and bytes of all their texts.
+FIT_ROWS, FIT_BYTES = 1500, 1500 << 13
+#: Distinct words whose parts are gathered together, and windows whose parts are counted together (or one text).
+WORDS_AT_ONCE, WINDOWS_AT_ONCE = 1 << 13, 1 << 12
 #: Windows that run through the network together.
 BATCH = 2048
 
@@ -58,13 +58,30 @@ class Windows:
     gram_rows: np.ndarray
     words: np.ndarray
     rows: np.ndarray
+    keys: np.ndarray
 
 
-def make_windows(texts: pa.Array) -> Windows:
-    """All windows of whole texts; a text without words has one empty window.
+def make_windows(texts: pa.Array, limit: int = PIECE_BYTES) -> Windows:
+    """All windows of whole texts, made from ``limit`` bytes (or one text) at a time.
 
-    A word repeated in a row counts once, so that such a row fills no window.
+    A text without words has one empty window. A word repeated in a row counts once, so
+    that such a row fills no window.
     """
+    parts = [_piece_windows(texts.slice(a, b - a)) for a, b in pieces(texts, limit)]
+    if len(parts) < 2:
+        return parts[0] if parts else _piece_windows(texts)
+    all_keys = np.concatenate([p.keys for p in parts])
+    keys, first = np.unique(all_keys, return_index=True)
+    lengths = np.concatenate([np.diff(p.gram_rows) for p in parts])
+    starts = np.cumsum(lengths) - lengths
+    grams = np.concatenate([p.grams for p in parts])[_ragged(starts[first], lengths[first])]
+    gram_rows = np.concatenate([[0], np.cumsum(lengths[first])])
+    words = np.concatenate([np.append(np.searchsorted(keys, p.keys), -1).astype(np.int32)[p.words] for p in parts])
+    rows = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(p.rows) for p in parts]))])
+    return Windows(np.concatenate([p.bucket for p in parts])[first], grams, gram_rows, words, rows, keys)
+
+
+def _piece_windows(texts: pa.Array) -> Windows:
     w = split_words(texts, ALNUM)
     fresh = np.ones(len(w.start), bool)
     if len(fresh):
@@ -94,9 +111,9 @@ def make_windows(texts: pa.Array) -> Windows:
     begin = w.rows[:-1][row] + (np.arange(rows[-1]) - rows[row]) * STRIDE
     place = begin[:, None] + np.arange(WINDOW)
     inside = place < w.rows[1:][row][:, None]
-    words = np.full(place.shape, -1)
+    words = np.full(place.shape, -1, np.int32)
     words[inside] = which[place[inside]]
-    return Windows((keys >> np.uint64(50)).astype(np.int64), grams[order].astype(np.int64), gram_rows, words, rows)
+    return Windows((keys >> np.uint64(50)).astype(np.int64), grams[order].astype(np.int64), gram_rows, words, rows, keys)
 
 
 class ToxicityModel:
@@ -258,9 +275,11 @@ def _telling(win: Windows, y: np.ndarray, doubt: float = 6.0) -> tuple[np.ndarra
     """
     length, n, parts = np.diff(win.gram_rows), len(win.bucket), 1 << GRAM_BITS
     counts = {size: np.zeros((2, size)) for size in (n, parts)}
-    for at in range(0, len(y), TEXTS_AT_ONCE):
-        labels = y[at : at + TEXTS_AT_ONCE]
-        rows = win.rows[at : at + len(labels) + 1]
+    at = 0
+    while at < len(y):
+        upto = max(at + 1, int(np.searchsorted(win.rows, win.rows[at] + WINDOWS_AT_ONCE, "right")) - 1)
+        labels, rows = y[at:upto], win.rows[at : upto + 1]
+        at = upto
         text = np.repeat(np.repeat(np.arange(len(labels)), np.diff(rows)), WINDOW)
         word = win.words[rows[0] : rows[-1]].reshape(-1)
         text, word = np.divmod(np.unique(text[word >= 0] * n + word[word >= 0]), n)
@@ -291,7 +310,8 @@ def fit_toxicity(texts: list[str], labels: list[int], steps: int = 500, batch: i
     telling = np.append(np.maximum(by_word, np.maximum.reduceat(by_gram[win.grams], win.gram_rows[:-1])), 0.0)
     model.w["word"][win.bucket, 0] = by_word
     model.w["gram"][:, 0] = by_gram
-    rank = np.sort(telling[win.words], axis=1)[:, -3:].sum(axis=1)
+    parts = range(0, len(win.words), BATCH)
+    rank = np.concatenate([np.sort(telling[win.words[a : a + BATCH]], axis=1)[:, -3:].sum(axis=1) for a in parts])
     groups = [np.flatnonzero(y == c) for c in (0, 1)]
 
     def best() -> np.ndarray:
