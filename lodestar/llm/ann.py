@@ -16,13 +16,13 @@ back as they are. Other columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lodestar.llm.common import cut_lineage
+from lodestar.llm.common import bound_arrow_batches, cut_lineage
 
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 24, 48, 96, 1.2
 #: Nodes of a shard for each square root of all nodes.
@@ -199,43 +199,69 @@ def build_index(vectors: DataFrame, k: int) -> DataFrame:
     return cut_lineage(graph)
 
 
-def _search(k: int, beam: int) -> Callable:
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+class _Shard:
+    """One shard's graph, ready to be searched."""
 
-    def run(key: tuple, index: pa.Table, queries: pa.Table) -> pa.Table:
-        if not len(index) or not len(queries):
-            return schema.empty_table()
-        dim = key[0].as_py()
+    def __init__(self, index: pa.Table, dim: int) -> None:
         index = index.sort_by("node")
         vectors = _matrix(index.column("vector"), dim)
-        unit = _unit(vectors)
+        self.unit = _unit(vectors)
         lists = index.column("links").combine_chunks()
         ends = np.asarray(lists.offsets)
-        links = np.full((len(index), DEGREE), -1)
+        self.links = np.full((len(index), DEGREE), -1)
         count = np.diff(ends)
-        links[np.arange(DEGREE) < count[:, None]] = np.asarray(lists.values)[ends[0] : ends[-1]]
+        self.links[np.arange(DEGREE) < count[:, None]] = np.asarray(lists.values)[ends[0] : ends[-1]]
         ids = index.column("ids").combine_chunks()
-        id_ends, id_values = np.asarray(ids.offsets), np.asarray(ids.values)
-        entry = index.column("entry")[0].as_py()
-        own, asked = queries.column("query_id").to_numpy(), _matrix(queries.column("query"), dim)
-        double = vectors.astype(np.float64)
-        norm = np.sqrt((double * double).sum(axis=1))
+        self.id_ends, self.id_values = np.asarray(ids.offsets), np.asarray(ids.values)
+        self.entry = index.column("entry")[0].as_py()
+        self.double = vectors.astype(np.float64)
+        self.norm = np.sqrt((self.double * self.double).sum(axis=1))
+
+    def nearest(self, own: np.ndarray, asked: np.ndarray, k: int, beam: int) -> pa.RecordBatch:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for at in range(0, len(own), BATCH):
-            part = asked[at : at + BATCH]
-            found, _ = beam_search(unit, links, entry, _unit(part), beam)
-            part = part.astype(np.float64)
-            for q, nodes in enumerate(found):
-                nodes = nodes[nodes >= 0]
-                score = (double[nodes] * part[q]).sum(axis=1) / (norm[nodes] * np.sqrt((part[q] * part[q]).sum()))
-                copies = id_ends[nodes + 1] - id_ends[nodes]
-                each = np.concatenate([id_values[id_ends[i] : id_ends[i + 1]] for i in nodes])
-                score = np.repeat(score, copies)
-                other = each != own[at + q]
-                each, score = each[other], score[other]
-                best = np.lexsort((each, -score))[:k]
-                out.append((np.full(len(best), own[at + q]), each[best], score[best]))
-        return pa.table([np.concatenate([o[i] for o in out]) for i in range(3)], schema=schema)
+        found, _ = beam_search(self.unit, self.links, self.entry, _unit(asked), beam)
+        asked = asked.astype(np.float64)
+        for q, nodes in enumerate(found):
+            nodes = nodes[nodes >= 0]
+            score = (self.double[nodes] * asked[q]).sum(axis=1) / (self.norm[nodes] * np.sqrt((asked[q] * asked[q]).sum()))
+            copies = self.id_ends[nodes + 1] - self.id_ends[nodes]
+            each = np.concatenate([self.id_values[self.id_ends[i] : self.id_ends[i + 1]] for i in nodes])
+            score = np.repeat(score, copies)
+            other = each != own[q]
+            each, score = each[other], score[other]
+            best = np.lexsort((each, -score))[:k]
+            out.append((np.full(len(best), own[q]), each[best], score[best]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], schema=_FOUND)
+
+
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _search(k: int, beam: int) -> Callable:
+    """Answers of shards, each of whose nodes come before its queries; queries are held ``BATCH`` at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key: tuple | None = None
+        parts: list[pa.RecordBatch] = []
+        shard: _Shard | None = None
+        for batch in batches:
+            dims, shards, asked = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "shard", "asked"))
+            cut = np.flatnonzero((np.diff(dims) != 0) | (np.diff(shards) != 0) | (np.diff(asked) != 0)) + 1
+            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                own = (int(dims[a]), int(shards[a]))
+                if own != key:
+                    key, parts, shard = own, [], None
+                if not asked[a]:
+                    parts.append(batch.slice(a, b - a))
+                    continue
+                if shard is None:
+                    shard = _Shard(pa.Table.from_batches(parts).select(["node", "entry", "ids", "vector", "links"]), key[0])
+                    parts = []
+                for at in range(a, b, BATCH):
+                    rows = pa.Table.from_batches([batch.slice(at, min(BATCH, b - at))])
+                    yield shard.nearest(rows.column("query_id").to_numpy(), _matrix(rows.column("query"), key[0]), k, beam)
 
     return run
 
@@ -246,12 +272,12 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARC
     A node with the query's own id is left out of its result.
     """
     asked = queries.filter(F.col("query_id").isNotNull() & usable(F.col("query"))).dropDuplicates(["query_id", "query"])
-    shards = index.select(F.col("dim").alias("to_dim"), F.col("shard").alias("to_shard")).distinct()
-    sent = asked.join(shards, F.size("query") == F.col("to_dim"))
-    found = (
-        index.groupBy("dim", "shard")
-        .cogroup(sent.groupBy("to_dim", "to_shard"))
-        .applyInArrow(_search(k, beam), "query_id long, vec_id long, score double")
-    )
+    shards = index.select("dim", "shard").distinct()
+    sent = asked.join(shards, F.size("query") == F.col("dim")).withColumn("asked", F.lit(1))
+    # the queries of a shard pass by behind its nodes, so that a task never holds all of them
+    both = index.withColumn("asked", F.lit(0)).unionByName(sent, allowMissingColumns=True)
+    bound_arrow_batches(index.sparkSession)
+    dealt = both.repartition("dim", "shard").sortWithinPartitions("dim", "shard", "asked")
+    found = dealt.mapInArrow(_search(k, beam), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
