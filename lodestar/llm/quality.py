@@ -1,4 +1,4 @@
-"""Quality classifier: a factorisation machine over words, structure and text metadata.
+"""Quality classifier: a factorisation machine over words and structure.
 
 A text becomes one row of hashed words (log counts, scaled to length one) and one
 active bin of every structure statistic. The pairwise interactions of all active
