@@ -12,7 +12,10 @@ from lodestar.llm.ann import build_index, search_index
 from lodestar.llm.bpe import decode_documents, encode_documents, load_tokenizer
 from lodestar.llm.common import held_out, labelled_sample, shared_folder, spread_sample, table
 from lodestar.llm.decontaminate import contamination
+from lodestar.llm.hardneg import hard_negatives
 from lodestar.llm.licenses import license_spans
+from lodestar.llm.linededup import dedup_lines
+from lodestar.llm.merkle import build_manifest, fold, proof_digest, row_digest
 from lodestar.llm.neardup import near_duplicates
 from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
 from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
@@ -130,3 +133,44 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+#: The columns of a leaf, in their order.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    tampered = F.when(changed, row_digest([*LEAF[:-1], lowered])).otherwise(row_digest(LEAF)).alias("tampered")
+    manifest = build_manifest(docs, LEAF, "lang", ["doc_id"], [tampered])
+    proved = manifest.proved().withColumn("folded_root", fold(F.col("kept.tampered")))
+    root = F.lit(manifest.root).cast("string")
+    return proved.select(
+        F.col("kept.doc_id").alias("doc_id"), "leaf", "subroot", root.alias("root"), proof_digest().alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == root).alias("verified"),
+    )
+
+
+ORACLE["op11_merkle_manifest"] = sql.MERKLE
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op12_line_dedup"] = sql.LINE_DEDUP
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = sql.HARD_NEGATIVES
