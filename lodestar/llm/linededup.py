@@ -99,7 +99,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     gone = places.join(frequent, ["key_a", "key_b"]).filter(~F.col("doc_id").eqNullSafe(F.col("last")))
     gone = cut_lineage(gone.groupBy("row_a", "row_b").agg(F.collect_set("pos").alias("gone")))
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    named = docs.select(F.struct(*others).alias("others"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    named = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("others"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     met = _with_row(named).join(gone, ["row_a", "row_b"], "left").select("others", "text", "gone")
     schema = StructType([met.schema["others"], met.schema["text"]]).add("n_lines", "long").add("n_dropped", "long")
     done = met.mapInArrow(_reassemble, schema)
