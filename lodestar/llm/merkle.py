@@ -11,7 +11,8 @@ that have these indices it holds what stands left and right of it, which is its
 every proof that passes through it; the rows of slot zero also emit the parents. Levels
 shrink by ``arity`` and are written one by one. Proofs are put together downwards: a node's proof is its
 own entry and its parent's proof, so each shared part is stored once per level, and the
-rows of the dataset meet only the proofs of their parents.
+rows of the dataset meet only the proofs of their parents, last of all. Digests are stored and shuffled as 32
+bytes; they are hashed as hex text.
 
 Positions come from range partitions and their counts (:mod:`lodestar.operators.ordering`), so no
 group is sorted in one task; a group that holds most rows has as many tasks as it has parts.
@@ -44,6 +45,15 @@ def row_digest(columns: Sequence[str | Column]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
+def _hex(data: str | Column) -> Column:
+    return F.lower(F.hex(data))
+
+
+def _node(*digests: str | Column) -> Column:
+    """The digest of digests as hex text."""
+    return F.unhex(F.sha2(_hex(F.concat(*digests)), 256))
+
+
 def _siblings(arity: int) -> Column:
     """Indices of the nodes in the run of a node, itself included."""
     i = F.col("idx")
@@ -63,7 +73,7 @@ def _level(nodes: DataFrame, arity: int) -> DataFrame:
     run = met.agg(F.array_sort(F.collect_list(F.struct("sibling", "digest"))).alias("run"))
 
     def side(test: str) -> Column:
-        return F.expr(f"array_join(transform(filter(run, s -> s.sibling {test} idx), s -> s.digest), '')")
+        return F.expr(f"aggregate(filter(run, s -> s.sibling {test} idx), X'', (d, s) -> concat(d, s.digest))")
 
     return cut_lineage(run.select("tree", "idx", "size", side("<").alias("left"), side("=").alias("digest"), side(">").alias("right")))
 
@@ -74,7 +84,7 @@ def _parents(level: DataFrame, arity: int) -> DataFrame:
         "tree",
         F.expr(f"idx div {arity}").alias("idx"),
         F.expr(f"(size + {arity - 1}) div {arity}").alias("size"),
-        F.sha2(F.concat("digest", "right"), 256).alias("digest"),
+        _node("digest", "right").alias("digest"),
     )
 
 
@@ -107,11 +117,12 @@ class _Forest:
 
 
 def _entries(level: DataFrame, above: DataFrame, arity: int) -> DataFrame:
-    """``tree, idx, path`` and what else ``above`` carries, for every node of ``level``."""
+    """``path``, and what else ``level`` and ``above`` carry, for every node of ``level``."""
     up = above.withColumnRenamed("idx", "up").withColumnRenamed("path", "rest")
-    own = level.select("tree", "idx", F.struct("left", "right").alias("own"), F.expr(f"idx div {arity}").alias("up"))
+    own = level.withColumns({"own": F.struct("left", "right"), "up": F.expr(f"idx div {arity}")})
+    kept = [c for c in level.columns if c not in ("size", "left", "digest", "right")]
     more = [c for c in above.columns if c not in ("tree", "idx", "path")]
-    return own.join(up, ["tree", "up"]).select("tree", "idx", F.concat(F.array("own"), "rest").alias("path"), *more)
+    return own.join(up, ["tree", "up"]).select(*kept, F.concat(F.array("own"), "rest").alias("path"), *more)
 
 
 def _grow(leaves: DataFrame, arity: int) -> _Forest:
@@ -125,10 +136,6 @@ def _grow(leaves: DataFrame, arity: int) -> _Forest:
     return _Forest(levels, cut_lineage(roots), arity)
 
 
-def _text(path: str) -> str:
-    return f"array_join(transform({path}, s -> concat(s.left, s.right)), '')"
-
-
 @dataclass
 class Manifest:
     """A dataset's leaves with their places, its trees, and the root (None without rows)."""
@@ -140,23 +147,24 @@ class Manifest:
     root: str | None
 
     def proved(self) -> DataFrame:
-        """The columns kept with the leaves, ``leaf``, ``subroot`` and ``path``, the proof from the leaf to the root.
+        """``kept``, ``leaf``, ``subroot`` and ``path``, the proof from the leaf to the root.
 
         An entry of a path has what stands ``left`` and ``right`` of the node in its run.
         """
         above = _tops(self.top, self.groups.select(F.col("tree").alias("idx")))
         above = cut_lineage(above.join(self.forest.roots.withColumnRenamed("digest", "subroot"), "tree"))
-        heads = self.forest.proofs(above)
-        lone = self.leaves.filter("size = 1").join(above, "tree").select(*self.leaves.columns, "path", "subroot")
+        names = ["kept", _hex("leaf").alias("leaf"), _hex("subroot").alias("subroot"), "path"]
+        lone = self.leaves.filter("size = 1").join(above, "tree").select(*names)
         if not self.forest.levels:
             return lone
-        places = _entries(self.forest.levels[0], heads, self.forest.arity)
-        return self.leaves.join(places, ["tree", "idx"]).select(*lone.columns).unionByName(lone)
+        # the rows meet their own entries first, and the long paths once, in the last join
+        own = self.leaves.select("tree", "idx", "kept", "leaf").join(self.forest.levels[0].drop("size", "digest"), ["tree", "idx"])
+        return _entries(own, self.forest.proofs(above), self.forest.arity).select(*names).unionByName(lone)
 
 
 def _tops(top: _Forest, groups: DataFrame) -> DataFrame:
     """``tree, path`` of the root of every group's tree."""
-    empty = F.expr("cast(array() as array<struct<left:string,right:string>>)")
+    empty = F.expr("cast(array() as array<struct<left:binary,right:binary>>)")
     if not top.levels:
         return groups.select(F.col("idx").alias("tree"), empty.alias("path"))
     above = top.roots.select("tree", empty.alias("path"))
@@ -172,7 +180,7 @@ def build_manifest(
     ``keep`` are further columns that stay beside each leaf.
     """
     own = [F.col(c).alias(f"o{k}") for k, c in enumerate(order)]
-    picked = rows.select(F.col(group).alias("grp"), *own, row_digest(columns).alias("leaf"), F.struct(*order, *keep).alias("kept"))
+    picked = rows.select(F.col(group).alias("grp"), *own, F.unhex(row_digest(columns)).alias("leaf"), F.struct(*order, *keep).alias("kept"))
     by = [F.asc_nulls_first("grp"), *(F.asc_nulls_first(f"o{k}") for k in range(len(own))), F.asc("leaf")]
     parts = sorted_parts(picked, by)
     offsets = part_offsets(parts, ["grp"])
@@ -187,14 +195,15 @@ def build_manifest(
     tops = tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), F.col("trees").alias("size"), "digest")
     top = _grow(cut_lineage(tops), arity)
     root = top.roots.first()
-    return Manifest(leaves, groups, forest, top, root["digest"] if root else None)
+    return Manifest(leaves, groups, forest, top, bytes(root["digest"]).hex() if root else None)
 
 
 def proof_digest(path: str = "path") -> Column:
     """SHA-256 of the siblings of a path, level by level, left to right."""
-    return F.expr(f"sha2({_text(path)}, 256)")
+    siblings = F.aggregate(F.col(path), F.lit(b""), lambda d, s: F.concat(d, s["left"], s["right"]))
+    return F.sha2(_hex(siblings), 256)
 
 
 def fold(leaf: Column, path: str = "path") -> Column:
-    """The root that ``leaf`` and the siblings of its path lead to."""
-    return F.aggregate(F.col(path), leaf, lambda d, s: F.sha2(F.concat(s["left"], d, s["right"]), 256))
+    """The root that ``leaf`` (hex) and the siblings of its path lead to."""
+    return F.aggregate(F.col(path), leaf, lambda d, s: F.sha2(F.concat(_hex(s["left"]), d, _hex(s["right"])), 256))

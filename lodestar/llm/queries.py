@@ -144,9 +144,9 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
-    tampered = F.when(changed, row_digest([*LEAF[:-1], lowered])).otherwise(row_digest(LEAF)).alias("tampered")
-    manifest = build_manifest(docs, LEAF, "lang", ["doc_id"], [tampered])
-    proved = manifest.proved().withColumn("folded_root", fold(F.col("kept.tampered")))
+    tampered = F.when(changed, row_digest([*LEAF[:-1], lowered])).otherwise(row_digest(LEAF))
+    manifest = build_manifest(docs, LEAF, "lang", ["doc_id"], [F.unhex(tampered).alias("tampered")])
+    proved = manifest.proved().withColumn("folded_root", fold(F.lower(F.hex("kept.tampered"))))
     root = F.lit(manifest.root).cast("string")
     return proved.select(
         F.col("kept.doc_id").alias("doc_id"), "leaf", "subroot", root.alias("root"), proof_digest().alias("proof_sha256"),
