@@ -26,7 +26,7 @@ import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodestar.llm.common import bound_arrow_batches, small_batches
+from lodestar.llm.common import bound_arrow_batches, frugal, small_batches
 from lodestar.llm.words import hash_spans, mix, text_bytes
 
 #: Text encoded at a time.
@@ -300,7 +300,7 @@ def encode_documents(docs: DataFrame, tokenizer: Broadcast) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
 
     bound_arrow_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(frugal(run), "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: Broadcast) -> DataFrame:
@@ -326,4 +326,4 @@ def decode_documents(encoded: DataFrame, tokenizer: Broadcast) -> DataFrame:
                     out = pa.array([v if ok else None for v, ok in zip(out.to_pylist(), lists.is_valid().to_pylist())], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, out], ["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(frugal(run), "doc_id long, ids array<int>, decoded binary")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodestar.session import cut_lineage, shared_folder
 
 __all__ = [
-    "bound_arrow_batches", "cut_lineage", "held_out", "labelled_sample", "shared_folder", "slices", "small_batches", "spread_sample", "table",
+    "bound_arrow_batches", "cut_lineage", "frugal", "held_out", "labelled_sample", "release_memory", "shared_folder", "slices",
+    "small_batches", "spread_sample", "table",
 ]
 
 #: Texts above this many bytes are left out of a training sample (never out of scoring).
@@ -19,8 +21,8 @@ SAMPLE_TEXT_BYTES = 1 << 15
 STRETCH_BYTES = 1 << 10
 
 
-#: Rows of an Arrow batch between Spark and a Python worker.
-ARROW_ROWS = 1000
+#: Rows and bytes of an Arrow batch between Spark and a Python worker; a larger row is a batch of its own.
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,8 +96,8 @@ def spread_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int
 
     No text is left out by its length. Ids are chosen by their hash from those that have a
     text. Where a class has more bytes, its longest texts come down to one size, and are
-    read in stretches over their whole length (:func:`spread`). Ids that may not be learnt
-    are those of :func:`labelled_sample`.
+    read in stretches over their whole length (:func:`spread`). Held-out and null ids, and ids with contradicting
+    labels, are not learnt.
     """
     bound_arrow_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
@@ -115,8 +117,30 @@ def spread_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int
 
 
 def bound_arrow_batches(spark: SparkSession) -> None:
-    """Rows of an Arrow batch, so that a batch of texts stays a few megabytes on either side."""
+    """Rows and bytes of an Arrow batch, so that a batch of texts stays a few megabytes on either side."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the machine: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
+def frugal(run: Callable) -> Callable:
+    """``run`` over the batches of a task, with the worker's free memory given back at its end."""
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return bounded
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:

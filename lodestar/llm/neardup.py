@@ -4,7 +4,7 @@ Documents with equal shingle sets form one class by a digest of the set. The cla
 signatures are cut into bands; classes that share a band's hash meet in a bucket. In a
 bucket every member is verified against the least one, which links the groups of copies
 in one pass. Buckets whose members are then still in several components are compared
-in blocks: the members outside a bucket's largest component meet all others, on full
+in blocks bounded by members and by shingles: the members outside a bucket's largest component meet all others, on full
 sets, and only links come out. So the cost of a large group of copies is linear, and no
 pair that shares a bucket is left out. Links are exact: intersections of whole sets of
 64-bit shingle hashes, compared in integers.
@@ -23,15 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodestar.llm.common import bound_arrow_batches, cut_lineage, small_batches
+from lodestar.llm.common import bound_arrow_batches, cut_lineage, frugal, small_batches
 from lodestar.llm.components import UnionFind, connected_components
 from lodestar.llm.superminhash import signatures
 from lodestar.llm.words import SPACED, mix, ngram_hashes, split_words
 
 #: 32 bands of 6 values: a pair at similarity 0.85 shares no band with probability 3e-7, at 0.8 with 7e-5.
 BANDS, BAND_ROWS = 32, 6
-#: Members of a bucket that one block compares.
-BLOCK = 256
+#: Members of a bucket that one block compares, and about how many shingles they have; a larger set is a block of its own.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 18
 
 
 def _sets(texts: pa.Array, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,6 +156,7 @@ def near_duplicates(
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
     block: int = BLOCK,
+    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``docs`` (``doc_id, text``).
 
@@ -165,7 +166,7 @@ def near_duplicates(
     bound_arrow_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long"), "text")
     schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
-    features = cut_lineage(source.mapInArrow(_featurise(words_per_shingle, bands, band_rows), schema))
+    features = cut_lineage(source.mapInArrow(frugal(_featurise(words_per_shingle, bands, band_rows)), schema))
     known = features.filter("doc_id is not null and n_shingles > 0")
     set_key = ["n_shingles", "set_a", "set_b"]
     classes = known.groupBy(*set_key).agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
@@ -184,26 +185,32 @@ def near_duplicates(
     )
     wanted = shared.select("doc_id").distinct()
     texts = source.join(wanted, "doc_id", "left_semi")
-    sets = cut_lineage(texts.mapInArrow(_hash_sets(words_per_shingle), "doc_id long, hashes array<long>"))
+    sets = cut_lineage(texts.mapInArrow(frugal(_hash_sets(words_per_shingle)), "doc_id long, hashes array<long>"))
 
     def verified(candidates: DataFrame) -> DataFrame:
         left = candidates.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")), "a")
         both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")), "b")
-        return both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+        return both.select("a", "b", "x", "y").mapInArrow(frugal(_verify(percent)), "a long, b long")
 
     links = cut_lineage(verified(pairs))
     labelled = cut_lineage(_with_component(shared.select("bucket", "doc_id", "n_shingles"), links))
 
     # what the centres left apart: members outside the largest component meet all others
-    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    parts = labelled.groupBy("bucket", "comp").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("weight"))
     split = parts.groupBy("bucket").agg(
         F.count("*").alias("parts"),
         F.sum("size").alias("members"),
         F.max("size").alias("largest"),
         F.max_by("comp", F.struct("size", "comp")).alias("main"),
+        F.sum("weight").alias("weight"),
+        F.max_by("weight", F.struct("size", "comp")).alias("main_weight"),
     )
     left = labelled.join(split.filter("parts > 1"), "bucket")
-    member_blocks, ask_blocks = F.ceil(F.col("members") / block), F.ceil((F.col("members") - F.col("largest")) / block)
+
+    def blocks_of(rows: str, shingles: str) -> Column:
+        return F.ceil(F.greatest(F.expr(rows) / block, F.expr(shingles) / block_shingles))
+
+    member_blocks, ask_blocks = blocks_of("members", "weight"), blocks_of("members - largest", "weight - main_weight")
 
     def every(blocks: Column) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))

@@ -23,7 +23,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lodestar.llm.automata import Automaton, learn
-from lodestar.llm.common import bound_arrow_batches, small_batches
+from lodestar.llm.common import bound_arrow_batches, frugal, small_batches
 from lodestar.llm.words import runs, text_bytes
 
 KINDS = ("assign", "access", "hex")
@@ -202,4 +202,4 @@ def redact_secrets(docs: DataFrame, model: FormatModel) -> DataFrame:
     """All rows and columns of ``docs`` with the secrets in ``text`` replaced by their kinds."""
     bound_arrow_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_redacting(shared, "text"), docs.schema)
+    return docs.mapInArrow(frugal(_redacting(shared, "text")), docs.schema)

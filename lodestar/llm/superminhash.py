@@ -16,7 +16,7 @@ from lodestar.llm.words import mix
 _STREAM = 0x9E3779B97F4A7C15
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Cells of the permutations kept at a time.
-STATE_CELLS = 1 << 23
+STATE_CELLS = 1 << 21
 
 
 def _step(seeds: np.ndarray, j: int, m: int) -> tuple[np.ndarray, np.ndarray]:
