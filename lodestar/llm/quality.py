@@ -27,8 +27,8 @@ from lodestar.llm.words import PIECE_BYTES, SPACED, pieces, split_words
 WORD_BUCKETS = 1 << 14
 STAT_BINS = 16
 FACTORS = 8
-#: Labelled rows of each class the model is fitted on at most.
-FIT_ROWS = 3000
+#: Labelled ids and bytes of text of each class the model is fitted on at most; beyond these bytes the longest texts are read in stretches.
+FIT_ROWS, FIT_BYTES = 3000, 16 << 20
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[65:91] = 1  # capitals

@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodestar.llm import sql
 from lodestar.llm.ann import build_index, search_index
 from lodestar.llm.bpe import decode_documents, encode_documents, load_tokenizer
-from lodestar.llm.common import held_out, labelled_sample, shared_folder, spread_sample, table
+from lodestar.llm.common import held_out, shared_folder, spread_sample, table
 from lodestar.llm.decontaminate import contamination
 from lodestar.llm.hardneg import hard_negatives
 from lodestar.llm.licenses import license_spans
 from lodestar.llm.linededup import dedup_lines
 from lodestar.llm.merkle import build_manifest, fold, proof_digest, row_digest
 from lodestar.llm.neardup import near_duplicates
-from lodestar.llm.quality import FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
+from lodestar.llm.quality import FIT_BYTES as QUALITY_BYTES, FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
 from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
 from lodestar.llm.tokencount import count_tokens
 from lodestar.llm.toxicity import FIT_BYTES, FIT_ROWS as TOXIC_ROWS, fit_toxicity, toxicity_score
@@ -86,7 +86,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit_quality(*labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", QUALITY_ROWS))
+    model = fit_quality(*spread_sample(docs, table(spark, sf_dir, "labels"), "quality", QUALITY_ROWS, QUALITY_BYTES))
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_score(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
