@@ -11,12 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodestar.session import cut_lineage, shared_folder
 
 __all__ = [
-    "bound_arrow_batches", "cut_lineage", "frugal", "held_out", "labelled_sample", "release_memory", "shared_folder", "slices",
+    "bound_arrow_batches", "cut_lineage", "frugal", "held_out", "release_memory", "shared_folder", "slices",
     "small_batches", "spread_sample", "table",
 ]
 
-#: Texts above this many bytes are left out of a training sample (never out of scoring).
-SAMPLE_TEXT_BYTES = 1 << 15
 #: Bytes of one of the stretches in which a long text is read for a sample bounded by its bytes.
 STRETCH_BYTES = 1 << 10
 
@@ -45,25 +43,6 @@ def _learnable(labels: DataFrame, label: str) -> DataFrame:
     )
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_bytes: int = SAMPLE_TEXT_BYTES
-) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most ``per_class`` training rows of each class.
-
-    Ids are chosen by their hash from all rows that may be learnt, so the choice is
-    repeatable; only they are sent to the scan of the texts, and only their texts to
-    the driver. Ids with contradicting labels, null ids, and texts that are null or longer than
-    ``max_bytes`` are not learnt.
-    """
-    known = _learnable(labels, label)
-    parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
-    chosen = parts[0].unionByName(parts[1])
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").collect()
-    rows = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows})
-    return [r[1] for r in rows], [r[2] for r in rows]
-
-
 def _level(sizes: list[int], total: int) -> int:
     """The size to which the longest have to come down so that all sizes add up to ``total`` at most."""
     left = total

@@ -50,3 +50,12 @@ def test_production_sample_on_the_held_out_documents(spark):
     right = ((score >= 0.5) == np.array([r["toxic"] for r in rows])).mean()
     print("accuracy", right, "texts", len(y), sum(y))
     assert right > 0.95
+
+
+def test_quality_learns_from_a_text_of_100_kb(spark):
+    from lodestar.llm.quality import FIT_BYTES as BYTES, FIT_ROWS as ROWS
+
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.concat("id", F.repeat(F.lit(" word"), 20_000)).alias("text"))
+    labels = spark.range(60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    texts, _ = spread_sample(docs, labels, "quality", ROWS, BYTES)
+    assert len(texts) > 40 and min(len(t) for t in texts) > 100_000
