@@ -52,8 +52,13 @@ def write_extract(df: DataFrame, path: str, run_id: int, delimiter: str = ",") -
     Every row is one line whatever its texts hold (see :func:`pack_text`), so large files
     can be split among tasks.
     """
+    write_extract_files(df, path, run_id, delimiter)
+
+
+def write_extract_files(df: DataFrame, path: str, run_id: int, delimiter: str = ",", **options: object) -> None:
+    """:func:`write_extract` with further options of the writer; rows stay in the partitions and order of ``df``."""
     stamped = stamp_run_id(_each_text(df, pack_text), run_id)
-    stamped.write.mode("overwrite").options(**_options(delimiter)).csv(f"{path}/runid={run_id}")
+    stamped.write.mode("overwrite").options(**_options(delimiter), **options).csv(f"{path}/runid={run_id}")
 
 
 def read_extract(

@@ -562,6 +562,7 @@ SELECT 2 AS runid, 'no of records ' || stage || ' --> ' || n AS message_desc, 'c
 FROM n""",
 }
 ORACLE["resolve_keys_shuffled"] = ORACLE["resolve_keys"]
+ORACLE["resolve_keys_stacked"] = ORACLE["resolve_keys"]
 ORACLE["fact_stage_refresh_full"] = ORACLE["fact_stage_refresh"]
 ORACLE["po_fact_load"] = (
     f"WITH {PURCHASE}, {DIM}, {NO_FACT_LINES}, {FACT_DIMS}, po AS ("
@@ -674,3 +675,9 @@ ORACLE["accounting_periods_extract"] = f"""
 SELECT accounting_period_id, parent_id, name AS period_name, quarter, year_0, 'No' AS isinactive, 'from ' || name AS start_date,
   'to ' || name AS end_date, quarter_name, year_name, 'driver calendar' AS fiscal_calendar
 FROM ({ORACLE["period_rollup"]}) WHERE accounting_period_id % 5 <> 0"""
+
+ORACLE["ordered_extract"] = """
+SELECT 1 AS runid, row_number() OVER (ORDER BY o_orderstatus DESC NULLS LAST, o_orderdate, o_orderkey) - 1 AS position,
+  o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey FROM orders"""
+ORACLE["foreign_extract"] = """
+SELECT doc_id, coalesce(text, '') AS text, 'caf?!' AS note, '2026-01-02 03:04:05' AS loaded_at FROM documents"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lodestar.functions.columns import (
     account_label,
@@ -30,6 +30,8 @@ from lodestar.plans.facts import PURCHASE_ORDERS, REVENUE, VENDOR_BILLS, VENDOR_
 from lodestar.plans.load import RunContext, load_dimension, load_fact
 from lodestar.session import cut_lineage, shared_folder
 from lodestar.sources.extract_files import read_extract, write_extract
+from lodestar.sources.foreign_extract import read_foreign
+from lodestar.sources.ordered_extract import read_ordered_extract, write_ordered_extract
 from lodestar.sources.run_store import RunStore
 from lodestar.workload.fixtures import (
     CUSTOMER,
@@ -403,6 +405,12 @@ def resolve_keys_shuffled(s: Source) -> DataFrame:
     return found.select(*LINE_KEY, *FACT_KEYS, f.unresolved(s.lookups).alias("rejected"))
 
 
+@query
+def resolve_keys_stacked(s: Source) -> DataFrame:
+    found = f.resolve_stacked(s.fact_lines, s.lookups)
+    return found.select(*LINE_KEY, *FACT_KEYS, f.unresolved(s.lookups).alias("rejected"))
+
+
 @query
 def fact_insert(s: Source) -> DataFrame:
     rows = f.moved_rows(_fact_changes(s), [d.INSERT])
@@ -623,6 +631,41 @@ def _contexts(s: Source) -> tuple[RunContext, RunContext]:
     return RunContext(store, 1, FIRST_RUN_TS), RunContext(store, 2, RUN_TS)
 
 
+@query
+def ordered_extract(s: Source) -> DataFrame:
+    """Two thirds of the rows share two values of the first order column; files of 1,000 rows span them."""
+    orders = s.table("orders").select("o_orderstatus", "o_orderdate", "o_orderkey")
+    path = shared_folder(s.spark, "ordered")
+    order = [F.desc_nulls_last("o_orderstatus"), F.asc("o_orderdate"), F.asc("o_orderkey")]
+    write_ordered_extract(orders, path, RUN_ID, order, rows_per_file=1000)
+    return read_ordered_extract(s.spark, path, RUN_ID, orders.schema).select("runid", "position", *orders.columns)
+
+
+def foreign_lines(docs: DataFrame) -> DataFrame:
+    """Documents as another writer has them: a header per file, raw line breaks quoted or escaped, a bad byte."""
+
+    def escaped(c: str, marks: str) -> Column:
+        out = F.replace(F.col(c), F.lit("\\"), F.lit("\\\\"))
+        for m in marks:
+            out = F.replace(out, F.lit(m), F.lit("\\" + m))
+        return out
+
+    text = F.coalesce(escaped("text", ',"\n'), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.coalesce(escaped("text", '"'), F.lit("")), F.lit('"'))
+    odd = F.concat(F.lit("caf"), F.unhex(F.lit("E9")).cast("string"), F.lit("!"))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, text).otherwise(quoted), odd, F.lit("2026-01-02 03:04:05"))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    return docs.select(F.when(first, F.concat(F.lit("doc_id,text,note,\"loaded\nat\"\n"), line)).otherwise(line).alias("value"))
+
+
+@query
+def foreign_extract(s: Source) -> DataFrame:
+    path = shared_folder(s.spark, "foreign")
+    foreign_lines(s.table("documents")).write.text(path)
+    schema = T.StructType.fromDDL("doc_id long, text string, note string, loaded_at timestamp_ntz")
+    return read_foreign(s.spark, path, schema).drop("_corrupt_record")
+
+
 @query
 def extract_file_round_trip(s: Source) -> DataFrame:
     customers = s.table("customer").withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))

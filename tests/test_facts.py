@@ -86,3 +86,28 @@ def test_versions_and_quarantine(spark, rows, lookups):
     assert rows(marked, "id", "item_key", "record_status") == [(3, 109, "RESOLVED"), (4, 102, "ERROR"), (5, 102, "ERROR")]
     facts, same = f.reprocess_errors(marked, later, 2, T2)
     assert facts.isEmpty() and rows(same) == rows(marked)
+
+
+@pytest.mark.parametrize("salts", [1, 3, 8])
+def test_stacked_lookups_find_the_same_keys(spark, rows, lookups, salts, tmp_path):
+    repeated = [lookups[0], f.Lookup("second_key", lookups[0].dim, "other", "item_id", "item_key"), *lookups[1:]]
+    lines = [(*r, k % 3 or None) for r in LINES + [(6, None, None, None, None)] * 3 for k in range(20)]
+    spark.createDataFrame(lines, SCHEMA + ", other int").write.parquet(str(tmp_path / "lines"))
+    df = spark.read.parquet(str(tmp_path / "lines"))
+    want, got = f.resolve_all(df, repeated), f.resolve_stacked(df, repeated, salts)
+    assert got.schema.simpleString() == want.schema.simpleString() and rows(got) == rows(want) and got.count() == len(lines)
+
+
+def test_stacked_lookups_move_fact_rows_twice(spark, lookups, tmp_path):
+    spark.createDataFrame(LINES, SCHEMA).write.parquet(str(tmp_path / "lines"))
+    df = spark.read.parquet(str(tmp_path / "lines"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = [f.Lookup(f"{x.name}{i}", x.dim, x.fk, x.id, x.key, x.default, x.date) for i in range(6) for x in lookups]
+        plan = f.resolve_stacked(df, many)._jdf.queryExecution().executedPlan().toString()
+        chain = f.resolve_all(df, many)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # one exchange of the ids, one of the dimensions, one that brings the keys together
+    assert plan.count("Exchange hashpartitioning") == 3 and chain.count("Exchange hashpartitioning") > 12
