@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodestar.functions.columns import date_id, fill_null, ts_lit
-from lodestar.functions.reserved import FACT_OPEN_END, NA_ID, RECORD_ERROR, RECORD_RESOLVED
+from lodestar.functions.reserved import FACT_OPEN_END, NA_ID, RECORD_ERROR, RECORD_RESOLVED, RECORD_SUPERSEDED
 from lodestar.operators.diff import INSERT, UPDATE
 from lodestar.operators.joins import Side, join_sides
 
@@ -205,3 +205,27 @@ def reprocess_errors(
     marked = again.withColumn("record_status", F.when(missing, RECORD_ERROR).otherwise(RECORD_RESOLVED))
     untouched = errors.filter(~F.coalesce(open_rows, F.lit(False)))
     return facts, untouched.unionByName(marked.select(*errors.columns))
+
+
+def reprocess_all_errors(
+    errors: DataFrame, lookups: Sequence[Lookup], key: Sequence[str], run_ts: str | dt.datetime, spread: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Drive the open error rows of all runs again, in one pass over the lookups.
+
+    Of the rows of a line only the one of its newest run counts, whatever became of it: open
+    rows of older runs are marked superseded. The newest run of a line is a grouped maximum of
+    a number, so nothing is sorted, and a line with many runs is one row per task. Returns new
+    fact versions, and the error table with its marks. ``errors`` has one row per line and run.
+    """
+    names = [x.name for x in lookups]
+    newest = errors.groupBy(*key).agg(F.max("runid").alias("__newest"))
+    is_open = F.coalesce(F.col("record_status") == RECORD_ERROR, F.lit(False))
+    seen = errors.join(newest, list(key), "left")
+    old = F.coalesce(F.col("runid") < F.col("__newest"), F.lit(False))
+    again = resolve_all(seen.filter(is_open & ~old).drop("__newest", *names), lookups, spread)
+    missing = unresolved(lookups)
+    facts = fact_insert(again.filter(~missing).drop("runid", "record_status", "dw_creation_date"), run_ts)
+    marked = again.withColumn("record_status", F.when(missing, RECORD_ERROR).otherwise(RECORD_RESOLVED))
+    status = F.when(is_open, F.lit(RECORD_SUPERSEDED)).otherwise(F.col("record_status"))
+    rest = seen.filter(~is_open | old).withColumn("record_status", status)
+    return facts, rest.select(*errors.columns).unionByName(marked.select(*errors.columns))

@@ -35,7 +35,8 @@ class FactSpec:
     ``part_width`` keeps stage and fact in parts of that many consecutive ids of the
     first key column, so that a load only touches the parts of its increment. Ids that
     rise with time keep those few; choose the width for up to some thousand parts.
-    ``compare`` names the columns that decide whether a known line has changed.
+    ``compare`` names the columns that decide whether a known line has changed. ``stacked``
+    resolves all keys in two shuffles, for dimensions too large to broadcast.
     """
 
     name: str
@@ -48,6 +49,7 @@ class FactSpec:
     constants: Mapping[str, int] = field(default_factory=dict)
     part_width: int | None = None
     compare: tuple[str, ...] | None = None
+    stacked: bool = False
 
     def compared(self, columns: Sequence[str]) -> list[str] | None:
         """Columns whose change makes a new version; all of them without a list."""

@@ -29,7 +29,9 @@ from lodestar.operators.facts import (
     fact_quarantine,
     moved_rows,
     reprocess_errors,
+    reprocess_all_errors,
     resolve_all,
+    resolve_stacked,
     unresolved,
 )
 from lodestar.operators.hierarchy import hierarchy_tables, parent_lookup
@@ -227,7 +229,8 @@ def load_fact(
     staged = _write_stage(ctx, spec, fact_stage_refresh(stage, changes, keys), touched)
 
     lookups = spec.bind(dims, ctx.run_ts)
-    found = resolve_all(spec.lines(moved_rows(changes)), lookups).withColumn("rejected", unresolved(lookups))
+    resolve = resolve_stacked if spec.stacked else resolve_all
+    found = resolve(spec.lines(moved_rows(changes)), lookups).withColumn("rejected", unresolved(lookups))
     found = ctx.write(found, f"resolved_{spec.name}", ["rejected"])
     valid = spec.shape(found.filter(~F.col("rejected")).drop("rejected"))
     errors = fact_quarantine(found.filter(F.col("rejected")).drop("rejected"), ctx.run_id, ctx.run_ts)
@@ -276,6 +279,16 @@ def reprocess_fact(ctx: RunContext, spec: FactSpec, dims: Mapping[str, DataFrame
     fact = _current(ctx, spec, touched)
     errors = ctx.write(supersede_errors(mine, later, fact, keys), f"open_{table}")
     facts, marked = reprocess_errors(errors, spec.bind(dims, ctx.run_ts), error_run, ctx.run_ts)
+    loaded, counts = _land(ctx, spec, facts, fact, touched)
+    ctx.write(marked, table)
+    return {**loaded, table: Published({part: ctx.path(table)}, (part,))}, counts
+
+
+def _land(
+    ctx: RunContext, spec: FactSpec, facts: DataFrame, fact: DataFrame | None, touched: Sequence[str]
+) -> Loaded:
+    """The fact with re-driven rows, each closing an older current version of its line."""
+    keys = list(spec.key)
     resolved = ctx.write(spec.shape(facts), f"resolved_{spec.name}")
     if fact is None:
         merged = resolved
@@ -284,9 +297,31 @@ def reprocess_fact(ctx: RunContext, spec: FactSpec, dims: Mapping[str, DataFrame
         valid = resolved.drop("date_active_from", "date_active_to", "dw_current")
         merged = fact_merge(fact, valid, diff, keys, ctx.run_ts, ctx.expire_offset)
     loaded = _write_fact(ctx, spec, merged, touched)
-    ctx.write(marked, table)
-    counts = resolved.agg(F.count(F.lit(1)).alias("resolved"))
-    return {**loaded, table: Published({part: ctx.path(table)}, (part,))}, counts
+    return loaded, resolved.agg(F.count(F.lit(1)).alias("resolved"))
+
+
+def reprocess_all(ctx: RunContext, spec: FactSpec, dims: Mapping[str, DataFrame]) -> Loaded:
+    """Drive the open error rows of all earlier runs into the fact.
+
+    Only the newest row of a line is driven; older ones, and those whose line has been
+    loaded since, are marked superseded. Error rows are rewritten for the runs that have
+    open ones; closed runs are read for their keys alone.
+    """
+    table = f"{spec.name}_error"
+    errors = ctx.before(table)
+    if errors is None:
+        raise ValueError(f"no run left errors of {spec.name}")
+    open_rows = errors.filter(F.col("record_status") == RECORD_ERROR)
+    runs = [r[0] for r in open_rows.select("runid").distinct().orderBy("runid").collect()]  # one number per run
+    keys = list(spec.key)
+    touched = _touched(spec, open_rows)
+    fact = _current(ctx, spec, touched)
+    errors = ctx.write(supersede_errors(errors, None, fact, keys), f"open_{table}")
+    facts, marked = reprocess_all_errors(errors, spec.bind(dims, ctx.run_ts), keys, ctx.run_ts)
+    loaded, counts = _land(ctx, spec, facts, fact, touched)
+    ctx.write(marked.filter(F.col("runid").isin(runs)).withColumn("dw_run", F.col("runid")), table, ["dw_run"])
+    parts = {f"run{r}": f"{ctx.path(table)}/dw_run={r}" for r in runs}
+    return {**loaded, table: Published(parts, tuple(parts))}, counts
 
 
 def load_hierarchy(

@@ -681,3 +681,22 @@ SELECT 1 AS runid, row_number() OVER (ORDER BY o_orderstatus DESC NULLS LAST, o_
   o_orderstatus, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderkey FROM orders"""
 ORACLE["foreign_extract"] = """
 SELECT doc_id, coalesce(text, '') AS text, 'caf?!' AS note, '2026-01-02 03:04:05' AS loaded_at FROM documents"""
+
+_TWO_RUNS = f"""
+WITH {DIM}, {FACT},
+errors AS (SELECT * EXCLUDE ({KEY_COLS}) FROM ({_resolved(BOTH)}) WHERE {MISSING}),
+all_errors AS (
+  SELECT *, 1 AS runid FROM errors
+  UNION ALL
+  SELECT * REPLACE (l_quantity + 1 AS l_quantity), 2 AS runid FROM errors WHERE l_linenumber % 2 = 0
+),
+newest AS (SELECT * EXCLUDE (runid) FROM all_errors QUALIFY runid = max(runid) OVER (PARTITION BY l_orderkey, l_linenumber))"""
+ORACLE["reprocess_all_errors"] = f"""
+{_TWO_RUNS}
+{LOADED}, {_versions("2026-01-02 00:00:00")} FROM ({_resolved("SELECT * FROM newest", "all_parts")}) WHERE NOT {MISSING}"""
+ORACLE["reprocess_all_marks"] = f"""
+{_TWO_RUNS},
+driven AS (SELECT l_orderkey, l_linenumber, {MISSING} AS missing FROM ({_resolved("SELECT * FROM newest", "all_parts")}))
+SELECT CAST(runid AS INTEGER) AS runid, l_orderkey, l_linenumber, l_quantity,
+  CASE WHEN runid = 1 AND l_linenumber % 2 = 0 THEN 'SUPERSEDED' WHEN missing THEN 'ERROR' ELSE 'RESOLVED' END AS record_status
+FROM all_errors JOIN driven USING (l_orderkey, l_linenumber)"""

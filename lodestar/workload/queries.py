@@ -462,6 +462,25 @@ def reprocess_error_marks(s: Source) -> DataFrame:
     return _reprocessed(s)[1].select("runid", *LINE_KEY, *FACT_KEYS, "record_status")
 
 
+def _errors_of_two_runs(s: Source) -> DataFrame:
+    """Rejected lines of a run, and the even ones rejected once more with another quantity."""
+    _, rejected = f.resolve_keys(f.moved_rows(_fact_changes(s)), s.lookups)
+    first = cut_lineage(f.fact_quarantine(rejected, RUN_ID, RUN_TS))
+    again = first.filter("l_linenumber % 2 = 0").withColumns({"l_quantity": F.col("l_quantity") + 1, "runid": F.lit(SECOND_RUN_ID)})
+    return cut_lineage(first.unionByName(again))
+
+
+@query
+def reprocess_all_errors(s: Source) -> DataFrame:
+    return f.reprocess_all_errors(_errors_of_two_runs(s), s.later_lookups, LINE_KEY, SECOND_RUN_TS)[0]
+
+
+@query
+def reprocess_all_marks(s: Source) -> DataFrame:
+    marked = f.reprocess_all_errors(_errors_of_two_runs(s), s.later_lookups, LINE_KEY, SECOND_RUN_TS)[1]
+    return marked.select("runid", *LINE_KEY, "l_quantity", "record_status")
+
+
 @query
 def revenue_fact(s: Source) -> DataFrame:
     out = documents.revenue_extract(s.revenue_tables, 27, "1996-01-01 00:00:00")

@@ -19,6 +19,7 @@ from lodestar.plans.load import (
     load_dimension,
     load_fact,
     load_hierarchy,
+    reprocess_all,
     reprocess_fact,
     run_jobs,
     seed_watermarks,
@@ -177,6 +178,35 @@ def test_superseded_errors_stay_out(spark, store, rows):
     assert rows(store.read("sales_error"), "runid", "record_status") == [(1, "SUPERSEDED"), (2, "RESOLVED")]
 
 
+def test_all_open_errors_are_driven_at_once(spark, store, rows):
+    for i, amount in ((1, 7.0), (2, 7.5)):
+        lines = [(11, 1, 3, amount, "LINE", T[i - 1]), (12 + i, 1, 3, 1.0 * i, "LINE", T[i - 1]), (20, 1, 99, amount, "LINE", T[i - 1])]
+        run_jobs(RunContext(store, i, T[i - 1]), jobs(spark, FIRST_ITEMS, [(10, 1, 1, 5.0, "LINE", T[0]), *lines]))
+    run_jobs(RunContext(store, 3, T[2]), jobs(spark, SECOND_ITEMS, [(10, 1, 1, 5.0, "LINE", T[0])]))
+    dims = {"items": store.read("items")}
+    run_jobs(RunContext(store, 4, T[3]), [Job("sales", lambda ctx: reprocess_all(ctx, SALES, dims), False)])
+    assert rows(store.read("sales").filter("doc in (11, 13, 14, 20)"), "doc", "amount") == [(11, 7.5), (13, 1.0), (14, 2.0)]
+    assert rows(store.read("sales_error"), "runid", "doc", "record_status") == [
+        (1, 11, "SUPERSEDED"), (1, 13, "RESOLVED"), (1, 20, "SUPERSEDED"),
+        (2, 11, "RESOLVED"), (2, 14, "RESOLVED"), (2, 20, "ERROR"),
+    ]
+    run_jobs(RunContext(store, 5, T[4]), [Job("sales", lambda ctx: reprocess_all(ctx, SALES, dims), False)])
+    assert rows(store.read("sales").filter("doc = 11 and dw_current = 1"), "amount") == [(7.5,)]
+
+
+def test_stacked_lookups_load_the_same_fact(spark, tmp_path, rows):
+    loaded = []
+    for name, spec in (("chain", SALES), ("stacked", dataclasses.replace(SALES, stacked=True))):
+        store = RunStore(spark, str(tmp_path / name))
+        for i in (0, 1):
+            lines = [(10, 1, 1, 5.0 + i, "LINE", T[i]), (11, 1, None, 6.0, "LINE", T[i]), (12, 1, 99, 7.0, "LINE", T[i])]
+            known = spark.createDataFrame([(1, 101), (-99, -99)], "item_id long, item_key long")
+            frame = spark.createDataFrame(lines, SALE_SCHEMA)
+            run_jobs(RunContext(store, i + 1, T[i]), [Job("sales", lambda c: load_fact(c, spec, frame, {"items": known}), False)])
+        loaded.append((rows(store.read("sales")), rows(store.read("sales_error"))))
+    assert loaded[0] == loaded[1] and loaded[0][0] and loaded[0][1]
+
+
 def test_hierarchy_load(spark, store, rows):
     df = spark.createDataFrame([(1, "top", "T", None), (2, "mid", "M", 1), (3, "low", "L", 2)], "id long, full_name string, name string, up long")
     ctx = RunContext(store, 1, T[0])
