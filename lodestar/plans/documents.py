@@ -9,7 +9,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,7 +36,7 @@ PO_FORMS = {
 ADDRESS_PARTS = ("address_line_1", "address_line_2", "address_line_3", "city", "country", "state", "zip")
 
 # Header columns carried along: result name -> source name. Columns a source does
-# not have are left out.
+# not have are left out where ``absent`` names them.
 HEADER = {
     "transaction_number": "transaction_number",
     "transaction_type": "transaction_type",
@@ -73,9 +73,17 @@ HEADER = {
 }
 
 
-def _headers(tables: Mapping[str, DataFrame], types: Sequence[str]) -> DataFrame:
+def _present(table: str, frame: DataFrame, wanted: Mapping[str, str], absent: Collection[str]) -> dict[str, str]:
+    """``wanted`` (output name -> source column) without the columns that ``absent`` names; others must be there."""
+    missing = sorted({c for c in wanted.values() if c not in frame.columns and c not in absent})
+    if missing:
+        raise ValueError(f"{table} lacks the columns {missing}; name those that the source does not have as absent")
+    return {out: c for out, c in wanted.items() if c in frame.columns}
+
+
+def _headers(tables: Mapping[str, DataFrame], types: Sequence[str], absent: Collection[str]) -> DataFrame:
     t = tables["transactions"].filter(F.col("transaction_type").isin(*types))
-    kept = {a: s for a, s in HEADER.items() if s in t.columns}
+    kept = _present("transactions", t, HEADER, absent)
     return t.select("transaction_id", *[F.col(s).alias(a) for a, s in kept.items()])
 
 
@@ -83,13 +91,10 @@ def _source_document(tables: Mapping[str, DataFrame], **take: str) -> Side:
     return Side(tables["transactions"], [(F.col("created_from_id"), "transaction_id")], take)
 
 
-def _address(tables: Mapping[str, DataFrame], kinds: Mapping[str, str]) -> Side:
+def _address(tables: Mapping[str, DataFrame], kinds: Mapping[str, str], absent: Collection[str]) -> Side:
     a = tables["transaction_address"]
-    take = {
-        f"{out}_{part}": f"{kind}_{part}" for kind, out in kinds.items() for part in ADDRESS_PARTS
-        if f"{kind}_{part}" in a.columns
-    }
-    return Side(a, [(F.col("transaction_id"), "transaction_id")], take)
+    wanted = {f"{out}_{part}": f"{kind}_{part}" for kind, out in kinds.items() for part in ADDRESS_PARTS}
+    return Side(a, [(F.col("transaction_id"), "transaction_id")], _present("transaction_address", a, wanted, absent))
 
 
 def _tax_and_account(tables: Mapping[str, DataFrame], **tax: str) -> list[Side]:
@@ -118,7 +123,9 @@ def _with_header(lines: DataFrame, headers: DataFrame, how: str = "inner") -> Da
     return lines.drop(*shared).join(headers, "transaction_id", how)
 
 
-def revenue_extract(tables: Mapping[str, DataFrame], subsidiary: Any, watermark: str | dt.datetime) -> DataFrame:
+def revenue_extract(
+    tables: Mapping[str, DataFrame], subsidiary: Any, watermark: str | dt.datetime, absent: Collection[str] = ()
+) -> DataFrame:
     """Order-to-cash lines of four document types in one pass.
 
     Each type has its own rule for the source document and its own line labels.
@@ -126,13 +133,13 @@ def revenue_extract(tables: Mapping[str, DataFrame], subsidiary: Any, watermark:
     attributes and the existence test.
     """
     headers = join_sides(
-        _headers(tables, list(REVENUE_SOURCES)),
+        _headers(tables, list(REVENUE_SOURCES), absent),
         [
             _source_document(
                 tables, ref_doc_number="transaction_number", ref_custom_form_id="custom_form_id",
                 __source_type="transaction_type",
             ),
-            _address(tables, {"bill": "bill", "ship": "ship"}),
+            _address(tables, {"bill": "bill", "ship": "ship"}, absent),
             Side(tables["customers"], [(F.col("entity_id"), "customer_id")], {"sales_rep_id": "sales_rep_id"}),
         ],
     )
@@ -155,13 +162,15 @@ def revenue_extract(tables: Mapping[str, DataFrame], subsidiary: Any, watermark:
     )
 
 
-def po_extract(tables: Mapping[str, DataFrame], subsidiary: Any, watermark: str | dt.datetime) -> DataFrame:
+def po_extract(
+    tables: Mapping[str, DataFrame], subsidiary: Any, watermark: str | dt.datetime, absent: Collection[str] = ()
+) -> DataFrame:
     """Purchase-order lines whose line or header was modified since the watermark."""
     headers = join_sides(
-        _headers(tables, ["Purchase Order"]),
+        _headers(tables, ["Purchase Order"], absent),
         [
             _source_document(tables, ref_trx_number="transaction_number", ref_trx_type="transaction_type"),
-            _address(tables, {"bill": "bill", "ship": "ship"}),
+            _address(tables, {"bill": "bill", "ship": "ship"}, absent),
         ],
     )
     since = ts_lit(watermark)
@@ -203,17 +212,18 @@ def vendor_bill_extract(
     subsidiary: Any,
     watermark: str | dt.datetime,
     forms: Mapping[int, str] | None = None,
+    absent: Collection[str] = (),
 ) -> DataFrame:
     """Vendor-bill lines with country names, terms and workflow exceptions.
 
     ``forms`` names the custom forms; an unlisted form is 'not available'.
     """
-    headers = _headers(tables, ["Bill"]).filter(F.col("header_last_modified") >= ts_lit(watermark))
+    headers = _headers(tables, ["Bill"], absent).filter(F.col("header_last_modified") >= ts_lit(watermark))
     headers = join_sides(
         headers,
         [
             _source_document(tables, ref_trx_number="transaction_number", ref_trx_type="transaction_type"),
-            _address(tables, {"bill": "vendor"}),
+            _address(tables, {"bill": "vendor"}, absent),
             Side(
                 tables["payment_terms"], [(F.col("payment_terms_id"), "payment_terms_id")], {"__terms": "payment_terms_id"}
             ),

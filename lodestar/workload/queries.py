@@ -34,6 +34,7 @@ from lodestar.sources.foreign_extract import read_foreign
 from lodestar.sources.ordered_extract import read_ordered_extract, write_ordered_extract
 from lodestar.sources.run_store import RunStore
 from lodestar.workload.fixtures import (
+    ABSENT,
     CUSTOMER,
     CUSTOMER_TYPE1,
     FACT_KEYS,
@@ -483,7 +484,7 @@ def reprocess_all_marks(s: Source) -> DataFrame:
 
 @query
 def revenue_fact(s: Source) -> DataFrame:
-    out = documents.revenue_extract(s.revenue_tables, 27, "1996-01-01 00:00:00")
+    out = documents.revenue_extract(s.revenue_tables, 27, "1996-01-01 00:00:00", ABSENT)
     return out.select(
         "document_number", "transaction_id", "transaction_line_id", "transaction_type", "ref_doc_number",
         "ref_custom_form_id", "customer_id", "sales_rep_id", "bill_country", "ship_city", "account_id", "item_id",
@@ -493,7 +494,7 @@ def revenue_fact(s: Source) -> DataFrame:
 
 @query
 def po_fact(s: Source) -> DataFrame:
-    out = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    out = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00", ABSENT)
     return out.select(
         "po_number", "transaction_id", "transaction_line_id", "ref_trx_number", "ref_trx_type", "vendor_id",
         "bill_address_line_1", "po_status", "po_type", "item_id", "item_count", "amount", "tax_amount",
@@ -504,7 +505,7 @@ def po_fact(s: Source) -> DataFrame:
 @query
 def vendor_bill_fact(s: Source) -> DataFrame:
     forms = {199: "Drop ship bill", 50: "Standard bill"}
-    out = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00", forms)
+    out = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00", forms, ABSENT)
     return out.select(
         "vb_number", "transaction_id", "transaction_line_id", "ref_trx_number", "vendor_id", "payment_terms_id",
         "account_name", "account_number", "vendor_address_line_1", "vendor_country", "tax_item_id", "tax_amount",
@@ -529,19 +530,19 @@ def _keys_of(spec: FactSpec, loaded: DataFrame, *more: str) -> DataFrame:
 
 @query
 def revenue_fact_load(s: Source) -> DataFrame:
-    prestage = documents.revenue_extract(s.revenue_tables, 27, "1996-01-01 00:00:00")
+    prestage = documents.revenue_extract(s.revenue_tables, 27, "1996-01-01 00:00:00", ABSENT)
     return _keys_of(REVENUE, _loaded(s, REVENUE, prestage), "quantity")
 
 
 @query
 def po_fact_load(s: Source) -> DataFrame:
-    prestage = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    prestage = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00", ABSENT)
     return _keys_of(PURCHASE_ORDERS, _loaded(s, PURCHASE_ORDERS, prestage), "quantity", "status")
 
 
 @query
 def vendor_bill_fact_load(s: Source) -> DataFrame:
-    prestage = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    prestage = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00", absent=ABSENT)
     return _keys_of(VENDOR_BILLS, _loaded(s, VENDOR_BILLS, prestage), "account_key", "source_transaction_number")
 
 
@@ -564,13 +565,13 @@ def _two_runs(spec: FactSpec, rows: DataFrame, amount: str) -> DataFrame:
 
 @query
 def po_fact_two_runs(s: Source) -> DataFrame:
-    rows = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    rows = documents.po_extract(s.purchase_tables, 27, "1998-01-01 00:00:00", ABSENT)
     return _two_runs(PURCHASE_ORDERS, rows, "amount")
 
 
 @query
 def vendor_bill_fact_two_runs(s: Source) -> DataFrame:
-    rows = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00")
+    rows = documents.vendor_bill_extract(s.purchase_tables, 27, "1998-01-01 00:00:00", absent=ABSENT)
     return _two_runs(VENDOR_BILLS, rows, "amount")
 
 

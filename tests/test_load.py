@@ -374,3 +374,11 @@ def test_only_compared_columns_make_a_version(spark, tmp_path, rows):
     assert rows(notes, "runid", "message_desc") == [(r, f"no of records updated --> {n}") for r, n in ((1, 0), (2, 0), (3, 1))]
     with pytest.raises(ValueError, match="lacks compared columns"):
         spec.compared(["doc", "line"])
+
+
+def test_an_extract_without_a_column_is_refused(spark):
+    from lodestar.plans.documents import po_extract
+
+    tables = {"transactions": spark.createDataFrame([(1, "Purchase Order")], "transaction_id long, transaction_type string")}
+    with pytest.raises(ValueError, match="transactions lacks the columns .*due_date"):
+        po_extract(tables, 27, T[0])
