@@ -128,7 +128,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(at, rows)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Slices whose ``column`` holds at most ``limit`` bytes of text, or one row."""
     from lodestar.llm.words import pieces
 
