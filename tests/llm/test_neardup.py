@@ -147,3 +147,10 @@ def test_components(spark, rows):
             up[max(x, y)] = min(x, y)
     assert rows(connected_components(frame.repartition(5)), "id", "component") == sorted((x, find(x)) for x in up)
     assert connected_components(frame.limit(0)).isEmpty()
+
+
+def test_blocks_bounded_by_shingles_lose_no_link(spark):
+    rows = made_rows()
+    docs = spark.createDataFrame([(i, t, "en", 0) for i, t in rows], SCHEMA)
+    got = near_duplicates(docs, 3, 85, block=1000, block_shingles=150).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 3, 85)
