@@ -1,24 +1,32 @@
 """Secret scans: base patterns, and automata that recognise credential formats.
 
 Base patterns find labelled credentials. From a bounded sample of them one probabilistic
-automaton per kind is inferred, and one of ordinary long tokens. Every token of the
+automaton per kind is inferred, and one of ordinary tokens. Every candidate of the
 corpus outside the base spans is then scored: it is a secret when some kind's automaton
 finds it as likely as its own credentials, and likelier than the ordinary one by a margin.
 
+Candidates have the least length of a labelled credential, six symbols. They are whole tokens,
+what ``=`` separates in them, and what ``=``, ``/`` and ``.`` separate; the widest that is a
+secret is the span. A credential whose own ``/`` or ``.`` is glued to a prefix by the same sign is
+judged in its parts only.
+
 Defined cases: a null text is an empty one, without spans. Spans are in code points, end
-exclusive. Equal texts have equal spans. A kind with few labelled credentials
-(:data:`LEAST_LABELLED`) has no automaton and adds nothing. Columns besides the text are kept as
-they are, whatever their names.
+exclusive. Equal texts have equal spans. A kind without labelled credentials has no automaton and
+adds nothing. Columns besides the text are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -29,40 +37,42 @@ from lodestar.llm.words import runs, text_bytes
 KINDS = ("assign", "access", "hex")
 #: Kind of the spans that the automata add.
 ADDED = "format"
-#: Distinct values of each class that the automata are learnt from at most, and their longest.
+#: Distinct values of each class that the automata are learnt from at most; a longer value counts as its stretches of so many symbols.
 LEARN_VALUES, LEARN_CHARS = 600, 200
-#: Natural-log margin for each symbol over the automaton of ordinary tokens.
-MARGIN = 1.0
+#: Natural-log margin over the automaton of ordinary tokens: for each symbol, and in all.
+MARGIN, EVIDENCE = 1.0, 16.0
+#: Least length of a candidate, that of a labelled credential.
+LEAST_CHARS = 6
+#: Verdicts on tokens that a task remembers, and the longest token it remembers one of.
+REMEMBERED, REMEMBERED_CHARS = 1 << 16, 64
 
 _ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
 # greedy runs of a class are maximal, so the least lengths can stand in the pattern
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+_TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
+#: What separates the candidates within a token, level by level.
+_PARTS = (re.compile(r"[^=]+"), re.compile(r"[^=/.]+"))
 _NAMES = ("passw", "secret", "token", "apikey", "api_key")
 
 _TOKEN_BYTE = np.zeros(256, dtype=bool)
 _TOKEN_BYTE[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_.=-"]] = True
-#: Least length of a token that is scored; base spans without a name are longer.
-TOKEN_CHARS = 16
-#: Labelled credentials that a kind needs for an automaton.
-LEAST_LABELLED = 20
+#: Least length of a base span without a name.
+UNNAMED_CHARS = 20
 
 Span = tuple[str, int, int]
 
 
-def texts_worth_reading(texts: pa.Array) -> list[str]:
-    """The texts, empty where neither a long token nor a name of a secret stands in them."""
+def texts_with_base(texts: pa.Array) -> list[bool]:
+    """Whether a long token or a name of a secret stands in a text, without which it has no base span."""
     data, offsets = text_bytes(texts)
     start, end, rows = runs(data, offsets, _TOKEN_BYTE)
-    long = np.concatenate([[0], np.cumsum(end - start >= TOKEN_CHARS)])
-    has_long = long[rows[1:]] > long[rows[:-1]]
-    out = []
-    for text, worth in zip(texts.to_pylist(), has_long.tolist()):
-        if text and not worth:
+    long = np.concatenate([[0], np.cumsum(end - start >= UNNAMED_CHARS)])
+    out = (long[rows[1:]] > long[rows[:-1]]).tolist()
+    for i, text in enumerate(texts.to_pylist()):
+        if text and not out[i]:
             low = text.lower()
-            worth = any(name in low for name in _NAMES)
-        out.append(text if text and worth else "")
+            out[i] = any(name in low for name in _NAMES)
     return out
 
 
@@ -74,19 +84,46 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def _outside(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Tokens that no base span touches."""
-    at = 0
-    ends = sorted((a, b) for _, a, b in base)
-    for m in _TOKEN.finditer(text):
-        a, b = m.span()
-        a, b = b - len(m[0].lstrip("+/_.=-")), a + len(m[0].rstrip("+/_.-"))
-        if b - a < TOKEN_CHARS:
+def _trimmed(token: str, a: int, b: int) -> tuple[int, int]:
+    """``a:b`` without signs that close a sentence or stand around a value."""
+    part = token[a:b]
+    return b - len(part.lstrip("+/_.=-")), a + len(part.rstrip("+/_.-"))
+
+
+def token_spans(token: str, is_secret: Callable[[str], bool], free: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+    """Widest candidates of a token that are secrets; only those that are ``free`` are judged."""
+    todo, judged, found = [(0, len(token), 0)], set(), []
+    while todo:
+        low, high, level = todo.pop()
+        a, b = _trimmed(token, low, high)
+        if b - a < LEAST_CHARS:
             continue
-        while at < len(ends) and ends[at][1] <= a:
-            at += 1
-        if not any(x < b and y > a for x, y in ends[at : at + 4]):
-            yield a, b
+        if (a, b) not in judged and (free is None or free(a, b)):
+            judged.add((a, b))
+            if is_secret(token[a:b]):
+                found.append((a, b))
+                continue
+        if level < len(_PARTS):
+            todo += [(*m.span(), level + 1) for m in _PARTS[level].finditer(token, low, high)]
+    return sorted(found)
+
+
+class _Taken:
+    """Stretches of a text that base spans cover."""
+
+    def __init__(self, base: list[Span]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted((a, b) for _, a, b in base):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(b, self.ends[-1])
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def touches(self, a: int, b: int) -> bool:
+        at = bisect_right(self.ends, a)
+        return at < len(self.starts) and self.starts[at] < b
 
 
 @dataclass
@@ -98,41 +135,90 @@ class FormatModel:
 
     def is_secret(self, value: str) -> bool:
         plain = self.ordinary.likelihood(value) if self.ordinary else -20.0
-        for automaton, least in self.kinds.values():
+        least = max(MARGIN, EVIDENCE / (len(value) + 1))
+        for automaton, own_least in self.kinds.values():
             own = automaton.likelihood(value)
-            if own >= least and own - plain >= MARGIN:
+            if own >= own_least and own - plain >= least:
                 return True
         return False
 
 
+class Scanner:
+    """Spans of texts by a model; verdicts on short tokens are remembered, as words repeat."""
+
+    def __init__(self, model: FormatModel) -> None:
+        self.model = model
+        self._remembered = lru_cache(REMEMBERED)(self._judge)
+
+    def _judge(self, token: str) -> list[tuple[int, int]]:
+        return token_spans(token, self.model.is_secret)
+
+    def _of(self, token: str) -> list[tuple[int, int]]:
+        return self._remembered(token) if len(token) <= REMEMBERED_CHARS else self._judge(token)
+
+    def spans(self, text: str, may_have_base: bool = True) -> list[Span]:
+        """Base spans of ``text`` and those the automata add, by start and kind."""
+        base = base_spans(text) if may_have_base else []
+        if not self.model.kinds:
+            return base
+        hits = {t: found for t in set(_TOKEN.findall(text)) if (found := self._of(t))}
+        if not base and not hits:
+            return base
+        taken, added = _Taken(base), []
+        for m in _TOKEN.finditer(text):
+            at = m.start()
+            if taken.touches(at, m.end()):
+                found = token_spans(m[0], self.model.is_secret, lambda a, b, at=at: not taken.touches(at + a, at + b))
+            else:
+                found = hits.get(m[0], ())
+            added += [(ADDED, at + a, at + b) for a, b in found]
+        order = (*KINDS, ADDED)
+        return sorted(base + added, key=lambda s: (s[1], order.index(s[0])))
+
+
 def all_spans(text: str, model: FormatModel) -> list[Span]:
-    base = base_spans(text)
-    if not model.kinds:
-        return base
-    added = [(ADDED, a, b) for a, b in _outside(text, base) if model.is_secret(text[a:b])]
-    order = (*KINDS, ADDED)
-    return sorted(base + added, key=lambda s: (s[1], order.index(s[0])))
-
-
-def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, "text"):
-        found = set()
-        for text in texts_worth_reading(batch.column("text")):
-            if text:
-                base = base_spans(text)
-                for kind, a, b in base:
-                    value = _ASSIGN.match(text, a)[2] if kind == "assign" else text[a:b]
-                    found.add((kind, value))
-                found.update(("ordinary", text[a:b]) for a, b in _outside(text, base))
-        kept = [(k, v) for k, v in found if len(v) <= LEARN_CHARS]
-        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in kept], pa.string()) for i in (0, 1)], ["kind", "value"])
+    return Scanner(model).spans(text)
+
+
+def _values(text: str, may_have_base: bool) -> Iterator[tuple[str, str]]:
+    base = base_spans(text) if may_have_base else []
+    for kind, a, b in base:
+        yield kind, _ASSIGN.match(text, a)[2] if kind == "assign" else text[a:b]
+    taken = _Taken(base)
+    tokens = (m[0] for m in _TOKEN.finditer(text) if not taken.touches(*m.span())) if base else set(_TOKEN.findall(text))
+    for token in tokens:
+        a, b = _trimmed(token, 0, len(token))
+        if b - a >= LEAST_CHARS:
+            yield "ordinary", token[a:b]
+
+
+def _least(found: Iterable[str], values: int) -> list[tuple[int, str]]:
+    return nsmallest(values, ((xxhash.xxh64_intdigest(v) >> 1, v) for v in found))
+
+
+def _labelled(values: int):
+    # the least hashes of all rows are among the least ones of their tasks
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[str, list[tuple[int, str]]] = {}
+        for batch in small_batches(batches, "text"):
+            found: dict[str, set[str]] = {}
+            for text, may in zip(batch.column("text").to_pylist(), texts_with_base(batch.column("text"))):
+                for kind, value in _values(text, may) if text else ():
+                    found.setdefault(kind, set()).update(value[i : i + LEARN_CHARS] for i in range(0, len(value), LEARN_CHARS))
+            for kind, new in found.items():
+                best[kind] = _least(new.union(v for _, v in best.get(kind, ())), values)
+        rows = [(kind, value, h) for kind, kept in best.items() for h, value in kept]
+        columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["kind", "value", "h"])
+
+    return run
 
 
 def learn_formats(docs: DataFrame, values: int = LEARN_VALUES) -> FormatModel:
     """Automata from at most ``values`` distinct values of each class, chosen by hash from all documents."""
     bound_arrow_batches(docs.sparkSession)
-    found = docs.select("text").mapInArrow(_labelled, "kind string, value string").distinct()
-    found = found.withColumns({"h": F.xxhash64("value"), "part": F.pmod(F.xxhash64("value"), F.lit(64))})
+    found = docs.select("text").mapInArrow(_labelled(values), "kind string, value string, h long").distinct()
+    found = found.withColumn("part", F.pmod(F.col("h"), F.lit(64)))
     # first within parts of a kind, so that a common kind is not ranked by one task
     for group in (("kind", "part"), ("kind",)):
         order = Window.partitionBy(*group).orderBy("h", "value")
@@ -143,7 +229,7 @@ def learn_formats(docs: DataFrame, values: int = LEARN_VALUES) -> FormatModel:
         by.setdefault(r["kind"], []).append(r["value"])
     model = FormatModel(ordinary=learn(by["ordinary"]) if "ordinary" in by else None)
     for kind in KINDS:
-        if len(by.get(kind, ())) >= LEAST_LABELLED:
+        if kind in by:
             automaton = learn(by[kind])
             scores = sorted(automaton.likelihood(v) for v in by[kind])
             model.kinds[kind] = (automaton, scores[len(scores) // 100])
@@ -155,11 +241,12 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end
 
 def _scan(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: FormatModel = shared.value
+        scanner = Scanner(shared.value)
         for batch in small_batches(batches, "text"):
+            texts = batch.column("text")
             spans = [
-                [{"kind": k, "start": a, "end": b} for k, a, b in all_spans(t, model)] if t else []
-                for t in texts_worth_reading(batch.column("text"))
+                [{"kind": k, "start": a, "end": b} for k, a, b in scanner.spans(t, may)] if t else []
+                for t, may in zip(texts.to_pylist(), texts_with_base(texts))
             ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, _SPANS)], ["doc_id", "spans"])
 
@@ -186,12 +273,12 @@ def redact(text: str, spans: list[Span]) -> str:
 
 def _redacting(shared: Broadcast, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: FormatModel = shared.value
+        scanner = Scanner(shared.value)
         for batch in small_batches(batches, column):
             texts = batch.column(column).to_pylist()
-            for i, text in enumerate(texts_worth_reading(batch.column(column))):
-                if text:
-                    texts[i] = redact(text, all_spans(text, model))
+            for i, may in enumerate(texts_with_base(batch.column(column))):
+                if texts[i]:
+                    texts[i] = redact(texts[i], scanner.spans(texts[i], may))
             at = batch.schema.get_field_index(column)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 

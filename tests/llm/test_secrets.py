@@ -11,7 +11,7 @@ import pytest
 
 from lodestar.llm.automata import learn
 from lodestar.llm.secrets import (
-    ADDED, FormatModel, all_spans, base_spans, learn_formats, redact, redact_secrets, secret_spans, texts_worth_reading,
+    ADDED, FormatModel, all_spans, base_spans, learn_formats, redact, redact_secrets, secret_spans, texts_with_base,
 )
 
 SCHEMA = "doc_id long, text string, spans string, kind int"
@@ -38,9 +38,9 @@ def random_text(rng):
 def test_base_spans_equal_the_plain_rules():
     rng = random.Random(4)
     texts = [random_text(rng) for _ in range(4000)]
-    for text, kept in zip(texts, texts_worth_reading(pa.array(texts))):
+    for text, may in zip(texts, texts_with_base(pa.array(texts))):
         assert base_spans(text) == plain(text)
-        assert kept == text or not plain(text)
+        assert may or not plain(text)
 
 
 def test_redaction_keeps_the_rest():
@@ -92,3 +92,67 @@ def test_without_credentials_nothing_is_added(spark):
     assert learn_formats(frame).kinds == {} and learn_formats(frame.limit(0)) == FormatModel()
     assert secret_spans(frame, FormatModel()).first()["spans"] == []
     assert secret_spans(frame.limit(0), FormatModel()).isEmpty()
+
+
+def mean_likelihood(automaton, value):
+    state, logs = 0, []
+    for c in value:
+        state, p = automaton.moves[state].get(c, (state, math.log(1e-6)))
+        logs.append(p)
+    return sum([*logs, automaton.ends[state]]) / (len(value) + 1)
+
+
+def plain_added(text, model):
+    """Likelihood of every candidate outside the base spans, one by one, the widest first."""
+    taken = {i for _, a, b in plain(text) for i in range(a, b)}
+    found = set()
+    for signs in ("", "=", "=/."):
+        for m in re.finditer("[A-Za-z0-9+/_.=-]{6,}", text):
+            ends = [i for i in range(m.start(), m.end()) if text[i] in signs]
+            for a, b in zip([m.start(), *[i + 1 for i in ends]], [*ends, m.end()]):
+                while a < b and text[a] in "+/_.=-":
+                    a += 1
+                while a < b and text[b - 1] in "+/_.-":
+                    b -= 1
+                if b - a < 6 or taken & set(range(a, b)) or any(x <= a and b <= y for x, y in found):
+                    continue
+                rest = mean_likelihood(model.ordinary, text[a:b])
+                own = [(mean_likelihood(k, text[a:b]), least) for k, least in model.kinds.values()]
+                if any(o >= least and o - rest >= max(1.0, 16.0 / (b - a + 1)) for o, least in own):
+                    found.add((a, b))
+    return sorted(found)
+
+
+def test_added_spans_equal_those_of_every_candidate_judged_alone(spark, corpus):
+    model = learn_formats(spark.createDataFrame(corpus, SCHEMA))
+    rng = random.Random(11)
+    parts = ["0123456789abcdef", "deadbeef00", "a1b2c3d4e5f6a7b8c9d0", "wort", "host", "=", "=", "/", ".", " ", " ", "-", "token: "]
+    parts += ["\n", "é", "AKIA", "0f9e8d7c6b5a"]
+    seen = 0
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        added = [(a, b) for kind, a, b in all_spans(text, model) if kind == ADDED]
+        assert added == plain_added(text, model), text
+        seen += len(added)
+    assert seen > 300
+
+
+def test_glued_and_short_credentials_are_found(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("ghijklmnoprstuvw") for _ in range(rng.randint(4, 20))) for _ in range(900)]
+    short = ["".join(rng.choice("0123456789") + rng.choice("QXZ") for _ in range(4)) for _ in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=30)) + f" password: {k} ok", None, None) for i, k in enumerate(short)]
+    model = learn_formats(spark.createDataFrame(rows, SCHEMA))
+    value = "7Q1X4Z9Q"
+    for before in ("bare ", "auth=", "DB_KEY=", "https://host/", "a.b/c="):
+        at = len(before)
+        assert all_spans(f"{before}{value} end", model) == [(ADDED, at, at + 8)], before
+    assert all_spans(" ".join(words), model) == []
+
+
+def test_one_labelled_value_and_long_values_are_learnt(spark):
+    text = "many ordinary words around token=" + "0123456789ABCDEF" * 40
+    model = learn_formats(spark.createDataFrame([(1, text, None, None)], SCHEMA))
+    assert set(model.kinds) == {"assign"}
+    assert all_spans("auth=" + "FEDCBA9876543210" * 40, model) == [(ADDED, 5, 645)]
+    assert all_spans("many ordinary words around", model) == []
