@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -70,16 +70,21 @@ def _spread_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch.set_column(1, "text", pa.array(texts, batch.schema.field("text").type))
 
 
-def spread_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, total_bytes: int) -> tuple[list[str], list[int]]:
+def spread_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, total_bytes: int, columns: Sequence[Column] = ()
+) -> tuple[list, ...]:
     """Texts and labels of at most ``per_class`` training ids of each class, with ``total_bytes`` of text a class.
 
+    With ``columns`` a third item holds the tuples of their values.
+
     No text is left out by its length. Ids are chosen by their hash from those that have a
     text. Where a class has more bytes, its longest texts come down to one size, and are
     read in stretches over their whole length (:func:`spread`). Held-out and null ids, and ids with contradicting
     labels, are not learnt.
     """
     bound_arrow_batches(docs.sparkSession)
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    names = [f"m{i}" for i in range(len(columns))]
+    texts = docs.select("doc_id", "text", *[c.alias(n) for c, n in zip(columns, names)]).filter(F.col("text").isNotNull())
     sized = texts.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long")).alias("size"))
     known = _learnable(labels, label).join(sized, "doc_id")
     chosen = []
@@ -89,10 +94,10 @@ def spread_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int
         chosen += [(r["doc_id"], y, r["size"] if r["size"] <= level else level // r["n"]) for r in rows]
     kind = docs.schema["doc_id"].dataType.simpleString()
     ids = docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, y int, most long")
-    found = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y", "most")
+    found = texts.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y", "most", *names)
     rows = found.mapInArrow(_spread_texts, found.schema).collect()
-    rows = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows})
-    return [r[1] for r in rows], [r[2] for r in rows]
+    rows = sorted({(r["doc_id"], r["text"], r["y"], tuple(r[n] for n in names)) for r in rows}, key=lambda r: (r[:3], repr(r[3])))
+    return ([r[1] for r in rows], [r[2] for r in rows], *([[r[3] for r in rows]] if names else []))
 
 
 def bound_arrow_batches(spark: SparkSession) -> None:

@@ -17,7 +17,7 @@ from lodestar.llm.licenses import license_spans
 from lodestar.llm.linededup import dedup_lines
 from lodestar.llm.merkle import build_manifest, fold, proof_digest, row_digest
 from lodestar.llm.neardup import near_duplicates
-from lodestar.llm.quality import FIT_BYTES as QUALITY_BYTES, FIT_ROWS as QUALITY_ROWS, fit_quality, quality_score
+from lodestar.llm.quality import FIT_BYTES as QUALITY_BYTES, FIT_ROWS as QUALITY_ROWS, fit_quality, metadata_columns, quality_score
 from lodestar.llm.secrets import KINDS, learn_formats, secret_spans
 from lodestar.llm.tokencount import count_tokens
 from lodestar.llm.toxicity import FIT_BYTES, FIT_ROWS as TOXIC_ROWS, fit_toxicity, toxicity_score
@@ -86,8 +86,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit_quality(*spread_sample(docs, table(spark, sf_dir, "labels"), "quality", QUALITY_ROWS, QUALITY_BYTES))
-    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_score(model, F.col("text")).alias("score"))
+    metadata = metadata_columns(docs)
+    model = fit_quality(*spread_sample(docs, table(spark, sf_dir, "labels"), "quality", QUALITY_ROWS, QUALITY_BYTES, metadata))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality_score(model, F.col("text"), metadata).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from lodestar.llm.common import held_out, spread_sample
-from lodestar.llm.quality import fit_quality, featurise, quality_score
+from lodestar.llm.quality import fit_quality, featurise, metadata_columns, quality_score
 from lodestar.llm.toxicity import ToxicityModel, fit_toxicity, make_windows, toxicity_score
 from pyspark.sql import functions as F
 
@@ -116,3 +118,20 @@ def test_accuracy_on_the_held_out_documents(spark, label, fit):
     rows = docs.join(labels, "doc_id").filter(held_out(F.col("doc_id"))).select("text", label).collect()
     score = model.score(pa.array([r["text"] for r in rows]))
     assert ((score >= 0.5) == np.array([r[label] for r in rows])).mean() > 0.95
+
+
+def test_metadata_takes_part_and_odd_values_have_bins(spark):
+    rng = random.Random(12)
+    rows = [(i, "the same words", rng.choice([None, 1, 5]) if i % 2 else rng.choice([90, 100]), "a" if i % 4 else None, i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, site string, quality int")
+    labels = docs.select("doc_id", "quality")
+    columns = metadata_columns(docs, ("n_chars", "site", "absent"))
+    assert len(columns) == 2 and metadata_columns(docs) and not metadata_columns(labels)
+    model = fit_quality(*spread_sample(docs, labels, "quality", 100, 1 << 20, columns))
+    found = docs.select("quality", quality_score(model, F.col("text"), columns).alias("s")).collect()
+    assert all((r["s"] >= 0.5) == (r["quality"] == 1) for r in found)
+    odd = spark.createDataFrame([("", None, ""), (None, -5, "é"), ("x " * 50_000, 2**31 - 1, None)], "text string, n_chars int, site string")
+    assert all(0 <= r[0] <= 1 for r in odd.select(quality_score(model, F.col("text"), metadata_columns(odd, ("n_chars", "site")))).collect())
+    for name in ("lang", "source", "doc_id", "Quality"):
+        with pytest.raises(ValueError, match="not to be learnt"):
+            metadata_columns(docs, (name,))

@@ -17,7 +17,7 @@ from test_neardup import brute as brute_groups
 from __spark_entry__ import oracle_sql, queries
 from lodestar.llm.bpe import read_ranks
 from lodestar.llm.common import spread_sample
-from lodestar.llm.quality import FIT_BYTES, FIT_ROWS, fit_quality
+from lodestar.llm.quality import FIT_BYTES, FIT_ROWS, fit_quality, metadata_columns
 from lodestar.llm.secrets import all_spans, learn_formats, redact
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,8 +46,8 @@ def test_every_stage(spark, tmp_path):
         after = by_id(out)
         ids = sorted(before)
         if name == "quality":
-            model = fit_quality(*spread_sample(docs, labels, "quality", FIT_ROWS, FIT_BYTES))
-            score = model.score(pa.array([before[i]["text"] for i in ids]))
+            model = fit_quality(*spread_sample(docs, labels, "quality", FIT_ROWS, FIT_BYTES, metadata_columns(docs)))
+            score = model.score(pa.array([before[i]["text"] for i in ids]), [[before[i]["n_chars"] for i in ids]])
             assert sorted(after) == [i for i, s in zip(ids, score) if s >= 0.3] and len(after) > 0.7 * len(before)
         elif name == "near_dedup":
             assert sorted(after) == [r[0] for r in brute_groups([(i, before[i]["text"]) for i in ids], 5, 80) if r[3]]
