@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from functools import reduce
+from graphlib import TopologicalSorter
 from operator import or_
 from typing import Any
 
@@ -80,6 +81,25 @@ class RunContext:
         return {table: Published({f"run{self.run_id}": self.path(table)}, ())}
 
 
+@dataclass(frozen=True)
+class ReplayContext(RunContext):
+    """An earlier run loaded again: it starts from ``state`` and writes below the run that replays it."""
+
+    state: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    folder: str = ""
+
+    def before(self, table: str, wanted: Callable[[str], bool] | None = None) -> DataFrame | None:
+        return self.store.read_parts(self.state.get(table, {}), wanted)
+
+    latest = before
+
+    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        return self.store.write_to(df, self.path(table), partition_by)
+
+    def path(self, table: str) -> str:
+        return f"{self.store.root}/{table}/{self.folder}"
+
+
 Loaded = tuple[dict[str, Published], DataFrame]
 
 
@@ -171,7 +191,9 @@ def load_dimension(
         merged = scd_merge(dim, moved, spec, ctx.run_ts, ctx.expire_offset, ctx.delete_scope)
     if seed:
         merged = seed_default_members(merged, default_members(spec, merged), spec.target(spec.key))
-    return {**staged, **rejected, **ctx.whole(merged, spec.name)}, told
+    # the image of the run, should it be replayed: the stage as it is now, nothing is written twice
+    received = {f"received_{spec.name}": Published({f"run{ctx.run_id}": ctx.path(f"stage_{spec.name}")}, ())}
+    return {**received, **staged, **rejected, **ctx.whole(merged, spec.name)}, told
 
 
 def _touched(spec: FactSpec, rows: DataFrame) -> list[str]:
@@ -219,7 +241,8 @@ def load_fact(
     read their share without repeating the lookups.
     """
     keys = list(spec.key)
-    raw = ctx.write(prestage, f"received_{spec.name}")
+    received = ctx.append(prestage, f"received_{spec.name}")
+    raw = ctx.store.spark.read.schema(prestage.schema).parquet(ctx.path(f"received_{spec.name}"))
     rejected, null_keys = _reject_null_keys(ctx, spec.name, raw, keys)
     prestage = ctx.write(latest_per_key(raw.filter(~_null_key(keys)), keys, order), f"prestage_{spec.name}")
     touched = _touched(spec, prestage)
@@ -242,7 +265,7 @@ def load_fact(
         merged = fact_merge(fact, valid, changes, keys, ctx.run_ts, ctx.expire_offset)
     loaded = _write_fact(ctx, spec, merged, touched)
     told = _counted(ctx, counts, raw.count(), null_keys)
-    return {**staged, **loaded, **rejected, **ctx.append(errors, f"{spec.name}_error")}, told
+    return {**received, **staged, **loaded, **rejected, **ctx.append(errors, f"{spec.name}_error")}, told
 
 
 def supersede_errors(
@@ -324,6 +347,80 @@ def reprocess_all(ctx: RunContext, spec: FactSpec, dims: Mapping[str, DataFrame]
     return {**loaded, table: Published(parts, tuple(parts))}, counts
 
 
+def _replay(
+    ctx: RunContext, tables: Sequence[str], runs: Sequence[RunContext], load: Callable[[ReplayContext, RunContext], Loaded]
+) -> Loaded:
+    """Load ``runs`` again one after the other, the first from the state before it; the counts are the first one's."""
+    base = ctx.store.published(runs[0].run_id)
+    state = {t: base.get(t, {}) for t in tables}
+    counts = None
+    for run in runs:
+        folder = f"run{ctx.run_id}/attempt{ctx.attempt}/replay{run.run_id}"
+        settings = {f.name: getattr(run, f.name) for f in fields(RunContext)}
+        written, told = load(ReplayContext(**settings | {"store": ctx.store}, state=state, folder=folder), run)
+        state |= {t: change.applied(state.get(t, {})) for t, change in written.items()}
+        counts = told if counts is None else counts
+    return {t: Published(parts) for t, parts in state.items()}, counts
+
+
+def _received(ctx: RunContext, table: str, runs: Sequence[RunContext]) -> tuple[list[RunContext], dict[str, str]]:
+    """``runs`` in order, and what they have received; the first and all later loads have to be among them."""
+    runs = sorted(runs, key=lambda r: r.run_id)
+    parts = ctx.store.published(ctx.run_id).get(table, {})
+    want = [r for r in sorted(int(p.removeprefix("run")) for p in parts) if r >= runs[0].run_id]
+    if [r.run_id for r in runs] != want:
+        raise ValueError(f"a replay from run {runs[0].run_id} takes the runs {want} of {table}")
+    return runs, parts
+
+
+def replay_dimension(
+    ctx: RunContext, spec: DimSpec, runs: Sequence[RunContext], prestage: DataFrame, **options: Any
+) -> Loaded:
+    """Load an older run of a dimension anew from ``prestage`` and the later ones on top of it.
+
+    ``runs`` are the contexts of the older run and of every later load of the dimension. The later
+    images are the stages of their runs, so no source is asked again; ``options`` go to
+    :func:`load_dimension` for the older run, and ``seed`` for all. The result is that
+    of the runs in their order with the right image in place of the first, surrogate keys
+    included. It is published as part of the run of ``ctx``; facts loaded since keep their keys.
+    """
+    received = f"received_{spec.name}"
+    runs, parts = _received(ctx, received, runs)
+
+    def load(again: ReplayContext, run: RunContext) -> Loaded:
+        if run is runs[0]:
+            return load_dimension(again, spec, prestage, **options)
+        rows = ctx.store.read_parts(parts, f"run{run.run_id}".__eq__)
+        return load_dimension(again, spec, rows, seed=options.get("seed", False))
+
+    return _replay(ctx, (received, f"stage_{spec.name}", spec.name, f"{spec.name}_rejected"), runs, load)
+
+
+def replay_fact(
+    ctx: RunContext,
+    spec: FactSpec,
+    runs: Sequence[RunContext],
+    prestage: DataFrame,
+    dims: Callable[[RunContext], Mapping[str, DataFrame]],
+    order: str = "date_last_modified",
+) -> Loaded:
+    """Load an older run of a fact anew from ``prestage``, and the increments received since on top of it.
+
+    ``runs`` are the contexts of the older run and of every later load of the fact, ``dims`` gives
+    the dimensions a run looks keys up in (``store.read(name, run_id + 1)`` for those of its time). Errors that were
+    driven again since are open once more: :func:`reprocess_all` drives them.
+    """
+    received = f"received_{spec.name}"
+    runs, parts = _received(ctx, received, runs)
+
+    def load(again: ReplayContext, run: RunContext) -> Loaded:
+        rows = prestage if run is runs[0] else ctx.store.read_parts(parts, f"run{run.run_id}".__eq__)
+        return load_fact(again, spec, rows, dims(run), order)
+
+    tables = (received, f"stage_{spec.name}", spec.name, f"{spec.name}_error", f"{spec.name}_rejected")
+    return _replay(ctx, tables, runs, load)
+
+
 def load_hierarchy(
     ctx: RunContext,
     name: str,
@@ -356,13 +453,15 @@ class Job:
     """One entity of a run: a name and the call that loads it.
 
     ``watermark`` names the fact and the interval it was extracted for; without a start
-    the interval begins at the watermark itself.
+    the interval begins at the watermark itself. ``needs`` are the entities it uses; without them a
+    fact is taken to use every dimension of the run, a dimension nothing.
     """
 
     entity: str
     load: Callable[[RunContext], Loaded]
     is_dimension: bool = True
     watermark: tuple[str, str | dt.datetime | None, str | dt.datetime] | None = None
+    needs: Sequence[str] | None = None
 
 
 def _watermark_before(ctx: RunContext, fact: str) -> dt.datetime:
@@ -397,11 +496,20 @@ class RunResult:
     published: dict[str, Published] = field(default_factory=dict)
 
 
+def _in_order(jobs: Sequence[Job]) -> list[tuple[Job, list[str]]]:
+    """Jobs after what they need, each with those of its needs that are part of the run; dimensions first."""
+    by = {j.entity: j for j in [*[j for j in jobs if j.is_dimension], *[j for j in jobs if not j.is_dimension]]}
+    dimensions = [e for e, j in by.items() if j.is_dimension]
+    default = {True: [], False: dimensions}
+    needs = {e: [n for n in (default[j.is_dimension] if j.needs is None else j.needs) if n in by] for e, j in by.items()}
+    return [(by[e], needs[e]) for e in TopologicalSorter(needs).static_order()]
+
+
 def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | None = None, mode: str = "normal") -> RunResult:
     """Load entities in order and publish what they wrote together with the logs.
 
-    A failing entity does not stop the others, but once a dimension has failed no
-    fact is loaded. Watermarks move only for facts that were loaded, and in the
+    A failing entity does not stop the others, only those that need it, directly or by
+    way of others (:class:`Job`). Watermarks move only for facts that were loaded, and in the
     same publication; a fact without a watermark entry fails before it is loaded.
     ``entities`` restricts the run. With the id of the newest run and a further attempt
     it repeats part of it: those entities start from the state before the run, the others
@@ -413,13 +521,11 @@ def run_jobs(ctx: RunContext, jobs: Sequence[Job], entities: Sequence[str] | Non
     wanted = [j for j in jobs if entities is None or j.entity in entities]
     watermarks = ctx.latest("watermarks")
     times: dict[str, tuple[dt.datetime, dt.datetime]] = {}
-    for job in [*[j for j in wanted if j.is_dimension], *[j for j in wanted if not j.is_dimension]]:
-        blocked = not job.is_dimension and any(
-            result.status.get(j.entity) == control.ERROR for j in wanted if j.is_dimension
-        )
-        if blocked:
+    for job, needs in _in_order(wanted):
+        failed = [n for n in needs if result.status[n] == control.ERROR]
+        if failed:
             result.status[job.entity] = control.ERROR
-            result.errors[job.entity] = "not loaded: a dimension failed"
+            result.errors[job.entity] = f"not loaded: {', '.join(failed)} failed"
             continue
         started = _now()
         try:

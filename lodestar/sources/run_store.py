@@ -34,6 +34,12 @@ class Published:
     replaces: Sequence[str] | None = None
 
 
+    def applied(self, parts: Mapping[str, str]) -> dict[str, str]:
+        """Parts of the table after this change of ``parts``."""
+        kept = {} if self.replaces is None else parts
+        return {p: path for p, path in kept.items() if p not in (self.replaces or ())} | dict(self.paths)
+
+
 @dataclass(frozen=True)
 class RunStore:
     """Tables under ``root``, a folder all executors share."""
@@ -82,7 +88,9 @@ class RunStore:
         self, table: str, before: int | None = None, wanted: Callable[[str], bool] | None = None
     ) -> DataFrame | None:
         """The published state of a table or of some of its parts; None if there is nothing."""
-        parts = self.published(before).get(table, {})
+        return self.read_parts(self.published(before).get(table, {}), wanted)
+
+    def read_parts(self, parts: Mapping[str, str], wanted: Callable[[str], bool] | None = None) -> DataFrame | None:
         paths = [path for part, path in sorted(parts.items()) if wanted is None or wanted(part)]
         return self.spark.read.parquet(*paths) if paths else None
 
@@ -95,7 +103,9 @@ class RunStore:
         With ``partition_by`` the rows are rebalanced by those columns first: few files
         per folder, and a large folder is still written by several tasks.
         """
-        path = self.path(table, run_id, attempt)
+        return self.write_to(df, self.path(table, run_id, attempt), partition_by)
+
+    def write_to(self, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
         rows = df.hint("rebalance", *partition_by) if partition_by else df
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -115,9 +125,7 @@ class RunStore:
         before = self.published(run_id)
         state = before | self.own(run_id)
         for name, change in tables.items():
-            base = (state if amend else before).get(name, {})
-            old = {} if change.replaces is None else base
-            state[name] = {p: path for p, path in old.items() if p not in (change.replaces or ())} | dict(change.paths)
+            state[name] = change.applied((state if amend else before).get(name, {}))
         rows = [(name, part, path) for name, parts in state.items() for part, path in parts.items()]
         manifest = self.spark.createDataFrame(rows, "table_name string, part string, path string")
         manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/runid={run_id}/attempt={attempt}")

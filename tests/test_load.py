@@ -19,6 +19,8 @@ from lodestar.plans.load import (
     load_dimension,
     load_fact,
     load_hierarchy,
+    replay_dimension,
+    replay_fact,
     reprocess_all,
     reprocess_fact,
     run_jobs,
@@ -207,6 +209,56 @@ def test_stacked_lookups_load_the_same_fact(spark, tmp_path, rows):
     assert loaded[0] == loaded[1] and loaded[0][0] and loaded[0][1]
 
 
+def test_an_older_run_is_replayed(spark, tmp_path, rows):
+    """Stores with a wrong first run, replayed, and with the right one from the start hold the same."""
+    dims = {"items": spark.createDataFrame([(1, 101), (2, 102), (-99, -99)], "item_id long, item_key long")}
+    wrong = [(10, 1, 2, 50.0, "LINE", T[0]), (14, 1, 1, 3.0, "LINE", T[0]), (None, 9, 1, 1.0, "LINE", T[0])]
+    third = [(10, 2, 1, 9.0, "LINE", T[2]), (11, 1, 1, 7.0, "LINE", T[2])]
+
+    def fill(name, sale_rows, item_rows):
+        store = RunStore(spark, str(tmp_path / name))
+        runs = [RunContext(store, i + 1, T[i]) for i in range(3)]
+        for ctx, lines, members in zip(runs, (sale_rows, SECOND_SALES, third), (item_rows, SECOND_ITEMS, FIRST_ITEMS)):
+            plan = [
+                Job("sales", lambda c: load_fact(c, SALES, sales(spark, *lines), dims), False, needs=()),
+                Job("items", lambda c: load_dimension(c, ITEM, items(spark, *members))),
+            ]
+            assert run_jobs(ctx, plan).errors == {}
+        return store, runs
+
+    right, _ = fill("right", FIRST_SALES, FIRST_ITEMS)
+    store, runs = fill("wrong", wrong, [(1, "uno", "x"), (7, "seven", "a")])
+    replays = [
+        Job("sales", lambda c: replay_fact(c, SALES, runs, sales(spark, *FIRST_SALES), lambda run: dims), False, needs=()),
+        Job("items", lambda c: replay_dimension(c, ITEM, runs, items(spark, *FIRST_ITEMS))),
+    ]
+    old = rows(store.read("sales"))
+    assert run_jobs(RunContext(store, 4, T[3]), replays, mode="replay").errors == {}
+    for table in ("sales", "sales_error", "stage_sales", "items", "stage_items", "items_rejected", "received_sales", "received_items"):
+        assert rows(store.read(table)) == rows(right.read(table)), table
+    assert store.read("sales_rejected").isEmpty()
+    assert rows(store.read("sales", before=4)) == old != rows(store.read("sales"))
+    result = run_jobs(RunContext(store, 5, T[4]), [Job("sales", lambda c: replay_fact(c, SALES, runs[:2], sales(spark, *wrong), lambda run: dims), False)])
+    assert "takes the runs [1, 2, 3] of received_sales" in result.errors["sales"]
+
+
+def test_a_failure_blocks_only_what_needs_it(spark, store, rows):
+    def broken(ctx):
+        raise RuntimeError("no such table")
+
+    def fine(ctx):
+        return {}, spark.createDataFrame([(1,)], "ingested long")
+
+    plan = [
+        Job("returns", fine, False, needs=("sales",)), Job("sales", fine, False, needs=("vendors", "items")),
+        Job("revenue", fine, False, needs=("items", "absent")), Job("items", fine), Job("vendors", broken), Job("all", fine, False),
+    ]
+    result = run_jobs(RunContext(store, 1, T[0]), plan)
+    assert {e for e, status in result.status.items() if status == "Success"} == {"items", "revenue"}
+    assert result.errors["returns"] == "not loaded: sales failed" and result.errors["sales"] == "not loaded: vendors failed"
+    assert rows(control.failed_jobs(store.read("job_log"), 1)) == [(1, 4)]
+
+
 def test_hierarchy_load(spark, store, rows):
     df = spark.createDataFrame([(1, "top", "T", None), (2, "mid", "M", 1), (3, "low", "L", 2)], "id long, full_name string, name string, up long")
     ctx = RunContext(store, 1, T[0])
