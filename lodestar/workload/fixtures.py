@@ -17,6 +17,12 @@ from lodestar.operators.facts import Lookup, fact_insert, resolve_keys
 from lodestar.operators.scd import DimSpec
 from lodestar.session import cut_lineage
 
+
+def text_key(c: Column) -> Column:
+    """A key of 60 bits from the whole of a text, the same in SQL."""
+    return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("long")
+
+
 RUN_TS = "2026-01-01 00:00:00"
 SECOND_RUN_TS = "2026-01-02 00:00:00"
 RUN_ID = 1
@@ -344,7 +350,7 @@ class Source:
             "transaction_status": cut_lineage(
                 kinds.select("status", F.col("transaction_type").alias("document_type"))
                 .distinct()
-                .withColumn("transaction_status_key", F.ascii("status") * 100 + F.length("document_type"))
+                .withColumn("transaction_status_key", text_key(F.concat_ws("|", "status", "document_type")))
             ),
         }
 

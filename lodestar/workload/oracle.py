@@ -266,9 +266,13 @@ wm AS (SELECT event_type AS fact_name, CAST(user_id AS VARCHAR) AS subsidiary_id
        FROM events GROUP BY ALL)"""
 
 
+def _text_key(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
 def _codes(name: str, table: str, column: str) -> str:
     return (
-        f"{name}_list AS (SELECT DISTINCT CAST(ascii({column}) AS BIGINT) AS {name}_id, {column} AS {name} FROM {table} "
+        f"{name}_list AS (SELECT DISTINCT {_text_key(column)} AS {name}_id, {column} AS {name} FROM {table} "
         f"UNION ALL SELECT -99, 'NA_GDW' UNION ALL SELECT 0, 'NA_ERR')"
     )
 
@@ -590,7 +594,7 @@ ORACLE["vendor_return_fact_load"] = f"WITH {DIM}, {FACT}, {FACT_DIMS}" + _load(
 ORACLE["revenue_fact_load"] = (
     f"WITH {REVENUE}, {DIM}, {NO_FACT_LINES}, {FACT_DIMS}, "
     + "d_status AS (SELECT DISTINCT status, transaction_type AS document_type, "
-    + "ascii(status) * 100 + CAST(length(transaction_type) AS INTEGER) AS key FROM trx WHERE transaction_type <> 'Journal'), rev AS ("
+    + _text_key("status || '|' || transaction_type") + " AS key FROM trx WHERE transaction_type <> 'Journal'), rev AS ("
     + " UNION ALL ".join(_revenue_branch(k) for k in REVENUE_FILTERS)
     + ")"
     + _load(
@@ -648,6 +652,8 @@ FIRST_DIM = DIM[: DIM.index("dim AS (")] + """dim AS (
 run AS (SELECT TIMESTAMP '2026-01-01 00:00:00' AS ts)"""
 ORACLE["dimension_two_runs"] = ORACLE["scd2_merge"].replace(DIM, FIRST_DIM)
 ORACLE["fact_two_runs"] = ORACLE["fact_version_merge"]
+ORACLE["reprocess_older_run"] = ORACLE["fact_two_runs"]
+ORACLE["reprocess_older_dimension_run"] = ORACLE["dimension_two_runs"]
 ORACLE["extract_file_round_trip"] = """
 SELECT 1 AS runid, * REPLACE (nullif(c_mktsegment, 'BUILDING') AS c_mktsegment) FROM customer"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -27,7 +27,7 @@ from lodestar.operators import diff as d, extract as x, facts as f, hierarchy as
 from lodestar.operators.joins import Side, join_sides
 from lodestar.plans import control, documents, extracts
 from lodestar.plans.facts import PURCHASE_ORDERS, REVENUE, VENDOR_BILLS, VENDOR_RETURNS, FactSpec, LookupSpec
-from lodestar.plans.load import RunContext, load_dimension, load_fact
+from lodestar.plans.load import RunContext, load_dimension, load_fact, replay_dimension, replay_fact
 from lodestar.session import cut_lineage, shared_folder
 from lodestar.sources.extract_files import read_extract, write_extract
 from lodestar.sources.foreign_extract import read_foreign
@@ -45,6 +45,7 @@ from lodestar.workload.fixtures import (
     SECOND_RUN_TS,
     Source,
     as_text,
+    text_key,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -263,7 +264,7 @@ def accounting_periods_extract(s: Source) -> DataFrame:
 def junk_dimension(s: Source) -> DataFrame:
     def codes(table: str, column: str) -> DataFrame:
         found = s.table(table).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        return r.code_list(found.withColumn("id", F.ascii(F.col(column))), "id", column)
+        return r.code_list(found.withColumn("id", text_key(F.col(column))), "id", column)
 
     return r.junk_dimension(
         {
@@ -716,9 +717,8 @@ def dimension_two_runs(s: Source) -> DataFrame:
     return second.store.read("customer")
 
 
-@query
-def fact_two_runs(s: Source) -> DataFrame:
-    spec = FactSpec(
+def _order_lines() -> FactSpec:
+    return FactSpec(
         name="order_lines",
         key=tuple(LINE_KEY),
         line_types=("LINE",),
@@ -731,9 +731,45 @@ def fact_two_runs(s: Source) -> DataFrame:
         ),
         part_width=20_000,
     )
+
+
+def _load_lines(s: Source, runs: Sequence[tuple[RunContext, DataFrame]]) -> dict[str, DataFrame]:
     dims = {"parts": s.part_dim, "suppliers": s.supplier_dim, "customers": s.dim, "days": s.date_dim}
-    first, second = _contexts(s)
-    for ctx, rows in ((first, s.fact_stage), (second, s.fact_prestage)):
-        written, _ = load_fact(ctx, spec, rows.withColumn("line_type", F.lit("LINE")), dims, "o_orderdate")
+    for ctx, rows in runs:
+        written, _ = load_fact(ctx, _order_lines(), rows.withColumn("line_type", F.lit("LINE")), dims, "o_orderdate")
         ctx.store.publish(ctx.run_id, written)
+    return dims
+
+
+@query
+def fact_two_runs(s: Source) -> DataFrame:
+    first, second = _contexts(s)
+    _load_lines(s, ((first, s.fact_stage), (second, s.fact_prestage)))
     return second.store.read("order_lines").drop("line_type")
+
+
+@query
+def reprocess_older_run(s: Source) -> DataFrame:
+    """The first of two runs had other quantities and lacked a third of its orders; a later run replays it with the right rows."""
+    first, second = _contexts(s)
+    wrong = s.fact_stage.filter(F.col("l_orderkey") % 3 != 0).withColumn("l_quantity", F.col("l_quantity") + 7)
+    dims = _load_lines(s, ((first, wrong), (second, s.fact_prestage)))
+    third = RunContext(first.store, 3, "2026-01-03 00:00:00")
+    right = s.fact_stage.withColumn("line_type", F.lit("LINE"))
+    written, _ = replay_fact(third, _order_lines(), (first, second), right, lambda run: dims, "o_orderdate")
+    third.store.publish(third.run_id, written)
+    return third.store.read("order_lines").drop("line_type")
+
+
+@query
+def reprocess_older_dimension_run(s: Source) -> DataFrame:
+    """The first of two runs lacked members and had other names; a later run replays it with the right image."""
+    first, second = _contexts(s)
+    wrong = s.dim_stage.filter(F.col("c_custkey") % 3 != 0).withColumn("c_mktsegment", F.lit("WRONG"))
+    for ctx, image in ((first, wrong), (second, s.dim_prestage)):
+        written, _ = load_dimension(ctx, CUSTOMER, image)
+        ctx.store.publish(ctx.run_id, written)
+    third = RunContext(first.store, 3, "2026-01-03 00:00:00")
+    written, _ = replay_dimension(third, CUSTOMER, (first, second), s.dim_stage)
+    third.store.publish(third.run_id, written)
+    return third.store.read("customer")
