@@ -26,9 +26,13 @@ def parent_lookup(
     return join_sides(df, [side])
 
 
-def _climb(edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str], paths: bool) -> DataFrame:
+def _climb(
+    edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str], paths: bool, known: DataFrame | None = None
+) -> DataFrame:
     """Rows of ``edges`` that reach a root, with ``__depth`` and maybe ``__path``.
 
+    ``known`` are further rows whose depths and paths are there already; they are handed back too.
+
     Every open row knows an ancestor and the distance to it. One round joins it
     with that ancestor's row and doubles the distance, so a hierarchy of depth d
     takes about log2(d) joins. Rows whose chain ends at an unknown id find no
@@ -47,6 +51,8 @@ def _climb(edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str], pa
     state = cut_lineage(state)
     is_done = F.col("__next").isNull()
     done = state.filter(is_done)
+    if known is not None:
+        done = done.unionByName(known.withColumn("__next", F.lit(None).cast(edges.schema[parent].dataType)))
     open_rows = state.filter(~is_done)
     while not open_rows.isEmpty():
         take = {"__n": "__next", "__d": "__depth", **({"__p": "__path"} if paths else {})}
@@ -108,6 +114,46 @@ def hierarchy_tables(
     return _depths(found, edges, root_level), _closure(found, edges, key, parent, attrs)
 
 
+def changed_nodes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Keys of the edges that were added, removed or altered in any column between two states."""
+    columns = [c for c in new.columns if c != key]
+    before, after = (df.select(key, F.struct(*columns).alias(name)) for df, name in ((old, "__old"), (new, "__new")))
+    return before.join(after, key, "full_outer").filter(~F.col("__old").eqNullSafe(F.col("__new"))).select(key)
+
+
+def hierarchy_closure_update(
+    closure: DataFrame,
+    edges: DataFrame,
+    changed: DataFrame,
+    key: str,
+    parent: str,
+    attrs: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """``hierarchy_closure`` of ``edges``, from the closure of an earlier state.
+
+    ``changed`` holds the keys of all edges that differ (see :func:`changed_nodes`). They, the
+    nodes that stood below them and the nodes without a place in ``closure`` are climbed
+    anew, and only up to the first ancestor that keeps its place, whose path is taken from
+    ``closure``. All other rows of ``closure`` stay. Nodes that no longer reach a root go,
+    orphans that found a parent come in.
+    """
+    attrs = dict(attrs or {})
+    ids = changed.select(F.col(key).alias("__changed")).distinct()
+    below = closure.join(ids, F.col(parent) == F.col("__changed"), "left_semi").select(key)
+    unplaced = edges.select(key).join(closure.filter("level = 0").select(key), key, "left_anti")
+    affected = cut_lineage(below.unionByName(unplaced).distinct())
+    kept = closure.join(affected, key, "left_anti")
+    todo = cut_lineage(edges.join(affected, key, "left_semi"))
+
+    lenders = todo.select(F.col(parent).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    step = F.struct(F.col(parent).alias("id"), *[F.col(c).alias(c) for c in attrs])
+    steps = F.array_sort(F.collect_list(F.when(F.col("level") > 0, F.struct(F.col("level").alias("at"), step.alias("step")))))
+    paths = kept.join(lenders, key, "left_semi").groupBy(key).agg(F.transform(steps, lambda s: s["step"]).alias("__path"))
+    known = cut_lineage(edges.join(paths, key).select(*edges.columns, F.size("__path").alias("__depth"), "__path"))
+    found = cut_lineage(_climb(todo, key, parent, attrs, True, known).join(affected, key, "left_semi"))
+    return kept.unionByName(_closure(found, edges, key, parent, attrs))
+
+
 def _closure(found: DataFrame, edges: DataFrame, key: str, parent: str, attrs: Mapping[str, str]) -> DataFrame:
     self_step = F.struct(F.col(key).alias("id"), *[F.col(own).alias(c) for c, own in attrs.items()])
     rows = found.select(

@@ -19,7 +19,7 @@ from lodestar.functions.columns import fill_blank, fill_empty, fill_null, ts_lit
 from lodestar.functions.reserved import ACTIVE, DIM_OPEN_END, ERROR_ID, ERROR_TEXT, INACTIVE, NA_ID, NA_TEXT, UNKNOWN_DATE
 from lodestar.operators.diff import DELETE, INSERT, NOCHANGE, UPDATE
 from lodestar.operators.extract import effective_now
-from lodestar.operators.keys import KEY_BUCKETS, assign_surrogate_keys
+from lodestar.operators.keys import KEY_BUCKETS, assign_surrogate_keys, continue_surrogate_keys, key_bucket
 
 CONTROL = ("date_active_from", "date_active_to", "dw_active")
 
@@ -34,7 +34,9 @@ class DimSpec:
     only '', ``null`` only NULL. ``renames`` maps a
     source column to its dimension column. ``also_overwrite`` names columns that a
     type-1 change rewrites besides the type-1 ones. ``carried`` are loaded but not
-    compared.
+    compared. With ``buckets`` (a divisor of 4096) the stage image and the dimension are
+    kept in that many parts by key, and a load reads and rewrites only the parts of the
+    dimension that hold moved keys.
     """
 
     name: str
@@ -47,6 +49,15 @@ class DimSpec:
     blank: str = "both"
     renames: Mapping[str, str] = field(default_factory=dict)
     also_overwrite: tuple[str, ...] = ()
+    buckets: int = 0
+
+    def __post_init__(self) -> None:
+        if self.buckets and KEY_BUCKETS % self.buckets:
+            raise ValueError(f"{self.name}: {self.buckets} does not divide {KEY_BUCKETS}")
+
+    def part(self) -> Column:
+        """Name of the part a row is kept in; keys that share a part share the buckets of their surrogate keys."""
+        return F.format_string(f"b%dof{self.buckets}", F.pmod(key_bucket([self.key]), F.lit(self.buckets)))
 
     @property
     def attributes(self) -> list[str]:
@@ -118,7 +129,8 @@ def scd_insert(
     versions = _versions(changes.filter(wanted), spec, run_ts)
     if spec.surrogate is None:
         return versions
-    return assign_surrogate_keys(versions, spec.key, spec.surrogate, dim, buckets)
+    give = continue_surrogate_keys if spec.buckets else assign_surrogate_keys
+    return give(versions, spec.key, spec.surrogate, dim, buckets)
 
 
 def _touch(

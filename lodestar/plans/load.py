@@ -10,10 +10,11 @@ from graphlib import TopologicalSorter
 from operator import or_
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lodestar.functions.columns import fill_blank, ts_lit
-from lodestar.functions.reserved import NA_TEXT, RECORD_ERROR, RECORD_SUPERSEDED
+from lodestar.functions.reserved import ERROR_ID, NA_ID, NA_TEXT, RECORD_ERROR, RECORD_SUPERSEDED
 from lodestar.operators.diff import (
     NOCHANGE,
     UPDATE,
@@ -119,11 +120,21 @@ def enrich(spec: DimSpec, prestage: DataFrame, tables: Mapping[str, DataFrame])
     return out.withColumns({n: fill_blank(n, NA_TEXT) for n in names})
 
 
+def _observed(seen: Observation, names: Sequence[str]) -> dict[str, int]:
+    """Counts seen by an action; zeros where Spark found the rows to be none and left the counting out of the plan."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e):
+            raise
+        return dict.fromkeys(names, 0)
+
+
 def _write_moved(ctx: RunContext, diff: DataFrame, table: str) -> tuple[DataFrame, dict[str, int]]:
     """Write the keys that moved and count all of them in the same pass."""
     seen = Observation()
     moved = ctx.write(diff.observe(seen, *count_columns()).filter(F.col("op") != NOCHANGE), table)
-    return moved, dict(seen.get)
+    return moved, _observed(seen, diff.agg(*count_columns()).columns)
 
 
 def _null_key(keys: Sequence[str]) -> Column:
@@ -137,7 +148,7 @@ def _reject_null_keys(ctx: RunContext, name: str, rows: DataFrame, keys: Sequenc
         F.lit(ctx.run_id).alias("runid"), "*", F.lit("null key").alias("reason"), ts_lit(ctx.run_ts).alias("dw_creation_date")
     )
     published = ctx.append(lost.observe(seen, F.count(F.lit(1)).alias("n")), f"{name}_rejected")
-    return published, seen.get["n"]
+    return published, _observed(seen, ["n"])["n"]
 
 
 def _counted(ctx: RunContext, counts: Mapping[str, int], received: int, null_keys: int) -> DataFrame:
@@ -162,8 +173,9 @@ def load_dimension(
     time in ``order`` if the source may hold a key more than once. Rows without a key are
     kept as rejected rows and counted, as are surplus rows of a key. With ``tables`` the
     names that the dimension takes from parents and classes are added first. ``seed`` adds
-    the 'not available' and 'in error' members where they are missing. Returns what to
-    publish and the counts of the delta.
+    the 'not available' and 'in error' members where they are missing. A dimension in
+    buckets is merged in the touched ones only; its image is compared as a whole. Returns
+    what to publish and the counts of the delta.
     """
     if tables is not None:
         prestage = enrich(spec, prestage, tables)
@@ -179,11 +191,15 @@ def load_dimension(
     else:
         rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
     prestage = rows.select(spec.key, *spec.attributes)
-    stage, dim = ctx.before(f"stage_{spec.name}"), ctx.before(spec.name)
+    _refuse_other_parts(ctx, spec)
+    stage = ctx.before(f"stage_{spec.name}")
     stage = _empty_like(prestage) if stage is None else stage
     images = image_diff(prestage, stage, spec.key, spec.scd1, spec.scd2).select(spec.key, "op", "ch_type", "new")
     moved, counts = _write_moved(ctx, images, f"delta_{spec.name}")
-    told = _counted(ctx, counts, received if order is not None else seen.get["n"], null_keys)
+    told = _counted(ctx, counts, received if order is not None else _observed(seen, ["n"])["n"], null_keys)
+    if spec.buckets:
+        return {**rejected, **_merge_buckets(ctx, spec, _empty_like(prestage), moved, seed)}, told
+    dim = ctx.before(spec.name)
     staged = ctx.whole(dim_stage_refresh(stage, moved, spec.key), f"stage_{spec.name}")
     if dim is None:
         merged = scd_insert(moved, spec, ctx.run_ts, None, None)
@@ -196,14 +212,48 @@ def load_dimension(
     return {**received, **staged, **rejected, **ctx.whole(merged, spec.name)}, told
 
 
-def _touched(spec: FactSpec, rows: DataFrame) -> list[str]:
-    # As many values as there are parts, which the part width bounds.
+def _refuse_other_parts(ctx: RunContext, spec: DimSpec) -> None:
+    """The parts of a dimension and the way its keys are numbered stay as they were at its first load."""
+    end = f"of{spec.buckets}" if spec.buckets else WHOLE
+    odd = [p for p in ctx.store.published(ctx.run_id).get(spec.name, {}) if not p.endswith(end)]
+    if odd:
+        raise ValueError(f"{spec.name} is kept in other parts: {sorted(odd)[:3]}")
+
+
+def _merge_buckets(
+    ctx: RunContext, spec: DimSpec, empty: DataFrame, moved: DataFrame, seed: bool
+) -> dict[str, Published]:
+    """Stage image and dimension of the parts that hold moved keys; the others stay as they are, unread.
+
+    ``seed`` takes in the two parts of the default members.
+    """
+    touched = _touched(spec, moved)
+    stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
+    refreshed = dim_stage_refresh(empty if stage is None else stage, moved, spec.key)
+    staged = _write_parts(ctx, spec, f"stage_{spec.name}", refreshed, touched)
+    if seed:
+        ids = F.array(*[F.lit(i).cast(empty.schema[spec.key].dataType) for i in (NA_ID, ERROR_ID)])
+        touched = sorted({*touched, *_touched(spec, empty.sparkSession.range(1).select(F.explode(ids).alias(spec.key)))})
+    dim = ctx.before(spec.name, set(touched).__contains__)
+    if dim is None:
+        merged = scd_insert(moved, spec, ctx.run_ts, None, None)
+    else:
+        merged = scd_merge(dim, moved, spec, ctx.run_ts, ctx.expire_offset, ctx.delete_scope)
+    if seed:
+        merged = seed_default_members(merged, default_members(spec, merged), spec.target(spec.key))
+    return {**staged, **_write_parts(ctx, spec, spec.name, merged, touched)}
+
+
+def _touched(spec: FactSpec | DimSpec, rows: DataFrame) -> list[str]:
+    # As many values as there are parts, which the part width or the number of buckets bounds.
     return [r[0] for r in rows.select(spec.part().alias("p")).distinct().collect() if r[0] is not None]
 
 
-def _write_stage(ctx: RunContext, spec: FactSpec, stage: DataFrame, touched: Sequence[str]) -> dict[str, Published]:
-    table = f"stage_{spec.name}"
-    written = ctx.write(stage.withColumn("dw_part", spec.part()), table, ["dw_part"])
+def _write_parts(
+    ctx: RunContext, spec: FactSpec | DimSpec, table: str, rows: DataFrame, touched: Sequence[str]
+) -> dict[str, Published]:
+    """Write the touched parts of a table anew."""
+    written = ctx.write(rows.withColumn("dw_part", spec.part()), table, ["dw_part"])
     parts = [r[0] for r in written.select("dw_part").distinct().collect()]
     return {table: Published({p: f"{ctx.path(table)}/dw_part={p}" for p in parts}, touched)}
 
@@ -249,7 +299,7 @@ def load_fact(
     stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
     stage = _empty_like(prestage) if stage is None else stage
     changes, counts = _write_moved(ctx, fact_changes(prestage, stage, keys, spec.compared(prestage.columns)), f"delta_{spec.name}")
-    staged = _write_stage(ctx, spec, fact_stage_refresh(stage, changes, keys), touched)
+    staged = _write_parts(ctx, spec, f"stage_{spec.name}", fact_stage_refresh(stage, changes, keys), touched)
 
     lookups = spec.bind(dims, ctx.run_ts)
     resolve = resolve_stacked if spec.stacked else resolve_all
@@ -383,7 +433,10 @@ def replay_dimension(
     :func:`load_dimension` for the older run, and ``seed`` for all. The result is that
     of the runs in their order with the right image in place of the first, surrogate keys
     included. It is published as part of the run of ``ctx``; facts loaded since keep their keys.
+    A dimension in buckets keeps no image of a run of its own and is refused.
     """
+    if spec.buckets:
+        raise ValueError(f"{spec.name} is kept in buckets, its runs cannot be replayed")
     received = f"received_{spec.name}"
     runs, parts = _received(ctx, received, runs)
 

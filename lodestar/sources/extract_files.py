@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lodestar.functions.reserved import TEXT_TIMESTAMP
@@ -89,6 +90,21 @@ def latest_run(df: DataFrame, run_column: str = "runid") -> DataFrame:
     return df.filter(F.col(run_column) == newest)
 
 
+def latest_file(spark: SparkSession, path: str, prefix: str = "") -> str | None:
+    """The newest of the files below ``path`` whose relative name begins with ``prefix``; None without any.
+
+    The time of modification decides, then the name. ``prefix`` may reach into folders
+    (``2026/customers_``). Files are listed by Spark and not opened.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = files.load(f"{path}/{prefix}*")
+    except AnalysisException:
+        return None  # nothing has such a name
+    newest = found.select("path", "modificationTime").orderBy(F.desc("modificationTime"), F.desc("path")).first()
+    return None if newest is None else newest["path"]
+
+
 def reference_file(spark: SparkSession, path: str, run_id: int, delimiter: str = ",") -> DataFrame:
     """A flat reference file with a header, all text, with the run id in front."""
     return stamp_run_id(spark.read.options(header=True, sep=delimiter, quote='"', escape='"').csv(path), run_id)

@@ -651,6 +651,9 @@ FIRST_DIM = DIM[: DIM.index("dim AS (")] + """dim AS (
   FROM (SELECT *, CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 4096 AS bucket FROM stg)),
 run AS (SELECT TIMESTAMP '2026-01-01 00:00:00' AS ts)"""
 ORACLE["dimension_two_runs"] = ORACLE["scd2_merge"].replace(DIM, FIRST_DIM)
+ORACLE["dimension_buckets_two_runs"] = f"SELECT * EXCLUDE (customer_key) FROM ({ORACLE['dimension_two_runs']})"
+ORACLE["hierarchy_closure_update"] = ORACLE["hierarchy_closure"]
+ORACLE["latest_file"] = "SELECT * FROM customer"
 ORACLE["fact_two_runs"] = ORACLE["fact_version_merge"]
 ORACLE["reprocess_older_run"] = ORACLE["fact_two_runs"]
 ORACLE["reprocess_older_dimension_run"] = ORACLE["dimension_two_runs"]

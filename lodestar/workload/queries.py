@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -29,7 +30,7 @@ from lodestar.plans import control, documents, extracts
 from lodestar.plans.facts import PURCHASE_ORDERS, REVENUE, VENDOR_BILLS, VENDOR_RETURNS, FactSpec, LookupSpec
 from lodestar.plans.load import RunContext, load_dimension, load_fact, replay_dimension, replay_fact
 from lodestar.session import cut_lineage, shared_folder
-from lodestar.sources.extract_files import read_extract, write_extract
+from lodestar.sources.extract_files import latest_file as newest_file, read_extract, write_extract
 from lodestar.sources.foreign_extract import read_foreign
 from lodestar.sources.ordered_extract import read_ordered_extract, write_ordered_extract
 from lodestar.sources.run_store import RunStore
@@ -598,6 +599,22 @@ def hierarchy_closure(s: Source) -> DataFrame:
     return h.hierarchy_closure(_edges(s), "node_id", "parent_id", {"parent_full_name": "full_name"})
 
 
+@query
+def hierarchy_closure_update(s: Source) -> DataFrame:
+    """The closure of an earlier state, in which nodes had other parents and names or were missing, brought up to date."""
+    node = F.col("node_id")
+    earlier = s.hierarchy.filter((node % 11 != 5) | (node == 0)).select(
+        "node_id",
+        F.when(node % 13 == 4, F.concat("full_name", F.lit(" old"))).otherwise(F.col("full_name")).alias("full_name"),
+        F.when(node % 7 == 3, F.lit(0).cast("long")).otherwise(F.col("parent_id")).alias("parent_id"),
+    )
+    before = h.parent_lookup(earlier, "node_id", "parent_id", {"parent_full_name": "full_name"})
+    now, attrs = _edges(s), {"parent_full_name": "full_name"}
+    closure = cut_lineage(h.hierarchy_closure(before, "node_id", "parent_id", attrs))
+    changed = h.changed_nodes(before, now, "node_id")
+    return h.hierarchy_closure_update(closure, now, changed, "node_id", "parent_id", attrs)
+
+
 # Control ----------------------------------------------------------------------
 
 
@@ -717,6 +734,32 @@ def dimension_two_runs(s: Source) -> DataFrame:
     return second.store.read("customer")
 
 
+@query
+def dimension_buckets_two_runs(s: Source) -> DataFrame:
+    """A dimension in 16 buckets; the second run moves keys in some of them."""
+    first, second = _contexts(s)
+    spec = dataclasses.replace(CUSTOMER, buckets=16)
+    for ctx, image in ((first, s.dim_stage), (second, s.dim_prestage)):
+        written, _ = load_dimension(ctx, spec, image)
+        ctx.store.publish(ctx.run_id, written)
+    return second.store.read("customer").drop("customer_key")
+
+
+@query
+def latest_file(s: Source) -> DataFrame:
+    """Three extracts in turn; the newest file named ``customers_`` tells which of them is read."""
+    path = shared_folder(s.spark, "drop")
+    customers = s.table("customer")
+    for name, rows in (
+        ("customers_b", customers.filter("c_acctbal < 0")),
+        ("customers_a", customers),
+        ("suppliers_a", s.table("supplier")),
+    ):
+        rows.write.csv(f"{path}/{name}")
+    newest = newest_file(s.spark, path, "customers_")
+    return s.spark.read.schema(customers.schema).csv(newest.rpartition("/")[0])
+
+
 def _order_lines() -> FactSpec:
     return FactSpec(
         name="order_lines",

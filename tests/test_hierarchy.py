@@ -1,8 +1,17 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
-from lodestar.operators.hierarchy import hierarchy_closure, hierarchy_depth, hierarchy_tables, parent_lookup
+from lodestar.operators.hierarchy import (
+    changed_nodes,
+    hierarchy_closure,
+    hierarchy_closure_update,
+    hierarchy_depth,
+    hierarchy_tables,
+    parent_lookup,
+)
 
 # 1 and 6 are roots; 8 and 9 point at each other, 10 hangs off them; 11 is an orphan and 12 below it.
 EDGES = [(1, None), (2, 1), (3, 2), (4, 3), (5, 4), (6, None), (7, 6), (8, 9), (9, 8), (10, 9), (11, 99), (12, 11), (13, 13)]
@@ -39,6 +48,36 @@ def test_against_brute_force(spark, rows):
     assert len(closure) == sum(depth.values()) + len(depth)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_update_equals_the_whole_climb(spark, rows, seed):
+    rng = random.Random(seed)
+    ids = range(1, 41)
+    old = {i: None if rng.random() < 0.1 else rng.randrange(1, 46) if rng.random() < 0.1 else rng.randrange(0, i) for i in ids}
+    new = {i: p for i, p in old.items() if rng.random() > 0.05}
+    new |= {i: rng.choice([None, *range(1, 48)]) for i in rng.sample(ids, 4)} | {50: 3, 51: 50, 43: 1}
+    states = []
+    for state, stamp in ((old, "n"), (new, "m")):
+        named = [(i, f"{stamp if i % 9 == 0 else 'n'}{i}", p) for i, p in state.items()]
+        states.append(parent_lookup(spark.createDataFrame(named, "id long, name string, up long"), "id", "up", {"up_name": "name"}))
+    before, after = states
+    attrs = {"up_name": "name"}
+    changed = changed_nodes(before, after, "id")
+    assert 0 < changed.count() < 40
+    got = hierarchy_closure_update(hierarchy_closure(before, "id", "up", attrs), after, changed, "id", "up", attrs)
+    whole = hierarchy_closure(after, "id", "up", attrs)
+    assert got.columns == whole.columns
+    assert rows(got, "id", "up", "level", "q_level") == expected(list(new.items()))[1]
+    assert got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()
+
+
+def test_update_without_changes(spark, rows):
+    edges = spark.createDataFrame(EDGES, "id long, up long")
+    closure = hierarchy_closure(edges, "id", "up")
+    nothing = changed_nodes(edges, edges, "id")
+    assert nothing.isEmpty()
+    assert rows(hierarchy_closure_update(closure, edges, nothing, "id", "up"), "id", "up", "level", "q_level") == expected(EDGES)[1]
+
+
 def test_root_level(spark):
     df = spark.createDataFrame(EDGES, "id long, up long")
     assert {r["level"] for r in hierarchy_depth(df, "id", "up", 0).filter("up is null").collect()} == {0}
