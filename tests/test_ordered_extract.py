@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.operators.ordering import part_offsets, place, sorted_parts
-from lodestar.sources.ordered_extract import read_ordered_extract, write_ordered_extract
+from lodestar.sources.ordered_extract import _ranges, read_ordered_extract, write_ordered_extract
 
 @pytest.fixture(scope="module")
 def order(spark):
@@ -42,6 +42,22 @@ def test_positions_read_back(spark, lines, order, tmp_path):
     assert [tuple(r)[1:] for r in got] == want and [r["position"] for r in got] == list(range(2000))
 
 
+def test_small_files_share_tasks(spark, lines, order, tmp_path):
+    """One task a file sent the driver samples and results of every file."""
+    write_ordered_extract(lines, str(tmp_path), 1, order, rows_per_file=20)
+    files = sorted(glob.glob(f"{tmp_path}/runid=1/part-*.csv"))
+    tasks = {name.rpartition("/")[2].split("-")[1] for name in files}
+    assert len(files) >= 100 and len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = read_ordered_extract(spark, str(tmp_path), 1, lines.schema).orderBy("position").select("id").collect()
+    assert [r[0] for r in got] == [r[0] for r in lines.orderBy(*order).select("id").collect()]
+
+
+def test_ranges_follow_rows(spark):
+    assert _ranges(54_000_000, 1000, 200) == 540 and _ranges(10**9, 10**6, 200) == 1000
+    assert _ranges(5000, 1000, 200) == 5 and _ranges(10**6, 10, 8) == 1000 and _ranges(0, 1000, 8) == 1
+    assert _ranges(10**12, 10**6, 200) == 99_999
+
+
 def test_no_sort_in_one_task(lines, order):
     plan = lines.repartitionByRange(7, *order).sortWithinPartitions(*order)._jdf.queryExecution().toString()
     assert "rangepartitioning" in plan and "SinglePartition" not in plan
