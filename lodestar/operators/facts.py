@@ -9,7 +9,7 @@ from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lodestar.functions.columns import date_id, fill_null, ts_lit
 from lodestar.functions.reserved import FACT_OPEN_END, NA_ID, RECORD_ERROR, RECORD_RESOLVED, RECORD_SUPERSEDED
@@ -57,25 +57,28 @@ def resolve_all(df: DataFrame, lookups: Sequence[Lookup], spread: bool = False)
 
 
 def resolve_stacked(df: DataFrame, lookups: Sequence[Lookup], salts: int | None = None) -> DataFrame:
-    """:func:`resolve_all` in two shuffles of the fact rows, however many lookups there are.
+    """:func:`resolve_all` in one shuffle of the fact rows and two of their ids, however many lookups there are.
 
     The ids of a row become one row per lookup, which meet a single table of all
-    dimensions' ids; the keys found come back together by row. A row's other columns
-    travel with its first id. A dimension that several lookups use stands in the table once. Ids
+    dimensions' ids; the keys found come back together by row. Only there a row's own columns
+    join them. A dimension that several lookups use stands in the table once. Ids
     that are absent look up the default member, which is copied ``salts`` times and shared out by row. Rows are
-    told apart by their place in the scan, so ``df`` has to be read from a table. Meant for
-    dimensions too large to broadcast; small ones are cheaper by :func:`resolve_all`.
+    told apart by their place in the scan, which is read for the ids and for the other columns, so ``df`` has to be
+    read from a table. Meant for dimensions too large to broadcast; small ones are cheaper by :func:`resolve_all`.
     """
     salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sides = [x.side() for x in lookups]
     tables: dict[tuple, tuple[int, DataFrame]] = {}
     asks, kinds = [], []
+    # one id needs no array around it, and keys that are numbers no text
+    pack = F.array if any(len(side.on) > 1 for side in sides) else lambda c: c
+    number = all(isinstance(side.frame.schema[c].dataType, T.IntegralType) for side in sides for c in side.take.values())
     for lookup, side in zip(lookups, sides):
         ids, (key,) = [right for _, right in side.on], side.take.values()
         schema = side.frame.schema
-        member = F.array(*[F.lit("0" if lookup.date else str(lookup.default)) for _ in ids])
+        member = pack(*[F.lit("0" if lookup.date else str(lookup.default)) for _ in ids])
         tag, _ = tables.setdefault((id(side.frame), *ids, key), (len(tables), side.frame))
-        asked = F.array(*[expr.cast(schema[i].dataType).cast("string") for (expr, _), i in zip(side.on, ids)])
+        asked = pack(*[expr.cast(schema[i].dataType).cast("string") for (expr, _), i in zip(side.on, ids)])
         slot = F.when(asked == member, F.pmod(F.xxhash64("__row"), F.lit(salts))).otherwise(F.lit(0).cast("long"))
         asks.append(F.struct(F.lit(tag).alias("tag"), asked.alias("ids"), slot.alias("slot")))
         kinds.append(schema[key].dataType)
@@ -85,20 +88,22 @@ def resolve_stacked(df: DataFrame, lookups: Sequence[Lookup], salts: int | None
         defaults.setdefault(tag, set()).add("0" if lookup.date else str(lookup.default))
 
     def stacked(tag: int, frame: DataFrame, ids: Sequence[str], key: str) -> DataFrame:
-        known = F.array(*[F.col(i).cast("string") for i in ids])
+        known = pack(*[F.col(i).cast("string") for i in ids])
         zero = F.lit(0).cast("long")
-        is_default = reduce(or_, [known == F.array(*[F.lit(d) for _ in ids]) for d in sorted(defaults[tag])])
+        is_default = reduce(or_, [known == pack(*[F.lit(d) for _ in ids]) for d in sorted(defaults[tag])])
         copies = F.when(is_default, F.sequence(zero, F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
-        return frame.select(F.lit(tag).alias("tag"), known.alias("ids"), F.explode(copies).alias("slot"), F.col(key).cast("string").alias("key"))
+        return frame.select(F.lit(tag).alias("tag"), known.alias("ids"), F.explode(copies).alias("slot"), F.col(key).cast("bigint" if number else "string").alias("key"))
 
     lookup_rows = reduce(DataFrame.unionByName, [stacked(tag, frame, name[1:-1], name[-1]) for name, (tag, frame) in tables.items()])
     # rows are numbered before they are exploded, so the ids of one row share its number
     numbered = df.withColumn("__row", F.monotonically_increasing_id())
-    asking = numbered.select(F.col("__row").alias("row"), F.struct(*df.columns).alias("line"), F.array(*asks).alias("asks"))
-    role_rows = asking.select("row", "line", F.posexplode("asks").alias("role", "ask")).select("row", "role", F.when(F.col("role") == 0, F.col("line")).alias("line"), "ask.tag", "ask.ids", "ask.slot")
-    met = role_rows.join(lookup_rows, ["tag", "ids", "slot"], "left")
+    asking = numbered.select(F.col("__row").alias("row"), F.array(*asks).alias("asks"))
+    role_rows = asking.select("row", F.posexplode("asks").alias("role", "ask")).select("row", "role", "ask.tag", "ask.ids", "ask.slot")
+    met = role_rows.join(lookup_rows, ["tag", "ids", "slot"]).select("row", "role", "key")
+    lines = numbered.select(F.col("__row").alias("row"), F.struct(*df.columns).alias("line"))
     keys = [F.max(F.when(F.col("role") == i, F.col("key"))).alias(f"k{i}") for i in range(len(lookups))]
-    back = met.groupBy("row").agg(F.first("line", ignorenulls=True).alias("line"), *keys)
+    both = lines.unionByName(met, allowMissingColumns=True)
+    back = both.groupBy("row").agg(F.first("line", ignorenulls=True).alias("line"), *keys)
     found = [F.col(f"k{i}").cast(kind).alias(x.name) for i, (x, kind) in enumerate(zip(lookups, kinds))]
     return back.select("line.*", *found)
 

@@ -60,5 +60,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and row groups they need, and a lost executor costs no recomputation.
     """
     path = shared_folder(df.sparkSession, "table")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

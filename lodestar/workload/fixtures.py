@@ -134,7 +134,8 @@ class Source:
     def fact_lines(self) -> DataFrame:
         """Order lines with header columns and some NULL ids and dates, written once."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        lines = latest_per_key(self.table("lineitem"), LINE_KEY, "l_shipdate")
+        # dealt by order, lines stay where they are for their latest image and for their header
+        lines = latest_per_key(self.table("lineitem").repartition("l_orderkey"), LINE_KEY, "l_shipdate")
         rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             *LINE_KEY,
             "l_partkey",

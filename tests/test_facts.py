@@ -111,3 +111,11 @@ def test_stacked_lookups_move_fact_rows_twice(spark, lookups, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # one exchange of the ids, one of the dimensions, one that brings the keys together
     assert plan.count("Exchange hashpartitioning") == 3 and chain.count("Exchange hashpartitioning") > 12
+
+
+def test_stacked_lookups_leave_the_line_out_of_the_first_shuffle(spark, lookups, tmp_path):
+    spark.createDataFrame(LINES, SCHEMA).write.parquet(str(tmp_path / "lines"))
+    found = f.resolve_stacked(spark.read.parquet(str(tmp_path / "lines")), lookups)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    ids = plan[plan.index("Join ") :]
+    assert "posexplode" in ids and "line#" not in ids and "line#" in plan
