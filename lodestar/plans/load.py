@@ -284,18 +284,19 @@ def load_fact(
 ) -> Loaded:
     """Compare an increment, resolve its new and changed lines once, load or quarantine.
 
-    The increment is written first, so its source is queried once. Only the parts of
+    The increment is written first, so its source is queried once. The latest image of each of its lines
+    meets the stage where it was found, in one shuffle of the increment. Only the parts of
     stage and fact that hold its keys are read and rewritten; closed versions and
-    error rows are appended. The resolved rows are
-    written split by whether all keys were found, so the fact and the error table
-    read their share without repeating the lookups.
+    error rows are appended. The resolved rows are written where the lookups left them, so the fact and
+    the error table read their share without repeating the lookups.
     """
     keys = list(spec.key)
     received = ctx.append(prestage, f"received_{spec.name}")
     raw = ctx.store.spark.read.schema(prestage.schema).parquet(ctx.path(f"received_{spec.name}"))
     rejected, null_keys = _reject_null_keys(ctx, spec.name, raw, keys)
-    prestage = ctx.write(latest_per_key(raw.filter(~_null_key(keys)), keys, order), f"prestage_{spec.name}")
-    touched = _touched(spec, prestage)
+    known = raw.filter(~_null_key(keys))
+    touched = _touched(spec, known)
+    prestage = latest_per_key(known, keys, order)
     stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
     stage = _empty_like(prestage) if stage is None else stage
     changes, counts = _write_moved(ctx, fact_changes(prestage, stage, keys, spec.compared(prestage.columns)), f"delta_{spec.name}")
@@ -304,7 +305,7 @@ def load_fact(
     lookups = spec.bind(dims, ctx.run_ts)
     resolve = resolve_stacked if spec.stacked else resolve_all
     found = resolve(spec.lines(moved_rows(changes)), lookups).withColumn("rejected", unresolved(lookups))
-    found = ctx.write(found, f"resolved_{spec.name}", ["rejected"])
+    found = ctx.write(found, f"resolved_{spec.name}")
     valid = spec.shape(found.filter(~F.col("rejected")).drop("rejected"))
     errors = fact_quarantine(found.filter(F.col("rejected")).drop("rejected"), ctx.run_id, ctx.run_ts)
 

@@ -107,7 +107,7 @@ class RunStore:
 
     def write_to(self, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
         rows = df.hint("rebalance", *partition_by) if partition_by else df
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(
