@@ -63,6 +63,38 @@ def image_diff(
     )
 
 
+def increment_images(
+    prestage: DataFrame,
+    stage: DataFrame,
+    key: str | Sequence[str],
+    order: str | Sequence[str],
+    compare: Sequence[str],
+    deal: Sequence[str] = (),
+) -> DataFrame:
+    """``image_diff`` of an increment's ``latest_per_key`` with the stage, keys outside the increment being unchanged.
+
+    Both are stacked and meet in one aggregate, hence in one shuffle. ``deal`` names columns of the key to
+    shuffle by, the whole key by default; the rows stay where these columns have sent them.
+    """
+    keys = _keys(key)
+    first = [order] if isinstance(order, str) else list(order)
+    rest = [c for c in prestage.columns if c not in keys and c not in first]
+    p = _keyed(prestage, keys).withColumn("__new", F.lit(True))
+    stacked = p.unionByName(_keyed(stage, keys).withColumn("__new", F.lit(False))).repartition(*(deal or keys))
+    row = F.struct(*[F.col(c) for c in first + rest])
+    met = stacked.groupBy(*keys).agg(
+        F.max(F.when(F.col("__new"), row)).alias("__p"), F.first(F.when(~F.col("__new"), row), ignorenulls=True).alias("__s")
+    )
+    in_p, in_s = F.col("__p").isNotNull(), F.col("__s").isNotNull()
+    tests = [~F.col("__p")[c].eqNullSafe(F.col("__s")[c]) for c in compare]
+    op = F.when(~in_s, INSERT).when(in_p & reduce(or_, tests, F.lit(False)), UPDATE).otherwise(NOCHANGE)
+    sides = {
+        name: F.struct(*[F.col(c) if c in keys else F.col(side)[c].alias(c) for c in prestage.columns]).alias(name)
+        for name, side in (("new", "__p"), ("old", "__s"))
+    }
+    return met.select(*keys, op.alias("op"), in_p.alias("in_prestage"), *sides.values())
+
+
 def snapshot_diff(
     prestage: DataFrame,
     stage: DataFrame,
@@ -112,19 +144,19 @@ def delta_counts(diff: DataFrame) -> DataFrame:
     return diff.agg(*count_columns())
 
 
-def count_columns() -> list[Column]:
-    """The aggregates of ``delta_counts``, also for use with ``observe``."""
+def count_columns(op: str = "op") -> list[Column]:
+    """The aggregates of ``delta_counts``, also for use with ``observe``; rows without an ``op`` are not counted."""
 
     def n(hit: Column, name: str) -> Column:
         return F.count(F.when(hit, True)).alias(name)
 
-    op = F.col("op")
+    kind = F.col(op)
     return [
-        n(op != DELETE, "ingested"),
-        n(op == INSERT, "inserted"),
-        n(op == UPDATE, "updated"),
-        n(op == DELETE, "deleted"),
-        n(op == NOCHANGE, "unchanged"),
+        n(kind != DELETE, "ingested"),
+        n(kind == INSERT, "inserted"),
+        n(kind == UPDATE, "updated"),
+        n(kind == DELETE, "deleted"),
+        n(kind == NOCHANGE, "unchanged"),
     ]
 
 
@@ -147,15 +179,15 @@ def diff_balance(diff: DataFrame, ingested: DataFrame) -> DataFrame:
     )
 
 
-def refreshed_stage(images: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The next stage image, read off an ``image_diff``.
+def refreshed_stage(images: DataFrame, columns: Sequence[str], *also: Column) -> DataFrame:
+    """The next stage image, read off an ``image_diff``, with ``also`` as further columns.
 
     New and changed keys take the new row; unchanged keys keep the old one, also
     in columns that are not compared; deleted keys are gone.
     """
     take_new = F.col("op").isin(INSERT, UPDATE)
     return images.filter(F.col("op") != DELETE).select(
-        *[F.when(take_new, F.col("new")[c]).otherwise(F.col("old")[c]).alias(c) for c in columns]
+        *[F.when(take_new, F.col("new")[c]).otherwise(F.col("old")[c]).alias(c) for c in columns], *also
     )
 
 

@@ -9,7 +9,7 @@ from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lodestar.functions.columns import date_id, fill_null, ts_lit
 from lodestar.functions.reserved import FACT_OPEN_END, NA_ID, RECORD_ERROR, RECORD_RESOLVED, RECORD_SUPERSEDED
@@ -146,11 +146,21 @@ def fact_expire(
     key: Sequence[str],
     run_ts: str | dt.datetime,
     expire_offset: str = "1 DAY",
+    deal: Sequence[str] = (),
 ) -> DataFrame:
-    """Close the current version of every changed key."""
+    """Close the current version of every changed key.
+
+    With ``deal``, columns of the key, versions and changed keys are shuffled by these and stay there.
+    """
     keys = list(key)
-    hit = changed.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__hit"))
-    joined = fact.join(hit, [F.col(k) == F.col(f"__{k}") for k in keys], "left")
+    if deal:
+        marks = changed.select(*keys).dropna().withColumn("__mark", F.lit(True))
+        stacked = fact.withColumn("__mark", F.lit(False)).unionByName(marks, allowMissingColumns=True).repartition(*deal)
+        marked = F.max("__mark").over(Window.partitionBy(*keys))
+        joined = stacked.withColumn("__hit", F.when(marked, True)).filter(~F.col("__mark"))
+    else:
+        hit = changed.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__hit"))
+        joined = fact.join(hit, [F.col(k) == F.col(f"__{k}") for k in keys], "left")
     now = ts_lit(run_ts)
     closes = (
         F.col("__hit").isNotNull()
@@ -172,15 +182,16 @@ def fact_merge(
     key: Sequence[str],
     run_ts: str | dt.datetime,
     expire_offset: str = "1 DAY",
+    deal: Sequence[str] = (),
 ) -> DataFrame:
     """The fact after one load.
 
     ``valid`` are the resolved rows of new and changed keys. A changed key whose
     row could not be resolved is closed all the same; its new image waits in the
-    error table.
+    error table. See ``fact_expire`` for ``deal``.
     """
     changed = diff.filter(F.col("op") == UPDATE).select(*key)
-    kept = fact_expire(fact, changed, key, run_ts, expire_offset)
+    kept = fact_expire(fact, changed, key, run_ts, expire_offset, deal)
     return kept.unionByName(fact_insert(valid, run_ts).select(*fact.columns))
 
 

@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from lodestar.functions.columns import fill_blank, ts_lit
 from lodestar.functions.reserved import ERROR_ID, NA_ID, NA_TEXT, RECORD_ERROR, RECORD_SUPERSEDED
 from lodestar.operators.diff import (
+    INSERT,
     NOCHANGE,
     UPDATE,
     count_columns,
     dim_stage_refresh,
-    fact_changes,
-    fact_stage_refresh,
     image_diff,
+    increment_images,
+    refreshed_stage,
 )
 from lodestar.operators.extract import incremental_extract, latest_per_key
 from lodestar.operators.facts import (
@@ -44,6 +45,13 @@ from lodestar.plans.dimensions import ENRICHED
 from lodestar.plans.facts import FactSpec
 from lodestar.sources.run_store import WHOLE, Published, RunStore
 
+#: Column of a fact's stage: what the run that wrote the row did with it; NULL for rows it only kept.
+OP = "dw_op"
+#: Rows of one number go to one task; a part has a number for about so many rows.
+DEAL, DEAL_ROWS = "dw_deal", 50_000
+#: Files that a part may lie in, per number, before its rows are dealt for writing.
+NEAR_FILES = 4
+
 
 @dataclass(frozen=True)
 class RunContext:
@@ -65,8 +73,8 @@ class RunContext:
         """State of a table with what earlier attempts of this run have published."""
         return self.store.read(table, self.run_id + 1, wanted)
 
-    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        return self.store.write(df, table, self.run_id, self.attempt, partition_by)
+    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+        return self.store.write(df, table, self.run_id, self.attempt, partition_by, dealt)
 
     def path(self, table: str) -> str:
         return self.store.path(table, self.run_id, self.attempt)
@@ -94,8 +102,8 @@ class ReplayContext(RunContext):
 
     latest = before
 
-    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        return self.store.write_to(df, self.path(table), partition_by)
+    def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+        return self.store.write_to(df, self.path(table), partition_by, dealt)
 
     def path(self, table: str) -> str:
         return f"{self.store.root}/{table}/{self.folder}"
@@ -250,19 +258,39 @@ def _touched(spec: FactSpec | DimSpec, rows: DataFrame) -> list[str]:
 
 
 def _write_parts(
-    ctx: RunContext, spec: FactSpec | DimSpec, table: str, rows: DataFrame, touched: Sequence[str]
+    ctx: RunContext, spec: FactSpec | DimSpec, table: str, rows: DataFrame, touched: Sequence[str], dealt: bool = False
 ) -> dict[str, Published]:
     """Write the touched parts of a table anew."""
-    written = ctx.write(rows.withColumn("dw_part", spec.part()), table, ["dw_part"])
+    written = ctx.write(rows.withColumn("dw_part", spec.part()), table, ["dw_part"], dealt)
     parts = [r[0] for r in written.select("dw_part").distinct().collect()]
     return {table: Published({p: f"{ctx.path(table)}/dw_part={p}" for p in parts}, touched)}
 
 
-def _write_fact(ctx: RunContext, spec: FactSpec, fact: DataFrame, touched: Sequence[str]) -> dict[str, Published]:
+def _slots(spec: FactSpec, *tables: DataFrame) -> int:
+    """Numbers that each part gets, from the rows of the largest one."""
+    most = [t.groupBy(spec.part().alias("p")).count().agg(F.max("count")).first()[0] or 0 for t in tables]
+    return max(1, -(-sum(most) // DEAL_ROWS))
+
+
+def _numbered(spec: FactSpec, rows: DataFrame, slots: int) -> DataFrame:
+    """Rows with the number they are dealt by: tables dealt alike meet by number and key and are written by part where they are."""
+    slot = F.pmod(F.xxhash64(*[F.col(k) for k in spec.key]), F.lit(slots))
+    return rows.withColumn(DEAL, F.hash(spec.part(), slot))
+
+
+def _near(spec: FactSpec, written: DataFrame, places: int) -> bool:
+    """Whether the rows of a part lie in a few files, so that they can be written by part from where they are."""
+    met = written.select(F.input_file_name().alias("file"), spec.part().alias("part")).distinct().count()
+    return met <= NEAR_FILES * places
+
+
+def _write_fact(
+    ctx: RunContext, spec: FactSpec, fact: DataFrame, touched: Sequence[str], dealt: bool = False
+) -> dict[str, Published]:
     """Write the current versions of the touched parts anew and add the versions just closed."""
     state = F.when(F.col("dw_current") == 1, "current").otherwise("closed")
     rows = fact.withColumns({"dw_state": state, "dw_part": spec.part()})
-    written = ctx.write(rows, spec.name, ["dw_state", "dw_part"])
+    written = ctx.write(rows, spec.name, ["dw_state", "dw_part"], dealt)
     paths = {}
     for r in written.select("dw_state", "dw_part").distinct().collect():
         name = f"current/{r[1]}" if r[0] == "current" else f"closed/{r[1]}/run{ctx.run_id}"
@@ -281,40 +309,62 @@ def load_fact(
     prestage: DataFrame,
     dims: Mapping[str, DataFrame],
     order: str = "date_last_modified",
+    stored: str | None = None,
 ) -> Loaded:
     """Compare an increment, resolve its new and changed lines once, load or quarantine.
 
-    The increment is written first, so its source is queried once. The latest image of each of its lines
-    meets the stage where it was found, in one shuffle of the increment. Only the parts of
-    stage and fact that hold its keys are read and rewritten; closed versions and
-    error rows are appended. The resolved rows are written where the lookups left them, so the fact and
-    the error table read their share without repeating the lookups.
+    The increment is written first, so its source is queried once; ``stored`` names the folder of one that the
+    store has already. Only the parts of stage and fact that hold its keys are read and rewritten; closed versions and
+    error rows are appended. Increment, stage and current versions are dealt by part once each: the latest image of a
+    line, its comparison, the next stage and the closing of versions happen there, and parts are written from there.
+    The stage says what became of each line, so new and changed ones are read off it. The resolved rows are written
+    where the lookups left them, so the fact and the error table read their share without repeating the lookups;
+    rows that no lookup has shuffled still lie by part and go to the fact as they are.
     """
     keys = list(spec.key)
-    received = ctx.append(prestage, f"received_{spec.name}")
-    raw = ctx.store.spark.read.schema(prestage.schema).parquet(ctx.path(f"received_{spec.name}"))
+    if stored is None:
+        received = ctx.append(prestage, f"received_{spec.name}")
+        stored = ctx.path(f"received_{spec.name}")
+    else:
+        received = {f"received_{spec.name}": Published({f"run{ctx.run_id}": stored}, ())}
+    raw = ctx.store.spark.read.schema(prestage.schema).parquet(stored)
     rejected, null_keys = _reject_null_keys(ctx, spec.name, raw, keys)
     known = raw.filter(~_null_key(keys))
     touched = _touched(spec, known)
-    prestage = latest_per_key(known, keys, order)
     stage = ctx.before(f"stage_{spec.name}", set(touched).__contains__)
-    stage = _empty_like(prestage) if stage is None else stage
-    changes, counts = _write_moved(ctx, fact_changes(prestage, stage, keys, spec.compared(prestage.columns)), f"delta_{spec.name}")
-    staged = _write_parts(ctx, spec, f"stage_{spec.name}", fact_stage_refresh(stage, changes, keys), touched)
+    stage = _empty_like(known) if stage is None else stage.drop(OP)
+    columns, compared = stage.columns, spec.compared(known.columns)
+    if set(columns) != set(known.columns):
+        raise ValueError(f"{spec.name}: increment and stage differ in {sorted(set(columns) ^ set(known.columns))}")
+    compared = [c for c in columns if c not in keys] if compared is None else compared
+    slots = _slots(spec, known, stage)
+    numbered = [_numbered(spec, rows, slots) for rows in (known, stage)]
+    images = increment_images(*numbered, [DEAL, *keys], order, compared, [DEAL])
+    seen = Observation()
+    refreshed = refreshed_stage(images, columns, F.when(F.col("in_prestage"), F.col("op")).alias(OP))
+    refreshed = refreshed.observe(seen, *count_columns(OP))
+    staged = _write_parts(ctx, spec, f"stage_{spec.name}", refreshed, touched, dealt=True)
+    counts = _observed(seen, refreshed.agg(*count_columns(OP)).columns)
+    written = ctx.store.spark.read.schema(refreshed.schema).parquet(ctx.path(f"stage_{spec.name}"))
+    changes = written.withColumnRenamed(OP, "op").filter(F.col("op").isin(INSERT, UPDATE))
 
     lookups = spec.bind(dims, ctx.run_ts)
     resolve = resolve_stacked if spec.stacked else resolve_all
     found = resolve(spec.lines(moved_rows(changes)), lookups).withColumn("rejected", unresolved(lookups))
     found = ctx.write(found, f"resolved_{spec.name}")
+    near = _near(spec, found, len(touched) * slots)
     valid = spec.shape(found.filter(~F.col("rejected")).drop("rejected"))
+    valid = _numbered(spec, valid, slots)
+    valid = valid if near else valid.repartition(DEAL)
     errors = fact_quarantine(found.filter(F.col("rejected")).drop("rejected"), ctx.run_id, ctx.run_ts)
 
     fact = _current(ctx, spec, touched)
     if fact is None:
         merged = fact_insert(valid, ctx.run_ts)
     else:
-        merged = fact_merge(fact, valid, changes, keys, ctx.run_ts, ctx.expire_offset)
-    loaded = _write_fact(ctx, spec, merged, touched)
+        known_fact, updates = _numbered(spec, fact, slots), _numbered(spec, changes.select(*keys, "op"), slots)
+        merged = fact_merge(known_fact, valid, updates, [DEAL, *keys], ctx.run_ts, ctx.expire_offset, [DEAL])
+    loaded = _write_fact(ctx, spec, merged.drop(DEAL), touched, dealt=True)
     told = _counted(ctx, counts, raw.count(), null_keys)
     return {**received, **staged, **loaded, **rejected, **ctx.append(errors, f"{spec.name}_error")}, told
 
@@ -468,8 +518,10 @@ def replay_fact(
     runs, parts = _received(ctx, received, runs)
 
     def load(again: ReplayContext, run: RunContext) -> Loaded:
-        rows = prestage if run is runs[0] else ctx.store.read_parts(parts, f"run{run.run_id}".__eq__)
-        return load_fact(again, spec, rows, dims(run), order)
+        if run is runs[0]:
+            return load_fact(again, spec, prestage, dims(run), order)
+        stored = f"run{run.run_id}"
+        return load_fact(again, spec, ctx.store.read_parts(parts, stored.__eq__), dims(run), order, parts[stored])
 
     tables = (received, f"stage_{spec.name}", spec.name, f"{spec.name}_error", f"{spec.name}_rejected")
     return _replay(ctx, tables, runs, load)

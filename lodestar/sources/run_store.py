@@ -97,16 +97,19 @@ class RunStore:
     def path(self, table: str, run_id: int, attempt: int = 1) -> str:
         return f"{self.root}/{table}/run{run_id}/attempt{attempt}"
 
-    def write(self, df: DataFrame, table: str, run_id: int, attempt: int = 1, partition_by: Sequence[str] = ()) -> DataFrame:
+    def write(
+        self, df: DataFrame, table: str, run_id: int, attempt: int = 1, partition_by: Sequence[str] = (), dealt: bool = False
+    ) -> DataFrame:
         """Write the rows of a run and read them back, which also cuts their lineage.
 
         With ``partition_by`` the rows are rebalanced by those columns first: few files
-        per folder, and a large folder is still written by several tasks.
+        per folder, and a large folder is still written by several tasks. Rows that are
+        ``dealt`` so already are written where they are.
         """
-        return self.write_to(df, self.path(table, run_id, attempt), partition_by)
+        return self.write_to(df, self.path(table, run_id, attempt), partition_by, dealt)
 
-    def write_to(self, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        rows = df.hint("rebalance", *partition_by) if partition_by else df
+    def write_to(self, df: DataFrame, path: str, partition_by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+        rows = df.hint("rebalance", *partition_by) if partition_by and not dealt else df
         rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -97,3 +97,18 @@ def test_minus_is_distinct_and_null_safe(spark, rows):
     b = spark.createDataFrame([(2, "x"), (3, None)], "k int, v string")
     assert rows(minus_distinct(a, b)) == [(1, None), (3, "y")]
     assert stamp_run_id(a, 4).columns == ["runid", "k", "v"]
+
+
+def test_increment_images_are_those_of_the_latest_rows_in_one_shuffle(spark, rows):
+    pre = spark.createDataFrame(
+        [(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, 1, None), (3, 1, "x"), (4, 5, "n"), (5, None, "k"), (5, None, "l"), (None, 1, "z")],
+        "k long, ts long, v string",
+    )
+    stg = spark.createDataFrame([(1, 2, "c"), (2, 1, None), (3, 1, "y"), (5, None, "k"), (6, 1, "s"), (None, 1, "z")], "k long, ts long, v string")
+    want = d.image_diff(latest_per_key(pre, "k", "ts"), stg, "k", ["ts", "v"], partial=True)
+    numbered = [t.withColumn("deal", t.k % 2) for t in (pre, stg)]
+    got = d.increment_images(*numbered, ["deal", "k"], "ts", ["ts", "v"], ["deal"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    picked = ["k", "op", "in_prestage", "new.ts", "new.v", "old.ts", "old.v"]
+    assert rows(got, *picked) == rows(want, *picked)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(deal" in plan

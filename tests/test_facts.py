@@ -119,3 +119,13 @@ def test_stacked_lookups_leave_the_line_out_of_the_first_shuffle(spark, lookups,
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     ids = plan[plan.index("Join ") :]
     assert "posexplode" in ids and "line#" not in ids and "line#" in plan
+
+
+def test_versions_dealt_by_a_part_of_the_key_are_closed_alike(spark, rows):
+    fact = f.fact_insert(spark.createDataFrame([(0, 1, "a"), (0, 1, "b"), (1, 2, "c"), (0, 3, "d"), (None, 4, "e")], "deal long, id long, v string"), T1)
+    changed = spark.createDataFrame([(0, 1), (0, 3), (None, 4), (0, 9)], "deal long, id long")
+    want = f.fact_expire(fact, changed, ["deal", "id"], T2)
+    got = f.fact_expire(fact, changed, ["deal", "id"], T2, deal=["deal"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == want.columns and rows(got) == rows(want)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(deal" in plan

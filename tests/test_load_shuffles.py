@@ -9,6 +9,7 @@ import os
 import pyarrow.parquet as pq
 import pytest
 
+from lodestar.plans import load
 from lodestar.plans.facts import FactSpec, LookupSpec
 from lodestar.plans.load import RunContext, load_fact, replay_fact
 from lodestar.sources.run_store import RunStore
@@ -79,3 +80,46 @@ def test_lines_are_dealt_once_for_latest_image_and_header(spark, tmp_path, monke
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert rows(found, "l_orderkey", "l_linenumber", "l_quantity") == sorted((o, n, 3.0) for o in (1, 2, 2) for n in (1, 2))
+
+
+def test_stage_says_what_became_of_a_line(runs, rows):
+    """New and changed lines had a table of their own, which met the stage again."""
+    assert not os.path.exists(f"{runs.root}/delta_sales")
+    stage = runs.read("stage_sales", 3)
+    assert rows(stage.groupBy("dw_op").count()) == [("nochange", 266), ("update", 134)]
+
+
+def test_later_runs_of_a_replay_take_their_increment_from_where_it_lies(runs):
+    parts = runs.published()["received_sales"]
+    assert parts["run2"] == runs.path("received_sales", 2)
+    assert runs.read("received_sales").count() == 814
+
+
+@pytest.mark.parametrize("broadcasts", ["10MB", "-1"])
+def test_parts_are_written_in_few_files(spark, tmp_path, rows, monkeypatch, broadcasts):
+    """With lookups that are broadcast and with lookups that shuffle the lines; several numbers a part."""
+    monkeypatch.setattr(load, "DEAL_ROWS", 60)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        store = RunStore(spark, str(tmp_path / "dw"))
+        spec = FactSpec("sales", SPEC.lookups, SPEC.line_types, key=SPEC.key, part_width=50)
+        spark.range(5).selectExpr("id item_id", "id + 100 item_key").write.parquet(f"{tmp_path}/items")
+        dims = {"items": spark.read.parquet(f"{tmp_path}/items")}
+        for run in (1, 2):
+            lines = [(d, n, (d + run * (d % 3 == 0)) % 6, "LINE", dt.datetime(2026, 1, run if d % 3 == 0 else 1)) for d in range(1000) for n in (1, 2)]
+            ctx = RunContext(store, run, dt.datetime(2026, 2, run))
+            store.publish(run, load_fact(ctx, spec, spark.createDataFrame(lines, SCHEMA).repartition(8), dims)[0])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = [(d, n, (d + 2 * (d % 3 == 0)) % 6) for d in range(1000) for n in (1, 2)]
+    assert rows(store.read("stage_sales"), "doc", "line", "item_id") == want
+    fact = store.read("sales")
+    assert rows(fact.filter("dw_current = 1"), "doc", "line", "item_id") == [r for r in want if r[2] < 5]
+    old = [(d, n, (d + 1) % 6) for d in range(0, 1000, 3) for n in (1, 2)]
+    assert rows(fact.filter("dw_current = 0"), "doc", "line", "item_id") == [r for r in old if r[2] < 5]
+    for table in ("stage_sales", "sales"):
+        folders = glob.glob(f"{store.root}/{table}/**/dw_part=*", recursive=True)
+        assert folders and all(len(glob.glob(f"{f}/part-*")) <= 8 for f in folders)
