@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,25 @@ def shared_folder(spark: SparkSession, kind: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside leave the disk as each action ends.
+
+    Otherwise they stay until the driver happens to collect its garbage, so a load of several writes
+    keeps the shuffles of all of them. Meant for writes, whose rows are read back from the table.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the checkpoint folder and read on from there.
 
@@ -60,5 +81,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and row groups they need, and a lost executor costs no recomputation.
     """
     path = shared_folder(df.sparkSession, "table")
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

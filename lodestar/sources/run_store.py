@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lodestar.session import shuffles_dropped
+
 WHOLE = "whole"
 
 
@@ -110,7 +112,8 @@ class RunStore:
 
     def write_to(self, df: DataFrame, path: str, partition_by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
         rows = df.hint("rebalance", *partition_by) if partition_by and not dealt else df
-        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+        with shuffles_dropped(self.spark):
+            rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(

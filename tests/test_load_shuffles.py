@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import glob
 import os
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -12,6 +13,7 @@ import pytest
 from lodestar.plans import load
 from lodestar.plans.facts import FactSpec, LookupSpec
 from lodestar.plans.load import RunContext, load_fact, replay_fact
+from lodestar.session import cut_lineage, shuffles_dropped
 from lodestar.sources.run_store import RunStore
 from lodestar.workload import fixtures
 
@@ -123,3 +125,34 @@ def test_parts_are_written_in_few_files(spark, tmp_path, rows, monkeypatch, broa
     for table in ("stage_sales", "sales"):
         folders = glob.glob(f"{store.root}/{table}/**/dw_part=*", recursive=True)
         assert folders and all(len(glob.glob(f"{f}/part-*")) <= 8 for f in folders)
+
+
+def _shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+
+
+def test_shuffles_of_a_written_table_leave_the_disk(spark, tmp_path, rows):
+    """Those of all writes of a load stayed until the driver collected its garbage."""
+    dealt = spark.range(1000).selectExpr("id % 10 k").groupBy("k").count()
+    for write in (cut_lineage, lambda df: RunStore(spark, str(tmp_path / "dw")).write(df, "sales", 1)):
+        known = _shuffle_files(spark)
+        assert rows(write(dealt)) == [(k, 100) for k in range(10)]
+        until = time.time() + 20
+        while _shuffle_files(spark) - known and time.time() < until:
+            time.sleep(0.1)
+        assert not _shuffle_files(spark) - known
+        assert rows(dealt) == [(k, 100) for k in range(10)]
+
+
+def test_the_setting_that_drops_shuffles_is_put_back(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    for value in ("false", "true"):
+        spark.conf.set(name, value)
+        with pytest.raises(RuntimeError), shuffles_dropped(spark):
+            assert spark.conf.get(name) == "true"
+            raise RuntimeError
+        assert spark.conf.get(name) == value
+    spark.conf.unset(name)
+    assert spark.conf.get(name) == before
