@@ -76,6 +76,10 @@ class RunContext:
     def write(self, df: DataFrame, table: str, partition_by: Sequence[str] = (), dealt: bool = False) -> DataFrame:
         return self.store.write(df, table, self.run_id, self.attempt, partition_by, dealt)
 
+    def scratch(self, df: DataFrame, table: str) -> DataFrame:
+        """Write rows that only the load itself reads; those of the next load take their place."""
+        return self.store.write_to(df, f"{self.store.root}/{table}/scratch")
+
     def path(self, table: str) -> str:
         return self.store.path(table, self.run_id, self.attempt)
 
@@ -318,8 +322,8 @@ def load_fact(
     error rows are appended. Increment, stage and current versions are dealt by part once each: the latest image of a
     line, its comparison, the next stage and the closing of versions happen there, and parts are written from there.
     The stage says what became of each line, so new and changed ones are read off it. The resolved rows are written
-    where the lookups left them, so the fact and the error table read their share without repeating the lookups;
-    rows that no lookup has shuffled still lie by part and go to the fact as they are.
+    where the lookups left them, so the fact and the error table read their share without repeating the lookups, and
+    make room for those of the next load; rows that no lookup has shuffled still lie by part and go to the fact as they are.
     """
     keys = list(spec.key)
     if stored is None:
@@ -351,7 +355,7 @@ def load_fact(
     lookups = spec.bind(dims, ctx.run_ts)
     resolve = resolve_stacked if spec.stacked else resolve_all
     found = resolve(spec.lines(moved_rows(changes)), lookups).withColumn("rejected", unresolved(lookups))
-    found = ctx.write(found, f"resolved_{spec.name}")
+    found = ctx.scratch(found, f"resolved_{spec.name}")
     near = _near(spec, found, len(touched) * slots)
     valid = spec.shape(found.filter(~F.col("rejected")).drop("rejected"))
     valid = _numbered(spec, valid, slots)

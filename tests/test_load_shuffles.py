@@ -91,6 +91,15 @@ def test_stage_says_what_became_of_a_line(runs, rows):
     assert rows(stage.groupBy("dw_op").count()) == [("nochange", 266), ("update", 134)]
 
 
+def test_resolved_rows_are_kept_for_the_last_load_only(runs, rows, spark):
+    """Those of every load stayed next to the fact and the errors that had taken them over."""
+    folders = {os.path.dirname(f) for f in glob.glob(f"{runs.root}/resolved_sales/**/part-*", recursive=True)}
+    assert len(folders) == 1
+    assert rows(spark.read.parquet(*folders), "doc", "line") == [(d, n) for d in range(0, 200, 3) for n in (1, 2)]
+    unknown = [(d, n) for k, step in ((1, 1), (2, 3)) for d in range(0, 200, step) for n in (1, 2) if (d + k * (d % 3 == 0)) % 6 == 5]
+    assert rows(runs.read("sales_error"), "doc", "line") == sorted(unknown)
+
+
 def test_later_runs_of_a_replay_take_their_increment_from_where_it_lies(runs):
     parts = runs.published()["received_sales"]
     assert parts["run2"] == runs.path("received_sales", 2)
